@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import quality_rules, url_filter
+from folioscope.llm import decontaminate, near_dedup, quality_rules, token_file, url_filter
 from folioscope.llm.sql import ORACLES
 
 
@@ -15,15 +15,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies; the same package is installed on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.classify(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = token_file.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items = F.size("items").cast("long")
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op4_token_file, op7_near_dedup, op9_decontamination, op10_quality_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -60,4 +60,40 @@ fits AS (SELECT u, h || p rule, verdict FROM parsed JOIN rules ON (host = h OR e
   QUALIFY row_number() OVER (PARTITION BY u ORDER BY length(h) DESC, length(p) DESC) = 1)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') verdict FROM parsed LEFT JOIN fits USING (u)"""
 
-ORACLES = {"op2_url_filter": OP2, "op10_quality_rules": OP10}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _low_words(pattern: str) -> str:
+    return f"list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}'), lambda x: x <> '')"
+
+
+OP9 = f"""
+WITH d AS (SELECT row_number() OVER () u, doc_id, {_low_words("[\x00-\x2F\x3A-\x60\x7B-\x7F]+")} w FROM documents),
+b AS (SELECT item_id, {_low_words("[\x00-\x2F\x3A-\x60\x7B-\x7F]+")} w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM win),
+grams AS (SELECT u, i, k, array_to_string(w[i:i + k - 1], ' ') g FROM (SELECT u, w, k, unnest(range(1, len(w) - k + 2)) i FROM d, ks WHERE len(w) >= k)),
+hits AS (SELECT u, i, grams.k, item_id FROM grams JOIN win ON grams.g = win.g AND grams.k = win.k),
+n AS (SELECT u, count(DISTINCT p) n FROM (SELECT u, unnest(range(i, i + k)) p FROM hits) GROUP BY u),
+items AS (SELECT u, count(*) n, string_agg(x, ',' ORDER BY x) l FROM (SELECT DISTINCT u, item_id::VARCHAR x FROM hits WHERE item_id IS NOT NULL) GROUP BY u)
+SELECT doc_id, len(w)::BIGINT n_words, coalesce(n.n, 0)::BIGINT n_hit, coalesce(items.n, 0)::BIGINT n_items, sha256(coalesce(items.l, '')) items_sha256, coalesce(n.n, 0) > 0 contaminated
+FROM d LEFT JOIN n USING (u) LEFT JOIN items USING (u)"""
+
+_SETS = f"""
+d AS (SELECT row_number() OVER () u, doc_id, {_low_words("[\x20\x09-\x0D]+")} w FROM documents),
+s AS (SELECT DISTINCT u, g FROM (SELECT u, array_to_string(w[i:i + 4], ' ') g FROM (SELECT u, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) i FROM d WHERE len(w) > 0))),
+n AS (SELECT u, count(*) n FROM s GROUP BY u)"""
+OP7 = f"""
+WITH RECURSIVE {_SETS},
+freq AS (SELECT g, count(*) f FROM s GROUP BY g HAVING count(*) > 1),
+ranked AS (SELECT u, s.g, n.n, row_number() OVER (PARTITION BY u ORDER BY coalesce(f, 1), s.g) r, f FROM s JOIN n USING (u) LEFT JOIN freq USING (g)),
+prefix AS (SELECT u, g FROM ranked WHERE f IS NOT NULL AND r <= n - ceil(0.75 * n) + 1),
+pairs AS (SELECT DISTINCT a.u x, b.u y FROM prefix a JOIN prefix b USING (g) WHERE a.u < b.u),
+common AS (SELECT x, y, count(*) k FROM pairs JOIN s a ON a.u = x JOIN s b ON b.u = y AND a.g = b.g GROUP BY x, y),
+links AS (SELECT x, y FROM common JOIN n a ON a.u = x JOIN n b ON b.u = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(u, v) AS (SELECT u, u FROM d UNION SELECT reach.u, edges.y FROM reach JOIN edges ON reach.v = edges.x),
+least_id AS (SELECT reach.u, min(d.doc_id) c FROM reach JOIN d ON d.u = reach.v GROUP BY reach.u)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT n_shingles, c component_id, doc_id IS NOT DISTINCT FROM c kept FROM d JOIN least_id USING (u) LEFT JOIN n USING (u)"""
+
+ORACLES = {"op7_near_dedup": OP7, "op9_decontamination": OP9, "op2_url_filter": OP2, "op10_quality_rules": OP10}
