@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, near_dedup, quality_rules, token_file, url_filter
+from folioscope.llm import decontaminate, near_dedup, quality_rules, token_file, url_filter, warc
 from folioscope.llm.sql import ORACLES
 
 
@@ -31,6 +31,10 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op4_token_file, op7_near_dedup, op9_decontamination, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op4_token_file, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

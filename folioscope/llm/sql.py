@@ -96,4 +96,12 @@ reach(u, v) AS (SELECT u, u FROM d UNION SELECT reach.u, edges.y FROM reach JOIN
 least_id AS (SELECT reach.u, min(d.doc_id) c FROM reach JOIN d ON d.u = reach.v GROUP BY reach.u)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT n_shingles, c component_id, doc_id IS NOT DISTINCT FROM c kept FROM d JOIN least_id USING (u) LEFT JOIN n USING (u)"""
 
-ORACLES = {"op7_near_dedup": OP7, "op9_decontamination": OP9, "op2_url_filter": OP2, "op10_quality_rules": OP10}
+OP6 = """
+WITH p AS (SELECT row_number() OVER () u, page_id, coalesce(html, '') h FROM pages),
+d AS (SELECT u, page_id, octet_length(encode(h))::BIGINT payload_bytes, sha1(h) payload_digest, max(page_id) OVER (PARTITION BY h) holder FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN 'revisit' ELSE 'response' END record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM holder THEN holder END refers_to
+FROM d"""
+
+ORACLES = {"op6_warc": OP6, "op7_near_dedup": OP7, "op9_decontamination": OP9, "op2_url_filter": OP2, "op10_quality_rules": OP10}
