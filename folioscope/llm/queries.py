@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, near_dedup, quality_rules, token_file, url_filter, warc
+from folioscope.llm import decontaminate, near_dedup, quality_model, quality_rules, token_file, url_filter, warc
 from folioscope.llm.sql import ORACLES
 
 
@@ -22,6 +22,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.classify(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -49,7 +53,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_url_filter, op4_token_file, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op4_token_file, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
