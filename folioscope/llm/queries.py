@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, near_dedup, quality_model, quality_rules, token_file, url_filter, warc
+from folioscope.llm import decontaminate, near_dedup, pieces, quality_model, quality_rules, token_file, url_filter, warc
 from folioscope.llm.sql import ORACLES
 
 
@@ -35,6 +35,11 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", "n_chunks", "round_trip")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -53,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op4_token_file, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op4_token_file, op5_sentencepiece, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
