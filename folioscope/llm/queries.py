@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, near_dedup, pieces, quality_model, quality_rules, token_file, url_filter, warc
+from folioscope.llm import decontaminate, license_scan, main_text, near_dedup, pieces, quality_model, quality_rules, token_file, url_filter, warc
 from folioscope.llm.sql import ORACLES
 
 
@@ -30,6 +30,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.classify(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = token_file.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -48,6 +52,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_items = F.size("items").cast("long")
@@ -58,7 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op4_token_file, op5_sentencepiece, op6_warc, op7_near_dedup, op9_decontamination, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op3_html_extraction, op4_token_file, op5_sentencepiece, op6_warc, op7_near_dedup, op8_license_scan, op9_decontamination, op10_quality_rules)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
