@@ -24,9 +24,9 @@ def components(edges: DataFrame, folder: str, name: str = "cc", jumps: int = 2)
         up = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")), folder, f"{name}-up-{k}-0")
         for j in range(1, jumps + 1):
             further = up.select(F.col("a").alias("up"), F.col("up").alias("further"))
-            up = stored(up.join(further, "up", "left").select("a", F.coalesce("further", "up").alias("up")), folder, f"{name}-up-{k}-{j}")
+            up = stored(up.join(further.hint("merge"), "up", "left").select("a", F.coalesce("further", "up").alias("up")), folder, f"{name}-up-{k}-{j}")
         to = lambda c: up.select(F.col("a").alias(c), F.col("up").alias(f"{c}_up"))  # noqa: B023, E731
-        labels = stored(labels.join(to("label"), "label", "left").select("node", F.coalesce("label_up", "label").alias("label")), folder, f"{name}-labels-{k}")
-        moved = left.join(to("a"), "a").join(to("b"), "b").select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b"))
+        labels = stored(labels.join(to("label").hint("merge"), "label", "left").select("node", F.coalesce("label_up", "label").alias("label")), folder, f"{name}-labels-{k}")
+        moved = left.join(to("a").hint("merge"), "a").join(to("b").hint("merge"), "b").select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b"))
         left = stored(moved.filter("a <> b").distinct(), folder, f"{name}-{k}")
     return labels

@@ -1,22 +1,29 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. Each text becomes the set of its word shingles (64-bit hashes); its sorted
-   set gives a 128-bit digest and 128 minima. Texts with one digest are one
-   class, so copies are never compared with each other.
-2. Classes meet in 32 bands of four minima. In each bucket every class is
-   compared with the bucket's least class only, which joins the classes of a
-   group of copies without making all its pairs.
-3. Buckets that still hold several components are compared in full, inside the
-   workers, in blocks of bounded size, each pair only in its first common band.
+   set gives a 128-bit digest, 128 minima of 8 bits each (the signature), and the
+   keys of 32 bands of four full minima. Texts with one digest are one class,
+   so copies are never compared with each other.
+2. Classes meet in the buckets of the bands. In each bucket every class is
+   compared with one leader only, the class that meets most others in all its
+   buckets; that is the common origin of a group of copies if it is there, and
+   joins the group without making all its pairs.
+3. Buckets that still hold several components are compared in full inside the
+   workers, in blocks of bounded size, first by signatures, then the classes
+   that still have a partner by their full sets; a block returns the links
+   that join components, fewer than it has classes.
 4. A comparison reads the signatures in batches: after n minima with m equal
-   the similarity has the posterior Beta(m + 1, n - m + 1) under a flat prior,
-   and a pair is dropped once P(similarity >= threshold) falls below ``miss``.
-   Survivors are verified on the full sets.
+   the chance of equal minima has the posterior Beta(m + 1, n - m + 1) under a
+   flat prior, and a pair is dropped once P(similarity >= threshold) falls
+   below ``miss``. Survivors are verified on the full sets.
 5. Components of the verified links give the answer.
 
 A pair at the threshold shares no band with probability (1 - 0.75 ** 4) ** 32,
 about 5e-6, and less above it; ``miss`` adds 1e-6.
 
+Joins of tables that grow with the input are merge joins at every size: nothing
+unbounded is broadcast, and hot keys of two plain exchanges can be split.
+
 Defined results: null or wordless texts have an empty set, no links and stay; a
 text of fewer than five words is one shingle; copies and repeated rows link; a
 null doc_id links like others and a component of null ids only has a null id; an empty
@@ -49,12 +56,16 @@ MULTIPLY = _random.integers(0, 1 << 32, N_HASHES, np.uint32) | np.uint32(1)
 ADD = _random.integers(0, 1 << 32, N_HASHES, np.uint32)
 
 
-def least_matches(threshold: float = NUMERATOR / DENOMINATOR, miss: float = MISS, batch: int = BATCH, n_hashes: int = N_HASHES) -> list[int]:
-    """For n = batch, 2 batch, ...: the least number of equal minima at which a pair stays."""
+def least_matches(threshold: float = NUMERATOR / DENOMINATOR, miss: float = MISS, batch: int = BATCH, n_hashes: int = N_HASHES, bits: int = 8) -> list[int]:
+    """For n = batch, 2 batch, ...: the least number of equal minima at which a pair stays.
+
+    Minima of which ``bits`` are kept are equal with probability s + (1 - s) / 2 ** bits at similarity s.
+    """
+    chance = threshold + (1 - threshold) / 2**bits
 
     def tail(n: int, m: int) -> float:
-        # P(similarity >= threshold | m of n) under Beta(m + 1, n - m + 1) = P(Binomial(n + 1, threshold) <= m)
-        return sum(math.comb(n + 1, i) * threshold**i * (1 - threshold) ** (n + 1 - i) for i in range(m + 1))
+        # P(chance of equality >= chance | m of n) under Beta(m + 1, n - m + 1) = P(Binomial(n + 1, chance) <= m)
+        return sum(math.comb(n + 1, i) * chance**i * (1 - chance) ** (n + 1 - i) for i in range(m + 1))
 
     return [next(m for m in range(n + 1) if tail(n, m) >= miss) for n in range(batch, n_hashes + 1, batch)]
 
@@ -73,8 +84,8 @@ def sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def signatures(own: list[np.ndarray]) -> np.ndarray:
-    """Minima of each set, which must not be empty; a row for each set."""
+def minima(own: list[np.ndarray]) -> np.ndarray:
+    """The least value of each hash function over each set, which must not be empty; a row for each set."""
     out = np.empty((len(own), N_HASHES), np.uint32)
     step = 1 << 16
     i = 0
@@ -94,18 +105,32 @@ def signatures(own: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def signature(least: np.ndarray) -> np.ndarray:
+    """Eight bits of each minimum, mixed so that they are spread evenly."""
+    return words.mix(least.astype(np.uint64)).astype(np.uint8)
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A key for each band of four minima, which also tells the bands apart."""
+    x = least.astype(np.uint64).reshape(-1, BANDS, ROWS)
+    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), x.shape[:2])
+    for r in range(ROWS):
+        h = words.mix((h * np.uint64(0x9E3779B97F4A7C15)) ^ x[:, :, r])
+    return h.view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             own = sets(batch.column("text"))
             some = [i for i, s in enumerate(own) if len(s)]
-            made = signatures([own[i] for i in some]) if some else []
-            digest, sig = [None] * len(own), [None] * len(own)
-            for i, row in zip(some, made, strict=True):
-                digest[i], sig[i] = xxhash.xxh3_128_digest(own[i].tobytes()), row.tobytes()
+            least = minima([own[i] for i in some]) if some else np.zeros((0, N_HASHES), np.uint32)
+            digest, sig, keys = [None] * len(own), [None] * len(own), [None] * len(own)
+            for i, row, key in zip(some, signature(least), band_keys(least), strict=True):
+                digest[i], sig[i], keys[i] = xxhash.xxh3_128_digest(own[i].tobytes()), row.tobytes(), key
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in own], pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "sig"],
+                [batch.column("doc_id"), pa.array([len(s) for s in own], pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "digest", "sig", "keys"],
             )
 
 
@@ -132,7 +157,7 @@ def _rows(column: pa.Array, dtype: type, width: int) -> np.ndarray:
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            yield batch.select(["a", "b"]).filter(pa.array(agree(_rows(batch.column("sig_a"), np.uint32, N_HASHES), _rows(batch.column("sig_b"), np.uint32, N_HASHES))))
+            yield batch.select(["a", "b"]).filter(pa.array(agree(_rows(batch.column("sig_a"), np.uint8, N_HASHES), _rows(batch.column("sig_b"), np.uint8, N_HASHES))))
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,54 +170,81 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _within(rows: dict[str, np.ndarray]) -> np.ndarray:
-    """Pairs (a, b) of one block pair that survive, each only in its first common band and across components."""
-    own, other = np.flatnonzero(rows["side"] != 1), np.flatnonzero(rows["side"] != 0)
-    same = not (rows["side"] != 2).any()
-    sig, found = rows["sig"], []
-    for i in own:
-        j = other[other > i] if same else other
-        j = j[rows["comp"][j] != rows["comp"][i]]
-        if not len(j):
-            continue
-        j = j[agree(np.broadcast_to(sig[i], (len(j), N_HASHES)), sig[j])]
-        bands = (sig[j] == sig[i]).reshape(-1, BANDS, ROWS).all(2)
-        j = j[bands.argmax(1) == rows["band"][i]] if len(j) else j
-        found += [(rows["node"][i], rows["node"][x]) for x in j]
-    return np.array(found, np.int64).reshape(-1, 2)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (key, i, j): each run is one pair of blocks, two blocks long at most."""
-    held: list[tuple] = []
-    last = None
-
-    def close() -> pa.RecordBatch:
-        cols = list(zip(*held, strict=True))
-        rows = {"band": np.array(cols[0]), "node": np.array(cols[1], np.int64), "comp": np.array(cols[2], np.int64), "side": np.array(cols[3])}
-        pairs = _within(rows | {"sig": np.frombuffer(b"".join(cols[4]), np.uint32).reshape(-1, N_HASHES)})
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """The rows of each pair of blocks, which come sorted by (key, i, j); one pair is held at a time."""
+    names, held, last = [], [], None
     for batch in batches:
-        c = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-        for run, row in zip(zip(c["key"], c["i"], c["j"], strict=True), zip(c["band"], c["node"], c["comp"], c["side"], c["sig"], strict=True), strict=True):
-            if run != last and held:
-                yield close()
+        names = batch.schema.names
+        for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+            if row[:3] != last and held:
+                yield dict(zip(names, zip(*held, strict=True), strict=True))
                 held = []
-            last = run
+            last = row[:3]
             held.append(row)
     if held:
-        yield close()
+        yield dict(zip(names, zip(*held, strict=True), strict=True))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, folder: str, name: str, tested: bool) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. tested: their signatures were compared already."""
-    if not tested:
-        sig = lambda c: classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
-        pairs = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").mapInArrow(_survivors, "a long, b long"), folder, f"{name}-survivors")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "digest", "first_id"), "node")
-    needed = stored(needed, folder, f"{name}-needed")
-    texts = documents.join(needed, documents["doc_id"].eqNullSafe(needed["first_id"])).select("node", "digest", "text")
+def _partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, those j of other components that survive with it), each pair of a run once. side 2: one block with itself, else 0 against 1."""
+    own, other = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    same = not (side != 2).any()
+    for i in own.tolist():
+        j = other[other > i] if same else other
+        j = j[comp[j] != comp[i]]
+        if len(j):
+            j = j[agree(np.broadcast_to(sig[i], (len(j), N_HASHES)), sig[j])]
+        if len(j):
+            yield i, j
+
+
+def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each run that survive with another."""
+    for run in _runs(batches):
+        stay = np.zeros(len(run["node"]), bool)
+        for i, j in _partners(np.frombuffer(b"".join(run["sig"]), np.uint8).reshape(-1, N_HASHES), np.array(run["comp"]), np.array(run["side"])):
+            stay[i] = stay[j] = True
+        at = np.flatnonzero(stay)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(run[c], np.int64)[at]) for c in ("key", "i", "j", "side", "node", "comp")], names=["key", "i", "j", "side", "node", "comp"])
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verified links of each run that join its components, on full sets; a pair counts in its first common band only."""
+    for run in _runs(batches):
+        own = [np.frombuffer(x, np.uint64) for x in run["set"]]
+        least, node, key = minima(own), run["node"], run["key"][0]
+        keys = band_keys(least)
+        band = int((keys[0] == key).argmax())
+        root: dict[int, int] = {c: c for c in run["comp"]}
+
+        def find(c: int) -> int:
+            while root[c] != c:  # noqa: B023
+                root[c] = c = root[root[c]]  # noqa: B023
+            return c
+
+        links = []
+        for i, j in _partners(signature(least), np.array(run["comp"]), np.array(run["side"])):
+            j = j[(keys[j] == keys[i]).argmax(1) == band]
+            j = np.array([x for x in j.tolist() if find(run["comp"][x]) != find(run["comp"][i])], np.int64)
+            if not len(j):
+                continue
+            sizes = np.array([len(own[x]) for x in j])
+            flat = np.concatenate([own[x] for x in j])
+            at = np.minimum(np.searchsorted(own[i], flat), len(own[i]) - 1)
+            both = np.add.reduceat((own[i][at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+            for x in j[DENOMINATOR * both >= NUMERATOR * (sizes + len(own[i]) - both)].tolist():
+                a, b = find(run["comp"][i]), find(run["comp"][x])
+                if a != b:
+                    root[a] = b
+                    links.append((node[i], node[x]))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def full_sets(nodes: DataFrame, classes: DataFrame, documents: DataFrame, folder: str, name: str) -> DataFrame:
+    """(node, set) of some classes, from the whole texts of their first documents."""
+    needed = stored(nodes.join(classes.select("node", "digest", "first_id").hint("merge"), "node"), folder, f"{name}-needed")
+    texts = documents.join(needed.hint("merge"), documents["doc_id"].eqNullSafe(needed["first_id"])).select("node", "digest", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -201,15 +253,34 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, folder:
                 right = [xxhash.xxh3_128_digest(s) == d for s, d in zip(own, batch.column("digest").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], names=["node", "set"]).filter(pa.array(right, pa.bool_()))
 
-    full = stored(texts.mapInArrow(shingled, "node long, set binary"), folder, f"{name}-sets")
-    side = lambda c: full.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_exact, "a long, b long").distinct(), folder, f"{name}-links")
+    full = texts.mapInArrow(shingled, "node long, set binary")
+    return stored(full.dropDuplicates(["node"]), folder, f"{name}-sets")  # repeated rows give their set again
+
 
+def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, folder: str, name: str) -> DataFrame:
+    """The pairs (a, b) that survive the sequential test and whose full sets are similar enough."""
+    sig = lambda c: classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")).hint("merge")
+    pairs = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").mapInArrow(_survivors, "a long, b long"), folder, f"{name}-survivors")
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, documents, folder, name)
+    side = lambda c: full.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")).hint("merge")
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_exact, "a long, b long"), folder, f"{name}-links")
 
-def _band_keys(classes: DataFrame) -> DataFrame:
-    width = 4 * ROWS
-    key = lambda i: F.struct(i.alias("band"), F.xxhash64(i, F.substr("sig", i * width + 1, F.lit(width))).alias("key"))
-    return classes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)).alias("k")).select("node", "k.band", "k.key")
+
+def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, folder: str) -> DataFrame:
+    """Links between components that share a bucket (members: key, n, node)."""
+    labelled = members.join(labels.hint("merge"), "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("comp"))
+    labelled = stored(labelled, folder, "labelled")
+    mixed = stored(labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key"), folder, "mixed")
+    rest = labelled.filter("n > 2").join(mixed.hint("merge"), "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    rest = rest.withColumn("at", F.pmod(F.xxhash64("node"), "blocks"))
+    pair = lambda o: F.struct(F.least("at", o).alias("i"), F.greatest("at", o).alias("j"), F.when(F.col("at") == o, 2).when(F.col("at") < o, 0).otherwise(1).cast("long").alias("side"))
+    rest = rest.select("key", "node", "comp", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)).alias("p")).select("key", "p.i", "p.j", "p.side", "node", "comp")
+    arranged = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
+    rest = stored(rest, folder, "rest").join(classes.select("node", "sig").hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "sig")
+    close = stored(arranged(rest).mapInArrow(_with_partner, "key long, i long, j long, side long, node long, comp long"), folder, "close")
+    full = full_sets(close.select("node").distinct(), classes, documents, folder, "rest")
+    close = close.join(full.hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "set")
+    return stored(arranged(close).mapInArrow(_joining, "a long, b long"), folder, "rest-links")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -219,34 +290,27 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     folder = new_folder(spark, "near-dedup")
     documents = project(documents, "doc_id", "text")
     kind = dict(documents.dtypes)["doc_id"]
-    rows = stored(documents.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, digest binary, sig binary"), folder, "rows")
-    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "sig"), folder, "classes")
-    bands = _band_keys(classes)
-    leaders = stored(bands.groupBy("band", "key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1"), folder, "leaders")
-    members = stored(bands.join(leaders, ["band", "key"]).select("band", "key", "a", F.col("node").alias("b"), "n"), folder, "members")
-    links = verified(members.filter("a <> b").select("a", "b").distinct(), classes, documents, folder, "star", tested=False)
+    rows = stored(documents.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, digest binary, sig binary, keys array<long>"), folder, "rows")
+    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "sig", "keys"), folder, "classes")
+
+    bands = classes.select("node", F.explode("keys").alias("key"))
+    buckets = stored(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), folder, "buckets")
+    members = stored(bands.join(buckets.hint("merge"), "key"), folder, "members")
+    met = stored(members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("met")), folder, "met")
+    leaders = members.join(met.hint("merge"), "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("leader"))
+    leaders = stored(leaders.select("key", F.col("leader.node").alias("a")), folder, "leaders")
+    star = members.join(leaders.hint("merge"), "key").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
+    links = verified(star, classes, documents, folder, "star")
     labels = components(links, folder, "star-cc")
+    more = mixed_links(members, labels, classes, documents, folder)
+    if not more.isEmpty():
+        labels = components(links.union(more), folder)
 
-    # what is left of buckets with several components
-    labelled = members.join(labels.withColumnRenamed("node", "b"), "b", "left").select("band", "key", "n", F.col("b").alias("node"), F.coalesce("label", "b").alias("comp"))
-    labelled = stored(labelled, folder, "labelled")
-    mixed = labelled.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y")
-    mixed = stored(mixed.select("band", "key"), folder, "mixed")
-    rest = labelled.filter("n > 2").join(mixed, ["band", "key"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    rest = rest.withColumn("at", F.pmod(F.xxhash64("node"), "blocks"))
-    pair = lambda o: F.struct(F.least("at", o).alias("i"), F.greatest("at", o).alias("j"), F.when(F.col("at") == o, 2).when(F.col("at") < o, 0).otherwise(1).alias("side"))
-    rest = rest.select("band", "key", "node", "comp", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)).alias("p")).select("band", "key", "node", "comp", "p.*")
-    rest = stored(rest, folder, "rest").join(classes.select("node", "sig"), "node")
-    blocks = rest.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "side", "node")
-    more = stored(blocks.mapInArrow(_blocks, "a long, b long").distinct(), folder, "more")
-    links = links.union(verified(more, classes, documents, folder, "rest", tested=True)) if not more.isEmpty() else links
-    labels = components(links, folder, "cc") if not more.isEmpty() else labels
-
-    named = classes.join(labels, "node", "left").select("digest", "first_id", F.coalesce("label", "node").alias("label"))
+    named = classes.join(labels.hint("merge"), "node", "left").select("digest", "first_id", F.coalesce("label", "node").alias("label"))
     named = stored(named, folder, "named")
     least = stored(named.groupBy("label").agg(F.min("first_id").alias("component_id")), folder, "least")
-    answer = stored(named.join(least, "label").select("digest", "component_id"), folder, "answer")
-    out = rows.select("doc_id", "n_shingles", "digest").join(answer, "digest", "left")
+    answer = stored(named.join(least.hint("merge"), "label").select("digest", "component_id"), folder, "answer")
+    out = rows.select("doc_id", "n_shingles", "digest").join(answer.hint("merge"), "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
