@@ -16,6 +16,8 @@ empty table gives an empty result; only the named columns are read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 
 def features(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, base counts, and the two histograms as arrays of counts."""
+    """doc_id, a hash of the text, lang, base counts, and the two histograms as arrays of counts."""
     d = project(documents, "doc_id", "lang", "text").withColumn("t", F.coalesce("text", F.lit("")))
     d = d.withColumn("w", F.array_remove(F.split("t", SPACE), "")).withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(NOT_SPACE)))
     d = d.withColumn("n", F.size("w")).withColumn("joined", F.array_join("w", "")).withColumn("rest", F.regexp_replace("joined", LOWER, ""))
@@ -61,7 +63,7 @@ def features(documents: DataFrame) -> DataFrame:
     d = d.withColumn("common", F.filter("w", lambda x: x.isin(COMMON)))
     drop = lambda c, pattern: F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
     d = d.select(
-        "doc_id", "lang", F.col("n").cast("long").alias("n_words"), F.length("joined").cast("long").alias("word_chars"), F.length("rest").alias("not_lower"),
+        "doc_id", F.xxhash64("text").alias("text_hash"), "lang", F.col("n").cast("long").alias("n_words"), F.length("joined").cast("long").alias("word_chars"), F.length("rest").alias("not_lower"),
         *[drop(F.col("rest"), p).alias(f"c_{k}") for k, p in CLASSES.items()],
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.when(F.col("some"), covered), F.lit(0)).cast("long").alias("n_repeat_words"),
@@ -70,7 +72,7 @@ def features(documents: DataFrame) -> DataFrame:
     )
     kinds = [F.col(f"c_{k}") for k in CLASSES]
     return d.select(
-        "doc_id", "lang", "n_words", "word_chars", F.col("c_symbol").cast("long").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
+        "doc_id", "text_hash", "lang", "n_words", "word_chars", F.col("c_symbol").cast("long").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         F.array(F.col("word_chars") - F.col("not_lower"), *kinds, F.col("not_lower") - sum(kinds[1:], kinds[0])).cast("array<long>").alias("classes"),
         F.concat(F.col("by_word").cast("array<long>"), F.array(F.col("n_words") - F.col("n_common"))).alias("words"),
     )
@@ -84,23 +86,35 @@ def references(features: DataFrame) -> dict[str, tuple[list[float], list[float]]
     return {r["lang"]: (share(r["classes"]), share(r["words"])) for r in rows if sum(r["words"])}
 
 
-def distance(counts: str, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of an array of counts and a reference, rounded to nine digits."""
-    total = F.greatest(F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1))
-    log = lambda x: F.when(x > 0, x * F.log2(x)).otherwise(0.0)
-    part = lambda p, q: log(p) / 2 + log(q) / 2 - log((p + q) / 2)
-    parts = F.zip_with(counts, F.array(*[F.lit(q) for q in reference]), lambda n, q: part(n / total, q))
-    return F.round(F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))), 9)
+def _plogp(x: Column) -> Column:
+    return F.when(x > 0, x * F.log2(x)).otherwise(0.0)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def distance(shares: Column, own: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance of shares and a reference, rounded to nine digits; own: the sum of p log p of the shares."""
+    fixed = sum(q * math.log2(q) for q in reference if q > 0)
+    middle = F.zip_with(shares, F.array(*[F.lit(q) for q in reference]), lambda p, q: _plogp((p + q) / 2))
+    return F.round(F.sqrt(F.greatest((own + fixed) / 2 - _total(middle), F.lit(0.0))), 9)
 
 
 def _nearest(counted: DataFrame, known: dict[str, tuple[list[float], list[float]]], max_class: float, max_word: float) -> DataFrame:
-    near = [F.struct(F.greatest(distance("classes", c) / max_class, distance("words", w) / max_word).alias("x"), distance("classes", c).alias("c"), distance("words", w).alias("w")) for c, w in known.values()]
+    """Add ``best``: the distances (c, w) to the nearest reference, and x, their larger share of what is allowed."""
+    for name, total in (("classes", "word_chars"), ("words", "n_words")):
+        share = F.transform(name, lambda n: n / F.greatest(F.col(total), F.lit(1)))  # noqa: B023
+        # bound in one-element arrays, so that a lambda reads a value that was computed once
+        counted = counted.withColumn(f"p_{name}", F.transform(F.array(share), lambda p: F.struct(p.alias("p"), _total(F.transform(p, _plogp)).alias("own")))[0])
+    near = [F.struct(distance(F.col("p_classes.p"), F.col("p_classes.own"), c).alias("c"), distance(F.col("p_words.p"), F.col("p_words.own"), w).alias("w")) for c, w in known.values()]
+    ranked = F.transform(F.array(*near), lambda d: F.struct(F.greatest(d["c"] / max_class, d["w"] / max_word).alias("x"), d["c"].alias("c"), d["w"].alias("w")))
     none = F.struct(*[F.lit(0.0).alias(x) for x in "xcw"])
-    return counted.withColumn("best", F.array_min(F.array(*near)) if near else none)
+    return counted.withColumn("best", F.array_min(ranked) if near else none).drop("p_classes", "p_words")
 
 
 def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS, max_word: float = MAX_WORD) -> DataFrame:
-    """A row for each document: base counts, base_failed, class_distance and word_distance to the nearest reference, kept.
+    """A row for each document: base counts, base_failed, kept, class_distance and word_distance to the nearest reference, and text_hash (xxhash64 of the text).
 
     References are summed twice: over all documents of a language, then again
     over those that the base rules and the first references let pass, so that
@@ -114,5 +128,5 @@ def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: float = M
     known = references(first.filter(~F.col("base_failed") & ~strange))
     return _nearest(counted, known, max_class, max_word).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~strange).alias("kept"),
-        F.col("best.c").alias("class_distance"), F.col("best.w").alias("word_distance"),
+        F.col("best.c").alias("class_distance"), F.col("best.w").alias("word_distance"), "text_hash",
     )

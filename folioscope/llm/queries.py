@@ -63,7 +63,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance", "text_hash")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_url_filter, op3_html_extraction, op4_token_file, op5_sentencepiece, op6_warc, op7_near_dedup, op8_license_scan, op9_decontamination, op10_quality_rules)}
