@@ -1,11 +1,84 @@
-"""The corpus pipeline: documents in, token sequences out."""
+"""The corpus pipeline: from raw documents to token ids.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all rows it gets; ``run``
+writes what a stage returns as Parquet and reads it back as the next one's docs.
+All but the last return the columns of documents.
+
+Defined results: rows with a null text are rejected as too short; documents are
+matched by doc_id (null like any other) and text, so rows that share an id but
+not a text are judged apart; of repeated rows one stays; an empty table passes
+through; extra columns are carried along, also those that share a name with a
+column of an operator.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioscope.llm import decontaminate, near_dedup, pieces, quality_model, quality_rules
+from folioscope.llm.queries import table, vocabulary
+from folioscope.llm.shared import new_folder, stored
+
+#: The classifier and the rest can't be said in SQL; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that aren't among ``rejected`` (doc_id, text_hash)."""
+    bad = rejected.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(bad, _same(docs["doc_id"], bad["__id"]) & (F.xxhash64(docs["text"]) == bad["__hash"]), "left_anti")
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that they reject go."""
+    return _without(docs, quality_rules.judge(docs).filter("NOT kept"))
+
+
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects go. It learns from the labelled raw documents."""
+    model = quality_model.fit(quality_model.sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    return quality_model.keep(docs, model)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near-duplicates: one document of each group stays, that of the least doc_id."""
+    found = stored(near_dedup.near_duplicates(docs).select("doc_id", "kept"), new_folder(spark, "kept"), "ids")
+    kept = found.filter("kept").select(F.col("doc_id").alias("__id")).distinct()
+    stay = docs.join(kept, _same(docs["doc_id"], kept["__id"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "text"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with a benchmark passage go."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select("doc_id")
+    bad = stored(found.distinct(), new_folder(spark, "contaminated"), "ids").withColumnRenamed("doc_id", "__id")
+    return docs.join(bad, _same(docs["doc_id"], bad["__id"]), "left_anti")
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece: doc_id, ids, n_tokens and ids_crc32 of each document."""
+    coded = pieces.encode(docs, vocabulary("piece_bpe_32k.model"))
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32")
+
+
+STAGES = [
+    ("quality rules", rules),
+    ("quality classifier", classifier),
+    ("near dedup", dedup),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to documents."""
+    folder = new_folder(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stored(stage(spark, docs, sf_dir), folder, f"stage-{k}")
     return docs

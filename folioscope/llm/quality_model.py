@@ -208,6 +208,22 @@ def score(documents: DataFrame, model: Model | float) -> DataFrame:
     return project(documents, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, n_passages long")
 
 
+def keep(documents: DataFrame, model: Model | float, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that score ``threshold`` or more."""
+    small_batches(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for whole in batches:
+            for batch in slices(whole, at):
+                p = np.full(batch.num_rows, shared.value) if isinstance(shared.value, float) else shared.value.score(features, batch.column(at))[0]
+                yield batch.filter(pa.array(p >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def classify(documents: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted and n_passages of each document."""
     small_batches(documents.sparkSession)
