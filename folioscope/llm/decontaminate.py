@@ -82,23 +82,25 @@ class Segment:
         codes = pc.fill_null(pc.index_in(vocabulary, value_set=self.terms), -1).to_numpy(zero_copy_only=False)
         return [self.positions[self.starts[c] : self.starts[c + 1]] if c >= 0 else self.positions[:0] for c in codes.tolist()]
 
-    def phrase(self, lists: list[np.ndarray], slop: int = 0) -> np.ndarray:
-        """Where a phrase starts; lists: the postings of its terms in order. slop: how far each term may lie from its place."""
+    def phrase(self, lists: list[np.ndarray], slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Documents (by number) and spans (start, end) of a phrase; lists: the postings of its terms in order.
+
+        slop: how far each term may lie from its place; spans grow by as many, within the document.
+        """
         sizes = [len(x) for x in lists]
         rarest, *others = sorted(range(len(lists)), key=sizes.__getitem__)
-        at = lists[rarest] - rarest
+        place = lists[rarest]
+        document = np.searchsorted(self.ends, place, "right") - 1
+        at, first, last = place - rarest, self.ends[document], self.ends[document + 1]
         for o in others:
             if not len(at):
-                return at
+                break
             found = lists[o]
-            k = np.searchsorted(found, at + (o - slop))
-            near = found[np.minimum(k, len(found) - 1)]
-            at = at[(k < len(found)) & (near <= at + (o + slop))]
-        document = np.searchsorted(self.ends, at, "right")
-        first = self.ends[document - 1] if len(at) else at
-        last = self.ends[np.minimum(document, len(self.ends) - 1)] if len(at) else at
-        inside = (at >= first + 0) & (at + len(lists) <= last) if slop == 0 else (at - slop >= first) & (at + len(lists) + slop <= last)
-        return at[inside]
+            least, most = np.maximum(at + (o - slop), first), np.minimum(at + (o + slop), last - 1)
+            k = np.searchsorted(found, least)
+            stay = (k < len(found)) & (found[np.minimum(k, len(found) - 1)] <= most)
+            at, first, last, document = at[stay], first[stay], last[stay], document[stay]
+        return document, np.maximum(at - slop, first), np.minimum(at + len(lists) + slop, last)
 
 
 def windows(texts: list[str | None], k: int = WINDOW) -> tuple[pa.Array, dict[tuple[int, ...], set[int]]]:
@@ -143,10 +145,10 @@ def _hits(index: DataFrame, ids: list[str | None], texts: list[str | None], k: i
                     own = [lists[c] for c in window]
                     if not all(map(len, own)):
                         continue
-                    at = segment.phrase(own, slop)
-                    np.add.at(marks, np.maximum(at - slop, 0), 1)
-                    np.add.at(marks, at + len(window) + slop, -1)
-                    for d in set((np.searchsorted(segment.ends, at, "right") - 1).tolist()):
+                    document, begin, end = segment.phrase(own, slop)
+                    np.add.at(marks, begin, 1)
+                    np.add.at(marks, end, -1)
+                    for d in set(document.tolist()):
                         items[d] |= {names[o] for o in owners if names[o] is not None}
                 edges = np.flatnonzero(np.diff((np.cumsum(marks) > 0).astype(np.int8), prepend=0, append=0))
                 spans: list[list[dict]] = [[] for _ in range(n)]
