@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import text as X
@@ -12,6 +12,7 @@ from folioscope.operators import damage, diagnose, gate, lists, manifest, render
 from folioscope.operators import elements as E
 from folioscope.operators import tables as T
 from folioscope.plans import overlay
+from folioscope.plans.semantic_ir import annotate
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +39,10 @@ def identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.identify(classified(spark, sf_dir))
 
 
+def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotate(overlay.embedded(overlay.elements(documents(spark, sf_dir))))
+
+
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlay.files(documents(spark, sf_dir))
 
@@ -77,14 +82,12 @@ def doc_table_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_figure_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = identified(spark, sf_dir)
-    return E.images(own, overlay.anchors(own), overlay.relationships(own))
+    return E.images(annotated(spark, sf_dir), overlay.relationships(documents(spark, sf_dir)))
 
 
 @query
 def doc_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = identified(spark, sf_dir)
-    return E.context(own, overlay.anchors(own)).withColumn("text", X.ellipsis(F.col("text"), 160))
+    return E.context(identified(spark, sf_dir), (F.col("doc_id") + F.col("body_pos")) % 9 == 0).withColumn("text", X.ellipsis(F.col("text"), 160))
 
 
 @query
@@ -95,10 +98,6 @@ def doc_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Damage, counts, defects
 
 
-def _inspected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return damage.inspect(classified(spark, sf_dir).filter("kind = 'p'"))
-
-
 @query
 def doc_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
@@ -108,7 +107,7 @@ def doc_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return damage.issues(_inspected(spark, sf_dir)).drop("repaired_sample")
+    return damage.issues(damage.inspect(classified(spark, sf_dir).filter("kind = 'p'"))).drop("repaired_sample")
 
 
 @query
@@ -117,25 +116,19 @@ def doc_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damage.inspect(broken, repairing=True).select("doc_id", "damage", "candidate", "final_text")
 
 
-def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = identified(spark, sf_dir)
-    images = E.images(own, overlay.anchors(own), overlay.relationships(own))
-    per_image = images.groupBy("doc_id").agg(F.count("*").alias("images"), F.count_if(F.col("nearby_caption").isNull()).alias("captionless_images"))
-    notes = own.filter("kind = 'tbl'").groupBy("doc_id").agg(F.sum(F.size(T.notes(F.array(F.split("text", " ")))).cast("long")).alias("table_notes"))
-    per_equation = own.filter("kind = 'p' AND text LIKE '%$$%'").groupBy("doc_id").agg(F.count("*").alias("equations"))
-    return diagnose.profile(diagnose.paragraph_counts(own), per_image, notes, per_equation, diagnose.issue_counts(damage.issues(_inspected(spark, sf_dir)))).drop("repairable")
-
-
 @query
 def doc_ir_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profile(spark, sf_dir)
+    return diagnose.profile(annotated(spark, sf_dir)).drop("repairable")
+
+
+def _counts(spark: SparkSession, sf_dir: str, flavor: Column) -> DataFrame:
+    return diagnose.profile(annotated(spark, sf_dir)).withColumn("repairable", F.lit(0).cast("long")).withColumn("defects", diagnose.defects(flavor))
 
 
 @query
 def doc_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     flavor = F.when(F.col("doc_id") % 3 == 0, "strict").when(F.col("doc_id") % 3 == 1, "unknown").otherwise("transitional")
-    own = _profile(spark, sf_dir).withColumn("repairable", F.lit(0))
-    return own.select("doc_id", F.posexplode(diagnose.defects(flavor)).alias("idx", "defect")).withColumn("idx", F.col("idx").cast("long"))
+    return _counts(spark, sf_dir, flavor).select("doc_id", F.posexplode("defects").alias("idx", "defect")).withColumn("idx", F.col("idx").cast("long"))
 
 
 @query
@@ -323,28 +316,19 @@ def compile_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ir_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = identified(spark, sf_dir)
-    counts = _profile(spark, sf_dir)
-    defects = counts.withColumn("repairable", F.lit(0)).select("doc_id", diagnose.defects(F.lit("transitional")).alias("defects"))
-    images = E.images(own, overlay.anchors(own), overlay.relationships(own))
-    return render.ir_summary(own, E.table_captions(own), images, damage.issues(_inspected(spark, sf_dir)), counts, defects)
+    return render.ir_summary(annotated(spark, sf_dir), _counts(spark, sf_dir, F.lit("transitional")))
 
 
 @query
 def authoring_brief(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = identified(spark, sf_dir)
-    anchors = overlay.anchors(own)
-    images = E.images(own, anchors, overlay.relationships(own))
-    defects = _profile(spark, sf_dir).withColumn("repairable", F.lit(0)).select("doc_id", diagnose.defects(F.lit("strict")).alias("defects"))
-    equations = own.filter("kind = 'p' AND text LIKE '%$$%'").select("doc_id", F.format_string("eq%04d", "para_pos").alias("id"), F.col("id").alias("paragraph_id"), F.col("text").alias("text_hint"))
-    return render.brief(own, E.outline(own), E.table_captions(own), images, E.context(own, anchors), equations, defects)
+    return render.brief(annotated(spark, sf_dir), _counts(spark, sf_dir, F.lit("strict")))
 
 
 def _joined_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All optional artifacts of a document in one row."""
     docs = documents(spark, sf_dir).withColumn("project", F.col("doc_id") % 20)
     profile = template.profile(files(spark, sf_dir)).select("project", "main_file", "documentclass", "bibliography_system", "needs_preprocessing")
-    counts = _profile(spark, sf_dir).select("doc_id", "paragraphs", "headings", "tables", "images", "equations", "citation_paragraphs").filter("doc_id % 3 <> 0")
+    counts = diagnose.profile(annotated(spark, sf_dir)).select("doc_id", "paragraphs", "headings", "tables", "images", "equations", "citation_paragraphs").filter("doc_id % 3 <> 0")
     own = gate.summary(_findings(spark, sf_dir), files(spark, sf_dir)).select("project", "findings", "errors", F.col("warnings").alias("gate_warnings")).filter("project <> 3")
     needs = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(X.language(F.col("text")).alias("language"))))
     meta = F.create_map(F.lit("path"), F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.lit("format"), F.lit("docx"), F.lit("has_chinese"), X.has_cjk(F.col("text")).cast("string"), F.lit("chars"), F.length("text").cast("string"))

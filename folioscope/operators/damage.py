@@ -61,16 +61,21 @@ def repair(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield series.map(repaired, na_action="ignore")
 
 
-def inspect(paragraphs: DataFrame, repairing: bool = False) -> DataFrame:
-    """Add damage, candidate and the text to go on with. Only damaged rows reach Python."""
-    out = paragraphs.withColumn("damage", score(F.col("text")))
+def inspect(elements: DataFrame, repairing: bool = False) -> DataFrame:
+    """Add damage, candidate and the text to go on with; nulls for tables. Only damaged texts reach Python."""
+    out = elements.withColumn("damage", score(F.col("text")))
     out = out.withColumn("candidate", repair(F.when(F.col("damage") >= LEAST_SCORE, F.col("text"))))
     return out.withColumn("final_text", F.coalesce("candidate", "text") if repairing else F.col("text"))
 
 
-def issues(inspected: DataFrame) -> DataFrame:
-    """One row for each issue: doc_id, body_pos, issue_type, severity, sample, repaired_sample."""
+def issue_array() -> Column:
+    """The issues of an inspected element: issue_type, severity, sample, repaired_sample."""
     cut = lambda c: F.left(c, F.lit(SAMPLE))
     broken = F.when(F.col("damage") >= LEAST_SCORE, F.struct(F.lit("mojibake").alias("issue_type"), F.lit("warning").alias("severity"), cut(F.col("text")).alias("sample"), cut(F.col("candidate")).alias("repaired_sample")))
     risky = F.when(F.contains("final_text", F.lit(RISKY)), F.struct(F.lit("risky_symbol_mojibake").alias("issue_type"), F.lit("review").alias("severity"), cut(F.col("final_text")).alias("sample"), F.lit(None).cast("string").alias("repaired_sample")))
-    return inspected.select("doc_id", "body_pos", F.explode(F.array_compact(F.array(broken, risky))).alias("i")).select("doc_id", "body_pos", "i.*")
+    return F.array_compact(F.array(broken, risky))
+
+
+def issues(inspected: DataFrame) -> DataFrame:
+    """One row for each issue."""
+    return inspected.select("doc_id", "body_pos", F.explode(issue_array()).alias("i")).select("doc_id", "body_pos", "i.*")

@@ -2,33 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ENTITIES = ("paragraphs", "headings", "tables", "images", "equations", "citation_paragraphs", "text_issues", "defects")
+from folioscope.operators.damage import LEAST_SCORE, RISKY
+
 
+def profile(annotated: DataFrame) -> DataFrame:
+    """All counts of each document in one aggregation.
 
-def paragraph_counts(classified: DataFrame) -> DataFrame:
-    """Per document: paragraphs, headings, candidates, tables, citation paragraphs and bibliography headings."""
+    Reads kind, role, citations, image_ids, nearby_caption, n_notes (of tables),
+    has_math, damage, candidate and final_text of each element.
+    """
     n = lambda c, name: F.count_if(c).alias(name)
-    role = F.col("role")
-    return classified.groupBy("doc_id").agg(
-        n(F.col("kind") == "p", "paragraphs"), n(role.isin("heading", "heading_candidate"), "headings"), n(role == "heading_candidate", "heading_candidates"),
-        n(F.col("kind") == "tbl", "tables"), n(F.size("citations") > 0, "citation_paragraphs"), n(role == "bibliography_heading", "bibliography_headings"),
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    role, n_images = F.col("role"), F.coalesce(F.size("image_ids"), F.lit(0))
+    damaged, risky = F.col("damage") >= LEAST_SCORE, F.contains("final_text", F.lit(RISKY))
+    out = annotated.groupBy("doc_id").agg(
+        n(F.col("kind") == "p", "paragraphs"), n(role.isin("heading", "heading_candidate"), "headings"), n(role == "heading_candidate", "heading_candidates"), n(F.col("kind") == "tbl", "tables"),
+        n(F.size("citations") > 0, "citation_paragraphs"), n(role == "bibliography_heading", "bibliography_headings"), total(n_images, "images"), total(F.when(F.col("nearby_caption").isNull(), n_images), "captionless_images"),
+        total(F.col("n_notes"), "table_notes"), n("has_math", "equations"), n(damaged, "mojibake"), n(damaged & F.col("candidate").isNotNull(), "repairable"), n(risky, "risky"),
     )
-
-
-def issue_counts(issues: DataFrame) -> DataFrame:
-    kind = F.col("issue_type")
-    return issues.groupBy("doc_id").agg(F.count("*").alias("text_issues"), F.count_if(kind == "mojibake").alias("mojibake"), F.count_if((kind == "mojibake") & F.col("repaired_sample").isNotNull()).alias("repairable"), F.count_if(kind == "risky_symbol_mojibake").alias("risky"))
-
-
-def profile(counts: DataFrame, *others: DataFrame) -> DataFrame:
-    """All counts of a document in one row; a count that a document lacks is 0."""
-    out = reduce(lambda a, b: a.join(b, "doc_id", "left"), others, counts)
-    return out.na.fill(0)
+    return out.withColumn("text_issues", F.col("mojibake") + F.col("risky"))
 
 
 def defects(flavor: Column) -> Column:

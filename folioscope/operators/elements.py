@@ -75,49 +75,83 @@ def classify(elements: DataFrame) -> DataFrame:
     return strip_text(elements).withColumns({"role": F.when(paragraph, role(text, style)), "level": F.when(paragraph, level(text, style)), "citations": F.when(paragraph, citations(text))})
 
 
-def _by_document(*more: str) -> Window:
-    return Window.partitionBy("doc_id", *more).orderBy("body_pos")
+def _so_far(kind: str) -> Column:
+    """How many elements of a kind a document has up to this one."""
+    return F.count(F.when(F.col("kind") == kind, 1)).over(Window.partitionBy("doc_id").orderBy("body_pos"))
 
 
 def identify(elements: DataFrame) -> DataFrame:
-    """Add the ordinal id of each element among those of its kind, and of paragraphs their position (from 0)."""
-    n = F.row_number().over(_by_document("kind"))
-    return elements.withColumns({"id": F.when(F.col("kind") == "p", F.format_string("p%05d", n)).otherwise(F.format_string("tab%04d", n)), "para_pos": F.when(F.col("kind") == "p", (n - 1).cast("long"))})
+    """Add the ordinal id of each element among those of its kind, and of paragraphs their position (from 0).
 
+    All windows here and below partition by doc_id, so they share one exchange.
+    """
+    paragraph = F.col("kind") == "p"
+    number = F.when(paragraph, F.format_string("p%05d", _so_far("p"))).otherwise(F.format_string("tab%04d", _so_far("tbl")))
+    return elements.withColumns({"id": number, "para_pos": F.when(paragraph, (_so_far("p") - 1).cast("long"))})
 
-def table_captions(classified: DataFrame) -> DataFrame:
-    """Tables with the last table caption since the table before, which is then used up."""
-    is_table = F.col("kind") == "tbl"
-    segment = F.coalesce(F.sum(is_table.cast("int")).over(_by_document().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    caption = F.last(F.when(F.col("role") == "table_caption", F.struct("text", "id")), ignorenulls=True).over(_by_document("segment").rowsBetween(Window.unboundedPreceding, -1))
-    return classified.withColumn("segment", segment).withColumn("found", caption).filter(is_table).select("doc_id", "body_pos", "id", F.col("found.text").alias("caption"), F.col("found.id").alias("caption_paragraph_id"))
 
+def with_captions(identified: DataFrame, radius: int = 2) -> DataFrame:
+    """Add nearby_caption to paragraphs and caption and caption_paragraph_id to tables.
 
-def figure_captions(classified: DataFrame, radius: int = 2) -> DataFrame:
-    """Paragraphs with the first figure caption among those up to ``radius`` paragraphs around."""
-    near = Window.partitionBy("doc_id").orderBy("para_pos").rowsBetween(-radius, radius)
-    caption = F.first(F.when(F.col("role") == "figure_caption", F.col("text")), ignorenulls=True).over(near)
-    return classified.filter("kind = 'p'").select("doc_id", "para_pos", "id", caption.alias("nearby_caption"))
+    A paragraph takes the first figure caption among those up to ``radius``
+    paragraphs around; a table the last table caption since the table before,
+    which is then used up.
+    """
+    ordered = Window.partitionBy("doc_id").orderBy("body_pos")
+    near = Window.partitionBy("doc_id", "kind").orderBy("body_pos").rowsBetween(-radius, radius)
+    segment = F.coalesce(F.count(F.when(F.col("kind") == "tbl", 1)).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    since = Window.partitionBy("doc_id", "segment").orderBy("body_pos").rowsBetween(Window.unboundedPreceding, -1)
+    found = F.last(F.when(F.col("role") == "table_caption", F.struct("text", "id")), ignorenulls=True).over(since)
+    out = identified.withColumn("segment", segment).withColumn("found", F.when(F.col("kind") == "tbl", found))
+    out = out.withColumn("nearby_caption", F.when(F.col("kind") == "p", F.first(F.when(F.col("role") == "figure_caption", F.col("text")), ignorenulls=True).over(near)))
+    return out.withColumns({"caption": F.col("found.text"), "caption_paragraph_id": F.col("found.id")}).drop("segment", "found")
 
 
-def images(classified: DataFrame, anchors: DataFrame, relationships: DataFrame) -> DataFrame:
-    """Images (doc_id, para_pos, rel_id) in order, with their id, target and caption."""
-    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("para_pos", "rel_id"))
-    own = anchors.withColumn("id", F.format_string("img%04d", n)).join(relationships, ["doc_id", "rel_id"], "left")
-    return own.join(figure_captions(classified).select("doc_id", "para_pos", "nearby_caption"), ["doc_id", "para_pos"], "left").select("doc_id", "id", "para_pos", "rel_id", "target", "nearby_caption")
+def table_captions(identified: DataFrame) -> DataFrame:
+    """Tables with their captions."""
+    return with_captions(identified).filter("kind = 'tbl'").select("doc_id", "body_pos", "id", "caption", "caption_paragraph_id")
 
 
-def context(classified: DataFrame, anchors: DataFrame, radius: int = 2) -> DataFrame:
-    """The other paragraphs with text up to ``radius`` positions around each anchor (doc_id, para_pos), as rows with their offset."""
-    around = anchors.select("doc_id", F.col("para_pos").alias("anchor"), F.explode(F.sequence(F.lit(-radius), F.lit(radius))).alias("offset")).withColumn("para_pos", F.col("anchor") + F.col("offset"))
-    return around.join(classified.filter("kind = 'p' AND text <> ''").select("doc_id", "para_pos", "text", "role"), ["doc_id", "para_pos"]).select("doc_id", "anchor", F.col("offset").cast("long").alias("offset"), "role", "text")
+def figure_captions(identified: DataFrame, radius: int = 2) -> DataFrame:
+    """Paragraphs with the figure caption nearby."""
+    return with_captions(identified, radius).filter("kind = 'p'").select("doc_id", "para_pos", "id", "nearby_caption")
 
 
-def outline(classified: DataFrame) -> DataFrame:
-    """Headings in order as marked lines."""
+def with_images(captioned: DataFrame) -> DataFrame:
+    """Add image_ids: the ids of a paragraph's embedded images (rel_ids), numbered through the document."""
+    n = F.coalesce(F.size("rel_ids"), F.lit(0))
+    before = F.coalesce(F.sum(n).over(Window.partitionBy("doc_id").orderBy("body_pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = captioned.withColumn("images_before", before)
+    return out.withColumn("image_ids", F.transform(F.coalesce("rel_ids", F.array().cast("array<string>")), lambda _, i: F.format_string("img%04d", F.col("images_before") + i + 1))).drop("images_before")
+
+
+def images(with_ids: DataFrame, relationships: DataFrame) -> DataFrame:
+    """Images in order, with their target (null for a relationship that isn't there) and the caption nearby."""
+    own = with_ids.select("doc_id", "para_pos", "nearby_caption", F.explode(F.arrays_zip("image_ids", "rel_ids")).alias("i"))
+    own = own.select("doc_id", F.col("i.image_ids").alias("id"), "para_pos", F.col("i.rel_ids").alias("rel_id"), "nearby_caption")
+    return own.join(relationships, ["doc_id", "rel_id"], "left").select("doc_id", "id", "para_pos", "rel_id", "target", "nearby_caption")
+
+
+def with_context(identified: DataFrame, radius: int = 2) -> DataFrame:
+    """Add context to paragraphs: those with text up to ``radius`` positions around, as (offset, role, text)."""
+    near = Window.partitionBy("doc_id", "kind").orderBy("body_pos").rowsBetween(-radius, radius)
+    around = F.collect_list(F.struct("para_pos", "role", "text")).over(near)
+    own = F.transform(F.filter(around, lambda x: x["text"] != ""), lambda x: F.struct((x["para_pos"] - F.col("para_pos")).cast("long").alias("offset"), x["role"].alias("role"), x["text"].alias("text")))
+    return identified.withColumn("context", F.when(F.col("kind") == "p", own))
+
+
+def context(identified: DataFrame, anchor: Column, radius: int = 2) -> DataFrame:
+    """The surroundings of each paragraph for which ``anchor`` holds, as rows."""
+    own = with_context(identified, radius).filter(anchor & (F.col("kind") == "p"))
+    return own.select("doc_id", F.col("para_pos").alias("anchor"), F.explode("context").alias("c")).select("doc_id", "anchor", "c.*")
+
+
+def outline_line() -> Column:
+    """The marked line of a heading; null for other elements."""
     marker = F.repeat(F.lit("#"), F.least(F.lit(6), F.coalesce("level", F.lit(1)) + 2))
-    line = F.concat_ws(" ", marker, "text", F.when(F.col("role") == "heading_candidate", "(candidate)"))
-    return classified.filter(F.col("role").isin("heading", "heading_candidate")).select("doc_id", "body_pos", line.alias("line"))
+    return F.when(F.col("role").isin("heading", "heading_candidate"), F.concat_ws(" ", marker, "text", F.when(F.col("role") == "heading_candidate", "(candidate)")))
 
 
-__all__ = ["citations", "classify", "context", "figure_captions", "identify", "images", "level", "lines", "outline", "role", "strip_text", "style_level", "table_captions"]
+def outline(classified: DataFrame) -> DataFrame:
+    """Headings in order as marked lines."""
+    return classified.select("doc_id", "body_pos", outline_line().alias("line")).filter("line IS NOT NULL")

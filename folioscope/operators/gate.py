@@ -71,46 +71,51 @@ def file_rules() -> list[FileRule]:
     ]
 
 
-def _finding(df: DataFrame, ordinal: int, check: str, severity: str, n: Column | None = None, listed: Column | None = None) -> DataFrame:
-    return df.select("project", F.lit(ordinal).alias("rule_ordinal"), F.lit(severity).alias("severity"), F.lit(check).alias("check"), (F.lit(1) if n is None else n).cast("long").alias("n"), (F.array().cast("array<string>") if listed is None else listed).alias("paths"))
+#: Facts of a file that rules of a whole project need, beside the rules of files.
+MARKED, CHAPTERS, FORMULAS, NUMBERED, RENDERS = "marked", "chapters", "formulas", "numbered", "renders"
 
 
-def _file_findings(files: DataFrame) -> DataFrame:
-    """All file rules in one pass: each file is read once and gives the rules that it breaks."""
-    rules = file_rules()
-    broken = F.array_compact(
-        F.array(*[F.when(paths.one_of(F.col("rel_path"), r.suffixes) & F.coalesce(r.fires, F.lit(False)), F.struct(F.lit(r.ordinal).alias("rule_ordinal"), F.lit(r.severity).alias("severity"), F.lit(r.check).alias("check"), F.lit(r.per_file).alias("per_file"))) for r in rules])
-    )
-    rows = files.filter(paths.one_of(F.col("rel_path"), TEXT)).select("project", "rel_path", F.explode(broken).alias("r")).select("project", "rel_path", "r.*")
-    key = F.when(F.col("per_file"), F.col("rel_path")).otherwise("")
-    grouped = rows.groupBy("project", "rule_ordinal", "severity", "check", key.alias("own")).agg(F.countDistinct("rel_path").alias("n"), F.array_sort(F.collect_set("rel_path")).alias("paths"))
-    return grouped.select("project", "rule_ordinal", "severity", "check", "n", "paths")
+def _evidence(files: DataFrame) -> DataFrame:
+    """One row per project with the rules that its files break and the facts they show; texts are read once.
+
+    evidence: array of (code, n, files), code being a rule's ordinal or a fact's
+    name; as many entries as there are codes, however many files a project has.
+    """
+    text = F.col("text")
+    inside = lambda part: _in(text, part)
+    latex, own = paths.one_of(F.col("rel_path"), LATEX), F.col("rel_path")
+    facts = [
+        (MARKED, has(text, MARKER), F.lit(1)),
+        (CHAPTERS, latex & has(text, CHAPTER_CLASS, EXACT), F.lit(1)),
+        (FORMULAS, latex & (inside(r"\begin{equation}") | inside(r"\begin{align}")), F.lit(1)),
+        (NUMBERED, latex & (inside(r"\numberwithin{equation}{chapter}") | inside(r"\thechapter-\arabic{equation}")), F.lit(1)),
+        (RENDERS, inside(r"\begin{"), count("text", RENDERED, "")),
+    ]
+    rules = [(str(r.ordinal), paths.one_of(own, r.suffixes) & r.fires, F.lit(1)) for r in file_rules()]
+    shown = F.array_compact(F.array(*[F.when(F.coalesce(fires, F.lit(False)), F.struct(F.lit(code).alias("code"), n.cast("long").alias("n"))) for code, fires, n in rules + facts]))
+    rows = files.filter(paths.one_of(own, TEXT)).select("project", "rel_path", F.explode(shown).alias("e")).select("project", "rel_path", "e.*")
+    listed = F.array_sort(F.collect_set(F.when(~F.col("code").isin(*[c for c, _, _ in facts]), F.col("rel_path"))))
+    per = rows.groupBy("project", "code").agg(F.sum("n").alias("n"), listed.alias("files"))
+    return per.groupBy("project").agg(F.collect_list(F.struct("code", "n", "files")).alias("evidence"))
 
 
 def structure(files: DataFrame) -> DataFrame:
-    """Facts of each project's layout."""
+    """Facts of each project's layout and images; reads paths and sizes only."""
     path = F.col("rel_path")
     any_ = lambda c, name: F.coalesce(F.bool_or(c), F.lit(False)).alias(name)
-    flat = path.rlike(r"^content/[^/]+\.tex$")
+    flat, inside = path.rlike(r"^content/[^/]+\.tex$"), path.startswith("content/")
+    image = paths.one_of(path, IMAGES)
+    small = F.col("size_bytes") < TINY_BYTES
+    if "width" in files.columns:
+        small = small | F.coalesce(F.least("width", "height") < TINY_SIDE, F.lit(False))
+    tiny = lambda c, name: [F.count_if(c & image & small).alias(f"n_{name}"), F.slice(F.array_sort(F.collect_set(F.when(c & image & small, path))), 1, LISTED).alias(name)]
     return files.groupBy("project").agg(
-        any_(path == "main.tex", "main"), any_(path.startswith("source/"), "source"), any_(path == "conversion_report.md", "report"), any_(path.startswith("content/"), "content"),
-        any_(path.rlike(rf"^content/({'|'.join(SEMANTIC)})/.*\.tex$"), "semantic"), F.count_if(flat).alias("n_flat"), F.array_sort(F.collect_set(F.when(flat, path))).alias("flat"),
+        any_(path == "main.tex", "main"), any_(path.startswith("source/"), "source"), any_(path == "conversion_report.md", "report"), any_(inside, "content"),
+        any_(path.rlike(rf"^content/({'|'.join(SEMANTIC)})/.*\.tex$"), "semantic"), F.array_sort(F.collect_set(F.when(flat, path))).alias("flat"),
+        F.count_if(image).alias("n_images"), F.count_if(image & inside).alias("n_images_content"), *tiny(F.lit(True), "tiny"), *tiny(inside, "tiny_content"),
     )
 
 
-def _structure_findings(files: DataFrame) -> DataFrame:
-    s = structure(files)
-    found = [
-        (2, "error", ~F.col("main"), F.lit("main.tex"), None),
-        (3, "warning", ~F.col("source"), F.lit("source/"), None),
-        (4, "warning", ~F.col("report"), F.lit("conversion_report.md"), None),
-        (5, "warning", F.col("content") & (F.col("n_flat") > FLAT) & ~F.col("semantic"), None, F.col("flat")),
-        (6, "error", ~F.col("content"), F.lit("content/"), None),
-    ]
-    one = lambda o, sev, fires, name, listed: F.when(fires, F.struct(F.lit(o).alias("rule_ordinal"), F.lit(sev).alias("severity"), F.lit("structure").alias("check"), (F.lit(1) if listed is None else F.size(listed)).cast("long").alias("n"), (F.array(name) if listed is None else listed).alias("paths")))
-    return s.select("project", F.explode(F.array_compact(F.array(*[one(*f) for f in found]))).alias("f")).select("project", "f.*")
-
-
 def graphics_references(files: DataFrame) -> DataFrame:
     """Every reference with the file it means: the exact path, or for a name without suffix one with the suffix of an image.
 
@@ -129,74 +134,82 @@ def graphics_references(files: DataFrame) -> DataFrame:
 def image_files(files: DataFrame) -> DataFrame:
     """Images below content/ if the project has that folder, else anywhere."""
     has_content = files.groupBy("project").agg(F.bool_or(F.col("rel_path").startswith("content/")).alias("content"))
-    own = files.filter(paths.one_of(F.col("rel_path"), IMAGES)).join(has_content, "project")
-    return own.filter(~F.col("content") | F.col("rel_path").startswith("content/")).drop("content", "text")
+    own = files.filter(paths.one_of(F.col("rel_path"), IMAGES)).select("project", "rel_path", "size_bytes").join(has_content, "project")
+    return own.filter(~F.col("content") | F.col("rel_path").startswith("content/")).drop("content")
 
 
-def unreferenced(files: DataFrame) -> DataFrame:
-    used = graphics_references(files).filter("resolved IS NOT NULL").select("project", F.col("resolved").alias("rel_path")).distinct()
+def unreferenced(files: DataFrame, references: DataFrame | None = None) -> DataFrame:
+    used = (graphics_references(files) if references is None else references).filter("resolved IS NOT NULL").select("project", F.col("resolved").alias("rel_path")).distinct()
     return image_files(files).join(used, ["project", "rel_path"], "left_anti")
 
 
-def _graphics_findings(files: DataFrame) -> DataFrame:
-    references = graphics_references(files)
-    line = F.concat_ws(": ", "rel_path", "raw")
-    listed = lambda c: F.slice(F.array_sort(F.collect_list(F.when(c, line))), 1, LISTED)
-    missing, unsupported = F.col("resolved").isNull(), F.col("suffix").isin(*UNSUPPORTED)
-    marked = files.filter(paths.one_of(F.col("rel_path"), TEXT)).groupBy("project").agg(F.coalesce(F.bool_or(has("text", MARKER)), F.lit(False)).alias("marked"))
-    r = references.groupBy("project").agg(F.count_if(missing).alias("n_missing"), listed(missing).alias("missing"), F.count_if(unsupported).alias("n_unsupported"), listed(unsupported).alias("unsupported")).join(marked, "project", "left")
-    none = F.array().cast("array<string>")
-    one = lambda o, sev, check, fires, n, p: F.when(fires, F.struct(F.lit(o).alias("rule_ordinal"), F.lit(sev).alias("severity"), F.lit(check).alias("check"), n.cast("long").alias("n"), p.alias("paths")))
-    found = [
-        one(7, "error", "missing_graphics", F.col("n_missing") > 0, F.col("n_missing"), F.col("missing")),
-        one(8, "error", "unsupported_graphics", F.col("n_unsupported") > 0, F.col("n_unsupported"), F.col("unsupported")),
-        one(19, "warning", "review_placeholders", (F.col("n_missing") + F.col("n_unsupported") > 0) & ~F.coalesce("marked", F.lit(False)), F.lit(1), none),
-    ]
-    own = r.select("project", F.explode(F.array_compact(F.array(*found))).alias("f")).select("project", "f.*")
-
-    small = F.col("size_bytes") < TINY_BYTES
-    if "width" in files.columns:
-        small = small | F.coalesce(F.least("width", "height") < TINY_SIDE, F.lit(False))
-    images = image_files(files).withColumn("tiny", small)
-    loose = unreferenced(files).groupBy("project").agg(F.count("*").alias("loose"))
-    i = images.groupBy("project").agg(F.count("*").alias("images"), F.count_if("tiny").alias("n_tiny"), F.slice(F.array_sort(F.collect_list(F.when(F.col("tiny"), F.col("rel_path")))), 1, LISTED).alias("tiny")).join(loose, "project", "left").na.fill(0, ["loose"])
-    found = [
-        one(20, "warning", "images", F.col("loose") / F.col("images") > UNREFERENCED, F.col("loose"), none),
-        one(21, "warning", "images", F.col("n_tiny") >= TINY, F.col("n_tiny"), F.col("tiny")),
-    ]
-    return own.unionByName(i.select("project", F.explode(F.array_compact(F.array(*found))).alias("f")).select("project", "f.*"))
-
-
-def _numbering_findings(files: DataFrame) -> DataFrame:
-    text = F.col("text")
-    any_ = lambda c, name: F.coalesce(F.bool_or(c), F.lit(False)).alias(name)
-    facts = files.filter(paths.one_of(F.col("rel_path"), LATEX)).groupBy("project").agg(
-        any_(has(text, CHAPTER_CLASS, EXACT), "chapters"), any_(_in(text, r"\begin{equation}") | _in(text, r"\begin{align}"), "formulas"),
-        any_(_in(text, r"\numberwithin{equation}{chapter}") | _in(text, r"\thechapter-\arabic{equation}"), "numbering"),
-    )
-    return _finding(facts.filter("chapters AND formulas AND NOT numbering"), 16, "formula_numbering", "warning")
-
-
 def rendered_tables(files: DataFrame) -> DataFrame:
     """Number of table environments of each project."""
     return files.filter(paths.one_of(F.col("rel_path"), TEXT)).groupBy("project").agg(F.sum(count("text", RENDERED, "")).alias("rendered"))
 
 
-def table_coverage(files: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Findings where fewer tables are rendered than were extracted (project, extracted)."""
-    both = extracted.join(rendered_tables(files), "project", "left").withColumn("rendered", F.coalesce("rendered", F.lit(0)))
-    return _finding(both.filter((F.col("extracted") > 0) & (F.col("rendered") < F.col("extracted"))), 22, "table_coverage", "warning", F.col("extracted") - F.col("rendered"))
+def table_coverage(extracted: Column, rendered: Column) -> Column:
+    """How many extracted tables are not rendered."""
+    return F.greatest(F.lit(0), F.coalesce(extracted, F.lit(0)) - F.coalesce(rendered, F.lit(0)))
+
+
+def _references_by_project(references: DataFrame) -> DataFrame:
+    line = F.concat_ws(": ", "rel_path", "raw")
+    listed = lambda c: F.slice(F.array_sort(F.collect_list(F.when(c, line))), 1, LISTED)
+    missing, unsupported = F.col("resolved").isNull(), F.col("suffix").isin(*UNSUPPORTED)
+    return references.groupBy("project").agg(F.count_if(missing).alias("n_missing"), listed(missing).alias("missing"), F.count_if(unsupported).alias("n_unsupported"), listed(unsupported).alias("unsupported"))
 
 
 def findings(files: DataFrame, extracted: DataFrame | None = None) -> DataFrame:
-    """All findings of all projects."""
-    parts = [_file_findings(files), _structure_findings(files), _graphics_findings(files), _numbering_findings(files)]
-    if extracted is not None:
-        parts.append(table_coverage(files, extracted))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """All findings of all projects (extracted: project, extracted): one row of facts per project, from which all rules are told."""
+    references = graphics_references(files)
+    loose = unreferenced(files, references).groupBy("project").agg(F.count("*").alias("loose"))
+    facts = structure(files)
+    for other in (_evidence(files), _references_by_project(references), loose, *([] if extracted is None else [extracted.select("project", "extracted")])):
+        facts = facts.join(other, "project", "left")
+    if extracted is None:
+        facts = facts.withColumn("extracted", F.lit(0))
+    nothing = F.array().cast("array<string>")
+    facts = facts.withColumn("evidence", F.map_from_entries(F.transform(F.coalesce("evidence", F.array().cast("array<struct<code:string,n:bigint,files:array<string>>>")), lambda e: F.struct(e["code"].alias("k"), F.struct(e["n"].alias("n"), e["files"].alias("files")).alias("v")))))
+    entry = lambda code: F.try_element_at("evidence", F.lit(code))
+    shows = lambda code: entry(code).isNotNull()
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    images, n_tiny = F.when(F.col("content"), F.col("n_images_content")).otherwise(F.col("n_images")), F.when(F.col("content"), F.col("n_tiny_content")).otherwise(F.col("n_tiny"))
+    uncovered = table_coverage(F.col("extracted"), entry(RENDERS)["n"])
+    gone, foreign = number("n_missing"), number("n_unsupported")
+
+    def one(ordinal: int, severity: str, check: str, fires: Column, n: Column, listed: Column = nothing) -> Column:
+        return F.when(F.coalesce(fires, F.lit(False)), F.struct(F.lit(ordinal).alias("rule_ordinal"), F.lit(severity).alias("severity"), F.lit(check).alias("check"), n.cast("long").alias("n"), listed.alias("paths")))
+
+    whole, apart = [], []
+    for r in file_rules():
+        own = entry(str(r.ordinal))
+        if r.per_file:
+            apart.append(F.coalesce(_each(own["files"], r), F.slice(_each(F.array(F.lit("")), r), 1, 0)))
+        else:
+            whole.append(one(r.ordinal, r.severity, r.check, own.isNotNull(), F.size(own["files"]), own["files"]))
+    name = lambda x: F.array(F.lit(x))
+    whole += [
+        one(2, "error", "structure", ~F.col("main"), F.lit(1), name("main.tex")),
+        one(3, "warning", "structure", ~F.col("source"), F.lit(1), name("source/")),
+        one(4, "warning", "structure", ~F.col("report"), F.lit(1), name("conversion_report.md")),
+        one(5, "warning", "structure", F.col("content") & (F.size("flat") > FLAT) & ~F.col("semantic"), F.size("flat"), F.col("flat")),
+        one(6, "error", "structure", ~F.col("content"), F.lit(1), name("content/")),
+        one(7, "error", "missing_graphics", gone > 0, gone, F.col("missing")),
+        one(8, "error", "unsupported_graphics", foreign > 0, foreign, F.col("unsupported")),
+        one(16, "warning", "formula_numbering", shows(CHAPTERS) & shows(FORMULAS) & ~shows(NUMBERED), F.lit(1)),
+        one(19, "warning", "review_placeholders", (gone + foreign > 0) & ~shows(MARKED), F.lit(1)),
+        one(20, "warning", "images", F.try_divide(number("loose"), images) > UNREFERENCED, number("loose")),
+        one(21, "warning", "images", n_tiny >= TINY, n_tiny, F.when(F.col("content"), F.col("tiny_content")).otherwise(F.col("tiny"))),
+        one(22, "warning", "table_coverage", uncovered > 0, uncovered),
+    ]
+    found = F.array_compact(F.array(*whole))
+    return facts.select("project", F.explode(F.concat(found, *apart)).alias("f")).select("project", "f.*")
+
+
+def _each(listed: Column, rule: FileRule) -> Column:
+    """A finding for each file of a list."""
+    return F.transform(listed, lambda p: F.struct(F.lit(rule.ordinal).alias("rule_ordinal"), F.lit(rule.severity).alias("severity"), F.lit(rule.check).alias("check"), F.lit(1).cast("long").alias("n"), F.array(p).alias("paths")))
 
 
 def summary(found: DataFrame, projects: DataFrame, strict: bool = False) -> DataFrame:

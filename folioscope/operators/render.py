@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import bullets, ellipsis, recorded
+from folioscope.operators.damage import issue_array
+from folioscope.operators.elements import outline_line
 
 
 def part(df: DataFrame, key: str, section: int, line: Column, *order: str) -> DataFrame:
@@ -27,43 +29,57 @@ def assemble(keys: DataFrame, key: str, titles: list[tuple[str, str | None]], pa
     return own.groupBy("key").agg(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section", block.alias("block")))), lambda b: b["block"]), "\n\n"), F.lit("\n")).alias("text")).withColumnRenamed("key", key)
 
 
-def ir_summary(classified: DataFrame, tables: DataFrame, images: DataFrame, issues: DataFrame, counts: DataFrame, defects: DataFrame) -> DataFrame:
-    """The review summary of each document's extraction."""
-    listed = classified.filter(F.col("role").isin("heading", "heading_candidate", "abstract", "keywords", "bibliography_heading"))
+def lines(df: DataFrame, key: str, *found: tuple[int, Column, Column | None]) -> DataFrame:
+    """Lines of several sections from one pass: (section, position, line or array of lines); null lines are left out."""
+    as_array = lambda c: c if isinstance(c, list) else [c]
+    parts = [F.array(*[F.struct(F.lit(s).alias("section"), F.lpad(p.cast("string"), 12, "0").alias("position"), x.alias("line")) for x in as_array(line)]) for s, p, line in found]
+    own = df.select(F.col(key).alias("key"), F.explode(F.concat(*parts)).alias("l")).select("key", "l.*")
+    return own.filter("line IS NOT NULL AND line <> ''")
+
+
+def _listed(values: Column, line) -> Column:  # noqa: ANN001
+    """The entries of an array as one text of lines; null if there are none."""
+    return F.when(F.size(values) > 0, F.array_join(F.transform(values, line), "\n"))
+
+
+def _count_lines(counts: DataFrame) -> Column:
+    names = [c for c, t in counts.dtypes if t == "bigint" and c != "doc_id"]
+    return F.array_join(F.array(*[F.concat(F.lit(f"- {c}: "), F.col(c).cast("string")) for c in names]), "\n")
+
+
+def ir_summary(annotated: DataFrame, counts: DataFrame) -> DataFrame:
+    """The review summary of each document: from its annotated elements (with captions, image ids and damage) and its counts with defects."""
+    kept = F.col("role").isin("heading", "heading_candidate", "abstract", "keywords", "bibliography_heading")
     level = F.when(F.col("level").isNotNull(), F.concat(F.lit(" level "), F.col("level").cast("string"))).otherwise("")
-    names = [c for c in counts.columns if c != "doc_id"]
-    measured = counts.select("doc_id", F.posexplode(F.array(*[F.concat(F.lit(f"- {c}: "), F.col(c).cast("string")) for c in names])))
-    repair = F.coalesce(F.concat(F.lit("; could read: "), F.left("repaired_sample", F.lit(80))), F.lit(""))
-    return assemble(
-        counts, "doc_id",
-        [("# Extraction summary", None), ("## Structure", None), ("## Tables", None), ("## Images", None), ("## Text issues", "- none found"), ("## Defects", "- none found")],
-        [
-            part(measured, "doc_id", 0, F.col("col"), "pos"),
-            part(listed, "doc_id", 1, F.concat(F.lit("- "), "id", F.lit(" "), "role", level, F.lit(": "), F.left("text", F.lit(120))), "body_pos"),
-            part(tables, "doc_id", 2, F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("caption", F.lit("(no caption)"))), "body_pos"),
-            part(images, "doc_id", 3, F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("nearby_caption", F.lit("(no caption nearby)"))), "id"),
-            part(issues, "doc_id", 4, F.concat(F.lit("- "), "issue_type", F.lit(": "), F.left("sample", F.lit(100)), repair), "body_pos", "issue_type"),
-            part(defects.select("doc_id", F.posexplode("defects")), "doc_id", 5, F.concat(F.lit("- "), "col"), "pos"),
-        ],
+    issue = lambda i: F.concat(F.lit("- "), i["issue_type"], F.lit(": "), F.left(i["sample"], F.lit(100)), F.coalesce(F.concat(F.lit("; could read: "), F.left(i["repaired_sample"], F.lit(80))), F.lit("")))
+    at = F.col("body_pos")
+    own = lines(
+        annotated, "doc_id",
+        (1, at, F.when(kept, F.concat(F.lit("- "), "id", F.lit(" "), "role", level, F.lit(": "), F.left("text", F.lit(120))))),
+        (2, at, F.when(F.col("kind") == "tbl", F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("caption", F.lit("(no caption)"))))),
+        (3, at, _listed(F.col("image_ids"), lambda i: F.concat(F.lit("- "), i, F.lit(": "), F.coalesce("nearby_caption", F.lit("(no caption nearby)"))))),
+        (4, at, _listed(issue_array(), issue)),
     )
+    whole = lines(counts, "doc_id", (0, F.lit(0), _count_lines(counts)), (5, F.lit(0), _listed(F.col("defects"), lambda d: F.concat(F.lit("- "), d))))
+    titles = [("# Extraction summary", None), ("## Structure", "- none found"), ("## Tables", "- none found"), ("## Images", "- none found"), ("## Text issues", "- none found"), ("## Defects", "- none found")]
+    return assemble(counts, "doc_id", titles, [own, whole])
 
 
-def brief(classified: DataFrame, outline: DataFrame, tables: DataFrame, images: DataFrame, context: DataFrame, equations: DataFrame, defects: DataFrame) -> DataFrame:
+def brief(annotated: DataFrame, counts: DataFrame) -> DataFrame:
     """The authoring brief of each document: defects, outline, figures with their surroundings, tables and formulas."""
-    near = context.withColumn("n", F.col("anchor") * 16 + F.col("offset") + 8)
-    figures = images.withColumn("n", F.col("para_pos") * 16)
-    return assemble(
-        classified, "doc_id",
-        [("# Authoring brief", "Source facts for authoring; uncertain parts stay marked for review."), ("## Defects", "- none found"), ("## Outline", "- no reliable headings"), ("## Figures", "- no images"), ("## Tables", "- no tables"), ("## Formulas", "- no formulas")],
-        [
-            part(defects.select("doc_id", F.posexplode("defects")), "doc_id", 1, F.concat(F.lit("- "), "col"), "pos"),
-            part(outline, "doc_id", 2, ellipsis(F.col("line"), 120), "body_pos"),
-            part(figures, "doc_id", 3, F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("nearby_caption", F.lit("(no caption nearby)"))), "n"),
-            part(near, "doc_id", 3, F.concat(F.lit("  - ("), "role", F.lit("): "), ellipsis(F.col("text"), 160)), "n"),
-            part(tables, "doc_id", 4, F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("caption", F.lit("(no caption)"))), "body_pos"),
-            part(equations, "doc_id", 5, F.concat(F.lit("- "), "id", F.lit(" near "), "paragraph_id", F.lit(": "), F.coalesce(F.nullif(ellipsis(F.col("text_hint"), 120), F.lit("")), F.lit("(no text)"))), "id"),
-        ],
+    at = F.col("body_pos")
+    near = _listed(F.col("context"), lambda c: F.concat(F.lit("  - ("), c["role"], F.lit("): "), ellipsis(c["text"], 160)))
+    figure = _listed(F.col("image_ids"), lambda i: F.concat(F.lit("- "), i, F.lit(": "), F.coalesce("nearby_caption", F.lit("(no caption nearby)"))))
+    own = lines(
+        annotated, "doc_id",
+        (2, at, ellipsis(outline_line(), 120)),
+        (3, at, F.when(figure.isNotNull(), F.concat_ws("\n", figure, near))),
+        (4, at, F.when(F.col("kind") == "tbl", F.concat(F.lit("- "), "id", F.lit(": "), F.coalesce("caption", F.lit("(no caption)"))))),
+        (5, at, F.when(F.col("has_math"), F.concat(F.lit("- near "), "id", F.lit(": "), F.coalesce(F.nullif(ellipsis(F.col("text"), 120), F.lit("")), F.lit("(no text)"))))),
     )
+    whole = lines(counts, "doc_id", (1, F.lit(0), _listed(F.col("defects"), lambda d: F.concat(F.lit("- "), d))))
+    titles = [("# Authoring brief", "Source facts for authoring; uncertain parts stay marked for review."), ("## Defects", "- none found"), ("## Outline", "- no reliable headings"), ("## Figures", "- no images"), ("## Tables", "- no tables"), ("## Formulas", "- no formulas")]
+    return assemble(counts, "doc_id", titles, [own, whole])
 
 
 def _records(*pairs: tuple[str, str]) -> Column:

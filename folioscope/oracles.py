@@ -269,3 +269,41 @@ ORACLES: dict[str, str] = {
     "list_values": "SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'a|b|c|d' WHEN 1 THEN 'x|y|z|a' WHEN 2 THEN 'p|q|a' WHEN 3 THEN 'one|a' WHEN 4 THEN '12|a' ELSE 'a' END || '|d' || (doc_id % 3) AS merged FROM documents",
     "compile_status": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'Not run' WHEN 1 THEN 'Environment blocker' WHEN 2 THEN 'True' WHEN 3 THEN 'False' ELSE 'partial' END AS status, CASE WHEN doc_id % 5 = 1 THEN '- no engine' ELSE '- None recorded' END AS notes FROM documents",
 }
+
+# Reports
+
+_N = ["paragraphs", "headings", "heading_candidates", "tables", "citation_paragraphs", "bibliography_headings", "images", "captionless_images", "table_notes", "equations", "mojibake", "repairable", "risky", "text_issues"]
+_lines = " || chr(10) || ".join(f"'- {c}: ' || {'0' if c == 'repairable' else c}" for c in _N)
+_section = lambda title, body, note="- none found": f"'## {title}' || repeat(chr(10), 2) || coalesce({body}, '{note}')"
+_per = lambda name, line, source, where, order="body_pos": f"{name} AS (SELECT doc_id, string_agg({line}, chr(10) ORDER BY {order}) AS {name} FROM {source} WHERE {where} GROUP BY doc_id)"
+_image = "'- ' || id || ': ' || coalesce(nearby_caption, '(no caption nearby)')"
+_captioned = "'- ' || id || ': ' || coalesce(caption, '(no caption)')"
+ORACLES["ir_summary"] = f"""WITH {PROFILE},
+{_per('structure', "'- ' || id || ' ' || role || CASE WHEN level IS NOT NULL THEN ' level ' || level ELSE '' END || ': ' || left(text, 120)", 'identified', "role IN ('heading', 'heading_candidate', 'abstract', 'keywords', 'bibliography_heading')")},
+{_per('tabs', _captioned, 'captions', 'true')}, {_per('figures', _image, 'images', 'true', 'para_pos')}, {_per('damage', "'- ' || issue_type || ': ' || left(sample, 100)", 'issues', 'true', 'body_pos, issue_type')}
+SELECT doc_id, '# Extraction summary' || repeat(chr(10), 2) || {_lines} || repeat(chr(10), 2) || {_section('Structure', 'structure')} || repeat(chr(10), 2) || {_section('Tables', 'tabs')} || repeat(chr(10), 2) || {_section('Images', 'figures')}
+ || repeat(chr(10), 2) || {_section('Text issues', 'damage')} || repeat(chr(10), 2) || {_section('Defects', "nullif(array_to_string(list_transform(" + defects("'transitional'") + ", lambda z: '- ' || z), chr(10)), '')")} || chr(10) AS text
+FROM profile LEFT JOIN structure USING (doc_id) LEFT JOIN tabs USING (doc_id) LEFT JOIN figures USING (doc_id) LEFT JOIN damage USING (doc_id)"""
+ORACLES["authoring_brief"] = f"""WITH {PROFILE},
+{_per('heads', ellipsis("(repeat('#', least(6, coalesce(level, 1) + 2)) || ' ' || text || CASE WHEN role = 'heading_candidate' THEN ' (candidate)' ELSE '' END)", 120), 'identified', "role IN ('heading', 'heading_candidate')")},
+around AS (SELECT a.doc_id, a.para_pos, string_agg('  - (' || p.role || '): ' || {ellipsis('p.text', 160)}, chr(10) ORDER BY p.para_pos) AS around FROM anchors a JOIN identified p ON p.doc_id = a.doc_id AND p.para_pos BETWEEN a.para_pos - 2 AND a.para_pos + 2 WHERE p.kind = 'p' AND p.text <> '' GROUP BY ALL),
+{_per('figures', _image + " || coalesce(chr(10) || around, '')", 'images LEFT JOIN around USING (doc_id, para_pos)', 'true', 'para_pos')}, {_per('tabs', _captioned, 'captions', 'true')},
+{_per('maths', "'- near ' || id || ': ' || coalesce(nullif(" + ellipsis('text', 120) + ", ''), '(no text)')", 'identified', "kind = 'p' AND contains(text, '$$')")}
+SELECT doc_id, '# Authoring brief' || repeat(chr(10), 2) || 'Source facts for authoring; uncertain parts stay marked for review.' || repeat(chr(10), 2) || {_section('Defects', "nullif(array_to_string(list_transform(" + defects("'strict'") + ", lambda z: '- ' || z), chr(10)), '')")} || repeat(chr(10), 2) || {_section('Outline', 'heads', '- no reliable headings')}
+ || repeat(chr(10), 2) || {_section('Figures', 'figures', '- no images')} || repeat(chr(10), 2) || {_section('Tables', 'tabs', '- no tables')} || repeat(chr(10), 2) || {_section('Formulas', 'maths', '- no formulas')} || chr(10) AS text
+FROM profile LEFT JOIN heads USING (doc_id) LEFT JOIN figures USING (doc_id) LEFT JOIN tabs USING (doc_id) LEFT JOIN maths USING (doc_id)"""
+
+_or = lambda title, c: f"'- {title}: ' || coalesce(nullif({c}::VARCHAR, ''), 'Not recorded')"
+_template = " || chr(10) || ".join(_or(t, f"t.{c}") for t, c in (("Main file", "main_file"), ("Document class", "documentclass"), ("Bibliography system", "bibliography_system"), ("Needs preprocessing", "needs_preprocessing")))
+_counted = " || chr(10) || ".join(_or(t, f"p.{c}") for t, c in (("Paragraphs", "paragraphs"), ("Headings", "headings"), ("Tables", "tables"), ("Images", "images"), ("Equations", "equations"), ("Citation paragraphs", "citation_paragraphs")))
+_json = f"CASE WHEN d.doc_id % 2 = 0 THEN coalesce('{{\"language\":\"' || ({_LANGUAGE.replace('text', 'd.text')}) || '\"}}', '{{}}') END"
+_SOURCES = "documents d LEFT JOIN profiles t ON t.project = d.doc_id % 20 LEFT JOIN (SELECT * FROM profile WHERE doc_id % 3 <> 0) p ON p.doc_id = d.doc_id"
+ORACLES["authoring_plan"] = f"""WITH {PROFILE}, {PROFILES}
+SELECT d.doc_id, concat_ws(chr(10), '# Authoring plan' || repeat(chr(10), 2) || '## Source', {_counted}, chr(10) || '## Template', {_template},
+ chr(10) || '## Modules' || chr(10) || '- [ ] front matter' || chr(10) || '- [ ] structure' || chr(10) || '- [ ] prose and formulas' || chr(10) || '- [ ] tables' || chr(10) || '- [ ] figures' || chr(10) || '- [ ] bibliography' || chr(10) || '- [ ] appendices' || chr(10) || '- [ ] review notes',
+ chr(10) || '## Requirements' || chr(10) || {_json}, chr(10) || '## Brief' || chr(10) || left(d.text, 4000)) || chr(10) AS text FROM {_SOURCES}"""
+_report_template = " || chr(10) || ".join(_or(t, f"g.{c}") for t, c in (("Findings", "findings"), ("Errors", "errors"), ("Warnings", "warnings")))
+ORACLES["conversion_report"] = f"""WITH {PROFILE}, {FINDINGS}, {PROFILES.replace(FILES_SQL + ",", "", 1)}
+SELECT d.doc_id, concat_ws(chr(10), '# Conversion report' || repeat(chr(10), 2) || '## Summary', '- Source: d' || d.doc_id, '- Format: docx', '- Compile status: Not run', chr(10) || '## Sources', '- draft.docx', chr(10) || '## Features',
+ '- chars: ' || length(d.text) || chr(10) || '- has_chinese: ' || regexp_matches(d.text, '[一-鿿]'), chr(10) || '## Template', {_template}, chr(10) || '## Requirements', coalesce({_json}, '{{}}'), chr(10) || '## Warnings', '- None recorded',
+ chr(10) || '## Quality gate', {_report_template}) || chr(10) AS text FROM {_SOURCES} LEFT JOIN (SELECT * FROM summary WHERE project <> 3) g ON g.project = d.doc_id % 20"""

@@ -51,13 +51,22 @@ lines AS (SELECT doc_id, p AS body_pos, x[p + 1] AS l, (doc_id * 31 + p * 7) % 1
 overlay AS (SELECT doc_id, body_pos, {_case(0, "'p'")} AS kind, {_case(1, 'NULL')} AS style, {_case(2, 'l')} AS raw_text FROM lines)"""
 
 
-def anchors(identified: DataFrame) -> DataFrame:
-    """Paragraphs that hold an image."""
-    return identified.filter("kind = 'p' AND (doc_id + body_pos) % 9 = 0").selectExpr("doc_id", "para_pos", "concat('rId', body_pos) AS rel_id")
-
-
-def relationships(identified: DataFrame) -> DataFrame:
-    return identified.filter("kind = 'p' AND (doc_id + body_pos) % 9 = 0 AND body_pos % 4 <> 0").selectExpr("doc_id", "concat('rId', body_pos) AS rel_id", "concat('media/image', body_pos, '.png') AS target")
+def embedded(elements: DataFrame) -> DataFrame:
+    """Elements with the images, mathematics and cells that packages would give."""
+    paragraph = F.col("kind") == "p"
+    some = paragraph & ((F.col("doc_id") + F.col("body_pos")) % 9 == 0)
+    return elements.withColumns(
+        {
+            "rel_ids": F.when(some, F.array(F.concat(F.lit("rId"), F.col("body_pos").cast("string")))),
+            "has_math": paragraph & F.contains("raw_text", F.lit("$$")),
+            "rows": F.when(~paragraph, F.array(F.split("raw_text", " "))),
+        }
+    )
+
+
+def relationships(documents: DataFrame) -> DataFrame:
+    own = elements(documents).filter("kind = 'p' AND (doc_id + body_pos) % 9 = 0 AND body_pos % 4 <> 0")
+    return own.selectExpr("doc_id", "concat('rId', body_pos) AS rel_id", "concat('media/image', body_pos, '.png') AS target")
 
 
 # Project files: one document is one file of project doc_id % 20. SQL of both engines; b: the start of the text on one line.

@@ -15,55 +15,64 @@ from folioscope.sources import docx
 
 @dataclass
 class SemanticIR:
-    """Normalised tables, keyed by doc_id; each can be used, joined and written on its own."""
+    """Normalised tables, keyed by doc_id; each can be used, joined and written on its own.
+
+    annotated: all elements with all that is known of each; counts: a row per
+    document with its counts and defects.
+    """
 
     packages: DataFrame
-    paragraphs: DataFrame
-    tables: DataFrame
-    images: DataFrame
-    equations: DataFrame
-    text_issues: DataFrame
+    annotated: DataFrame
     counts: DataFrame
-    defects: DataFrame
+
+    @property
+    def paragraphs(self) -> DataFrame:
+        return self.annotated.filter("kind = 'p'").drop("rows", "caption", "caption_paragraph_id", "quality_notes", "n_notes", "context")
+
+    @property
+    def tables(self) -> DataFrame:
+        return self.annotated.filter("kind = 'tbl'").select("doc_id", "body_pos", "id", "rows", "caption", "caption_paragraph_id", "quality_notes")
+
+    @property
+    def images(self) -> DataFrame:
+        return E.images(self.annotated, docx.relationships(self.packages))
+
+    @property
+    def equations(self) -> DataFrame:
+        return docx.equations(self.annotated)
+
+    @property
+    def text_issues(self) -> DataFrame:
+        return damage.issues(self.annotated)
 
     def nested(self) -> DataFrame:
-        """One row per document with its entities as arrays in order."""
-        out = self.counts.join(self.defects, "doc_id", "left")
-        for name in ("paragraphs", "tables", "images", "equations", "text_issues"):
-            own = getattr(self, name)
-            first = [c for c in ("body_pos", "para_pos", "id") if c in own.columns]
-            rest = [c for c in own.columns if c not in (*first, "doc_id")]
-            out = out.join(own.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*first, F.to_json(F.struct(*rest)).alias("entity")))).alias(name)), "doc_id", "left")
-        return out
+        """One row per document with its counts, its defects and its elements as an array in order."""
+        skip = ("doc_id", "body_pos", "context")
+        entity = F.struct("body_pos", F.to_json(F.struct(*[c for c in self.annotated.columns if c not in skip])).alias("element"))
+        return self.counts.join(self.annotated.groupBy("doc_id").agg(F.array_sort(F.collect_list(entity)).alias("elements")), "doc_id", "left")
 
     def summary(self) -> DataFrame:
-        return render.ir_summary(self.paragraphs, self.tables, self.images, self.text_issues, self.counts, self.defects)
+        return render.ir_summary(self.annotated, self.counts)
 
     def brief(self) -> DataFrame:
-        anchors = self.images.select("doc_id", "para_pos").distinct()
-        return render.brief(self.paragraphs, E.outline(self.paragraphs), self.tables, self.images, E.context(self.paragraphs, anchors), self.equations, self.defects)
+        return render.brief(self.annotated, self.counts)
+
+
+def annotate(elements: DataFrame, repair: bool = False) -> DataFrame:
+    """All that is known of each element. Damage is repaired before roles are told; all windows share one exchange by doc_id."""
+    inspected = damage.inspect(E.strip_text(elements), repair)
+    own = inspected.withColumn("raw_text", F.coalesce("final_text", "raw_text"))
+    out = E.with_context(E.with_images(E.with_captions(E.identify(E.classify(own)))))
+    notes = F.when(F.col("kind") == "tbl", T.notes(F.col("rows")))
+    return out.withColumn("quality_notes", notes).withColumn("n_notes", F.size("quality_notes"))
 
 
 def build(packages: DataFrame, repair: bool = False) -> SemanticIR:
-    """The record of packages as :func:`folioscope.sources.docx.read` gives them. Damage is repaired before roles are told."""
-    raw = E.strip_text(docx.elements(packages))
-    inspected = damage.inspect(raw.filter("kind = 'p'"), repair)
-    issues = damage.issues(inspected)
-    final = raw.join(inspected.select("doc_id", "body_pos", "final_text"), ["doc_id", "body_pos"], "left").withColumn("raw_text", F.coalesce("final_text", "raw_text"))
-    classified = E.identify(E.classify(final.drop("final_text", "text")))
-    tables = E.table_captions(classified).join(classified.filter("kind = 'tbl'").select("doc_id", "body_pos", "rows", T.notes(F.col("rows")).alias("quality_notes")), ["doc_id", "body_pos"])
-    images = E.images(classified, docx.images(classified), docx.relationships(packages))
-    equations = docx.equations(classified)
-    counts = diagnose.profile(
-        diagnose.paragraph_counts(classified),
-        images.groupBy("doc_id").agg(F.count("*").alias("images"), F.count_if(F.col("nearby_caption").isNull()).alias("captionless_images")),
-        tables.groupBy("doc_id").agg(F.sum(F.size("quality_notes")).alias("table_notes")),
-        equations.groupBy("doc_id").agg(F.count("*").alias("equations")),
-        diagnose.issue_counts(issues),
-    )
-    defects = counts.join(packages.select("doc_id", "flavor"), "doc_id").select("doc_id", diagnose.defects(F.col("flavor")).alias("defects"))
-    counts = counts.join(defects.select("doc_id", F.size("defects").cast("long").alias("defects")), "doc_id")
-    return SemanticIR(packages, classified.filter("kind = 'p'").drop("rows"), tables, images, equations, issues, counts, defects)
+    """The record of packages as :func:`folioscope.sources.docx.read` gives them."""
+    annotated = annotate(docx.elements(packages), repair)
+    counts = diagnose.profile(annotated).join(packages.select("doc_id", "flavor"), "doc_id")
+    counts = counts.withColumn("defects", diagnose.defects(F.col("flavor"))).drop("flavor")
+    return SemanticIR(packages, annotated, counts.withColumn("n_defects", F.size("defects").cast("long")))
 
 
 def from_path(spark: SparkSession, path: str, repair: bool = False) -> SemanticIR:
