@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.functions import markup
 from folioscope.functions import text as X
 from folioscope.operators import damage, diagnose, gate, lists, manifest, render, requirements, template
 from folioscope.operators import elements as E
@@ -161,6 +162,18 @@ def page_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", *[opened(t).alias(f"n_{t}") for t in ("p", "li", "a", "h1", "br")], F.col("html").rlike(r"<body[\s>]").alias("has_body"), F.regexp_extract("html", r'<html lang="([^"]*)"', 1).alias("lang"))
 
 
+@query
+def page_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "pages").select("page_id", F.explode(markup.opened(F.col("html"))).alias("tag"))
+    return own.groupBy("page_id", "tag").agg(F.count("*").alias("n"))
+
+
+@query
+def tag_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("{http://n/"), F.col("page_id").cast("string"), F.lit("}body"))).otherwise("body")
+    return table(spark, sf_dir, "pages").select("page_id", markup.namespace(tag).alias("namespace"), markup.local(tag).alias("local"), markup.count_local(F.col("html"), "p").alias("n_p"))
+
+
 @query
 def source_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("in/f"), F.col("page_id").cast("string"), F.element_at(F.array(*map(F.lit, (".docx", ".DOC", ".pdf", ".txt", "", ".tar.GZ"))), (F.col("page_id") % 6 + 1).cast("int")))

@@ -245,6 +245,8 @@ ORACLES: dict[str, str] = {
     "doc_raw_display_math": "SELECT doc_id, (len(string_split(text, '$$')) - 1)::BIGINT AS n FROM documents WHERE contains(text, '$$')",
     "doc_snippets": f"SELECT doc_id, {ellipsis('text', 180)} AS short, left(text, 160) AS head, right(text, 100) AS tail FROM documents",
     "page_tag_counts": "SELECT page_id, " + ", ".join(f"len(regexp_extract_all(html, '<{t}[\\s>/]'))::BIGINT AS n_{t}" for t in ("p", "li", "a", "h1", "br")) + ", regexp_matches(html, '<body[\\s>]') AS has_body, regexp_extract(html, '<html lang=\"([^\"]*)\"', 1) AS lang FROM pages",
+    "page_tags": "SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)', 1))) AS tag FROM pages) GROUP BY ALL",
+    "tag_names": "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http://n/' || page_id ELSE '' END AS namespace, 'body' AS local, len(regexp_extract_all(html, '<p[\\s>/]'))::BIGINT AS n_p FROM pages",
     "source_formats": f"SELECT page_id, x AS extension, CASE WHEN x = '' THEN 'unknown' ELSE x[2:] END AS format, x = '.doc' AS conversion_required, CASE WHEN x = '.doc' THEN {q(';'.join(lists.CONVERSIONS))} ELSE '' END AS conversion_plan, CASE x WHEN '.docx' THEN 'source' WHEN '.doc' THEN 'convert first' WHEN '.pdf' THEN 'reference only' ELSE 'unsupported' END AS role FROM (SELECT page_id, {_format} AS x FROM pages)",
     "conversion_attempts": "SELECT user_id AS document, arg_min('method' || (event_id % 4), event_id % 4) FILTER (value > 50) AS method, count(*) AS attempts FROM events GROUP BY user_id",
     "graphics_references": f"WITH {FILES_SQL}, {REFERENCES} SELECT * FROM resolved",
