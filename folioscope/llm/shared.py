@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a Python worker handles at once.
@@ -71,7 +72,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     """Cut a batch so that each part holds about ``limit`` bytes of ``column``, one row at least."""
     if batch.num_rows == 0:
         return
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
         if i > start and total + n > limit:
