@@ -113,7 +113,7 @@ def doc_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broken = documents(spark, sf_dir).select("doc_id", F.concat(F.left("text", F.lit(20)), F.lit("涓枃鎽樿")).alias("text")).withColumn("body_pos", F.lit(0).cast("long"))
+    broken = documents(spark, sf_dir).select("doc_id", F.concat("text", F.lit("瀹為獙缁撴灉")).alias("text")).withColumn("body_pos", F.lit(0).cast("long"))
     return damage.inspect(broken, repairing=True).select("doc_id", "damage", "candidate", "final_text")
 
 
@@ -134,7 +134,7 @@ def doc_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = F.when(F.col("doc_id") % 7 == 0, F.array().cast("array<array<string>>")).otherwise(F.transform(F.split(F.left("text", F.lit(120)), "\n"), lambda line: F.when(F.length(line) % 5 == 0, F.array(F.lit(" "), F.lit(""))).otherwise(F.split(F.left(line, F.lit(30)), " "))))
+    rows = F.when(F.col("doc_id") % 7 == 0, F.array().cast("array<array<string>>")).otherwise(F.transform(F.split("text", "\n"), lambda line: F.when(F.length(line) % 5 == 0, F.array(F.lit(" "), F.lit(""))).otherwise(F.split(line, " "))))
     return documents(spark, sf_dir).select("doc_id", F.posexplode(T.notes(rows)).alias("idx", "note")).withColumn("idx", F.col("idx").cast("long"))
 
 
@@ -269,9 +269,9 @@ def format_requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _artifacts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     path = F.concat(F.lit("a/"), F.col("doc_id").cast("string"))
-    now = documents(spark, sf_dir).filter("doc_id % 11 <> 5").select(path.alias("path"), F.lit(True).alias("exists"), F.lit("file").alias("kind"), F.sha2("text", 256).alias("sha256"))
-    old = F.when(F.col("doc_id") % 23 == 3, F.sha2(F.lit("old"), 256)).otherwise(F.sha2("text", 256))
     there = F.col("doc_id") % 11 != 5
+    now = documents(spark, sf_dir).select(path.alias("path"), there.alias("exists"), F.when(there, "file").alias("kind"), F.when(there, F.sha2("text", 256)).alias("sha256"))
+    old = F.when(F.col("doc_id") % 23 == 3, F.sha2(F.lit("old"), 256)).otherwise(F.sha2("text", 256))
     before = documents(spark, sf_dir).select(
         F.concat(F.lit("m"), (F.col("doc_id") % 97).cast("string")).alias("module"), F.when(F.col("doc_id") % 2 == 0, "input").otherwise("output").alias("kind_of"), path.alias("path"),
         (there | (F.col("doc_id") % 4 == 0)).alias("exists"), F.when(there, "file").alias("kind"), F.when(there, old).alias("sha256"),
@@ -341,8 +341,10 @@ def _joined_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All optional artifacts of a document in one row."""
     docs = documents(spark, sf_dir).withColumn("project", F.col("doc_id") % 20)
     profile = template.profile(files(spark, sf_dir)).select("project", "main_file", "documentclass", "bibliography_system", "needs_preprocessing")
-    counts = diagnose.profile(annotated(spark, sf_dir)).select("doc_id", "paragraphs", "headings", "tables", "images", "equations", "citation_paragraphs").filter("doc_id % 3 <> 0")
-    own = gate.summary(_findings(spark, sf_dir), files(spark, sf_dir)).select("project", "findings", "errors", F.col("warnings").alias("gate_warnings")).filter("project <> 3")
+    known = ("paragraphs", "headings", "tables", "images", "equations", "citation_paragraphs")
+    counts = diagnose.profile(annotated(spark, sf_dir)).select("doc_id", *[F.when(F.col("doc_id") % 3 != 0, F.col(c)).alias(c) for c in known])  # else that artifact is missing
+    result = {"findings": "findings", "errors": "errors", "warnings": "gate_warnings"}
+    own = gate.summary(_findings(spark, sf_dir), files(spark, sf_dir)).select("project", *[F.when(F.col("project") != 3, F.col(c)).alias(k) for c, k in result.items()])
     needs = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(X.language(F.col("text")).alias("language"))))
     meta = F.create_map(F.lit("path"), F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.lit("format"), F.lit("docx"), F.lit("has_chinese"), X.has_cjk(F.col("text")).cast("string"), F.lit("chars"), F.length("text").cast("string"))
     base = docs.select("doc_id", "project", needs.alias("requirements"), meta.alias("metadata"), F.array(F.lit("draft.docx")).alias("sources"), F.array().cast("array<string>").alias("warnings"), F.lit("Not run").alias("compile_status"), F.left("text", F.lit(4000)).alias("brief"))

@@ -238,9 +238,11 @@ ORACLES: dict[str, str] = {
     "doc_outline": f"WITH {CLASSIFIED} SELECT doc_id, body_pos, repeat('#', least(6, coalesce(level, 1) + 2)) || ' ' || text || CASE WHEN role = 'heading_candidate' THEN ' (candidate)' ELSE '' END AS line FROM classified WHERE role IN ('heading', 'heading_candidate')",
     "doc_damage": f"WITH {CLASSIFIED} SELECT doc_id, body_pos, {_scored} AS score, {CJK.format(x='text')} AS cjk, regexp_matches(text, '[一-鿿]') AS has_cjk, contains(text, '{damage.RISKY}') AS risky, {_scored} >= 2 AS damaged FROM classified WHERE kind = 'p'",
     "doc_issues": f"WITH {CLASSIFIED}, {ISSUES} SELECT * FROM issues",
+    # only pure ASCII around the damage survives the way back to bytes
+    "doc_repair": f"SELECT doc_id, {score("(text || '瀹為獙缁撴灉')", damage.EXTRACTED)} AS damage, c AS candidate, coalesce(c, text || '瀹為獙缁撴灉') AS final_text FROM (SELECT *, CASE WHEN regexp_matches(text, '(?s)^[\\x00-\\x7F]*$') THEN text || '实验结果' END AS c FROM documents)",
     "doc_ir_counts": f"WITH {PROFILE} SELECT * FROM profile",
     "doc_defects": f"WITH {PROFILE} " + indexed("doc_id", defects("CASE doc_id % 3 WHEN 0 THEN 'strict' WHEN 1 THEN 'unknown' ELSE 'transitional' END"), "profile", "defect"),
-    "table_quality": "WITH r AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN []::VARCHAR[][] ELSE list_transform(string_split(left(text, 120), chr(10)), lambda t: CASE WHEN length(t) % 5 = 0 THEN [' ', ''] ELSE string_split(left(t, 30), ' ') END) END AS rws FROM documents) " + indexed("doc_id", notes("rws"), "r", "note"),
+    "table_quality": "WITH r AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN []::VARCHAR[][] ELSE list_transform(string_split(text, chr(10)), lambda t: CASE WHEN length(t) % 5 = 0 THEN [' ', ''] ELSE string_split(t, ' ') END) END AS rws FROM documents) " + indexed("doc_id", notes("rws"), "r", "note"),
     "doc_language": f"WITH {GUIDES_SQL} SELECT doc_id, {_LANGUAGE} AS language FROM guides",
     "doc_raw_display_math": "SELECT doc_id, (len(string_split(text, '$$')) - 1)::BIGINT AS n FROM documents WHERE contains(text, '$$')",
     "doc_snippets": f"SELECT doc_id, {ellipsis('text', 180)} AS short, left(text, 160) AS head, right(text, 100) AS tail FROM documents",

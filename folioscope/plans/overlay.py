@@ -69,7 +69,7 @@ def relationships(documents: DataFrame) -> DataFrame:
     return own.selectExpr("doc_id", "concat('rId', body_pos) AS rel_id", "concat('media/image', body_pos, '.png') AS target")
 
 
-# Project files: one document is one file of project doc_id % 20. SQL of both engines; b: the start of the text on one line.
+# Project files: one document is one file of project doc_id % 20. SQL of both engines; b: the document's text.
 PATH = r"""CASE
  WHEN doc_id < 20 THEN CASE WHEN doc_id % 4 <> 0 THEN 'main.tex' ELSE 'other.tex' END
  WHEN doc_id < 40 THEN CASE WHEN doc_id % 5 <> 0 THEN 'conversion_report.md' ELSE 'notes.md' END
@@ -105,29 +105,29 @@ def _body(escape) -> str:  # noqa: ANN001
 
 def files(documents: DataFrame) -> DataFrame:
     """project, rel_path, size_bytes, text."""
-    start = documents.selectExpr("doc_id", r"replace(left(text, 60), chr(10), ' ') AS b").selectExpr("doc_id", f"{PATH} AS rel_path", f"{_body(lambda x: x.replace(chr(92), chr(92) * 2))} AS body")
+    start = documents.selectExpr("doc_id", "coalesce(text, '') AS b").selectExpr("doc_id", f"{PATH} AS rel_path", f"{_body(lambda x: x.replace(chr(92), chr(92) * 2))} AS body")
     image = "rel_path RLIKE '[.](png|pdf)$'"
     return start.selectExpr("doc_id % 20 AS project", "rel_path", "(doc_id * 37) % 3000 AS size_bytes", f"CASE WHEN {image} THEN NULL ELSE body END AS text")
 
 
 FILES_SQL = f"""
 files AS (SELECT doc_id % 20 AS project, rel_path, (doc_id * 37) % 3000 AS size_bytes, CASE WHEN regexp_matches(rel_path, '[.](png|pdf)$') THEN NULL ELSE body END AS text
- FROM (SELECT doc_id, {PATH} AS rel_path, {_body(lambda x: x)} AS body FROM (SELECT doc_id, replace(left(text, 60), chr(10), ' ') AS b FROM documents)))"""
+ FROM (SELECT doc_id, {PATH} AS rel_path, {_body(lambda x: x)} AS body FROM (SELECT doc_id, coalesce(text, '') AS b FROM documents)))"""
 
 # Guide texts by doc_id % 6; b as above.
 GUIDES = [
     "'Use A4 paper, margins of 2.5 cm on all sides. Font: Times New Roman 12 pt, double spacing. IEEE style. Compile with xelatex. Figure captions go below; table captions above. ', b",
-    "'页边距 2.54 厘米，字体：宋体，小四，1.5倍行距，参考文献采用GB/T 7714，学位论文，图题位于下方，表题在上方，章节编号。本文要求双栏排版并且使用规定的字号与格式完成全部内容', b",
+    "'页边距 2.54 厘米，字体：宋体，小四，1.5倍行距，参考文献采用GB/T 7714，学位论文，图题位于下方，表题在上方，章节编号。本文要求双栏排版并且使用规定的字号与格式完成全部内容'",
     "'Left margin 3 cm, right 2 cm; top 25 mm. two-column article, APA or author-year; biblatex with biber. Arial or Calibri. ', b",
     "'thesis report; numbered headings; 11pt; single spacing; Letter. pdflatex; natbib. 黑体 四号 ', b",
-    "'A3纸 双栏 毕业设计 不编号 顺序编码制 上下左右 3 厘米', b",
+    "'A3纸 双栏 毕业设计 不编号 顺序编码制 上下左右 3 厘米'",
     "b",
 ]
 GUIDES_CASE = "CASE doc_id % 6 " + " ".join(f"WHEN {i} THEN concat({x})" for i, x in enumerate(GUIDES)) + " END"
 
 
 def guides(documents: DataFrame) -> DataFrame:
-    return documents.selectExpr("doc_id", r"replace(left(text, 30), chr(10), '  ') AS b").selectExpr("doc_id", f"{GUIDES_CASE} AS text")
+    return documents.selectExpr("doc_id", "coalesce(text, '') AS b").selectExpr("doc_id", f"{GUIDES_CASE} AS text")
 
 
-GUIDES_SQL = f"guides AS (SELECT doc_id, {GUIDES_CASE} AS text FROM (SELECT doc_id, replace(left(text, 30), chr(10), '  ') AS b FROM documents))"
+GUIDES_SQL = f"guides AS (SELECT doc_id, {GUIDES_CASE} AS text FROM (SELECT doc_id, coalesce(text, '') AS b FROM documents))"

@@ -86,27 +86,15 @@ def test_table_notes(spark, rows, expected):
 
 
 def test_damage_and_repair(spark):
-    broken = "中文摘要".encode().decode("gbk", "ignore")
-    good = damage.repaired("涓枃鎽樿")
-    assert good is None or "摘" in good
-    whole = "摘要内容测试".encode()
-    readable = next((whole[:n].decode("gbk") for n in range(len(whole), 0, -1) if _decodes(whole[:n])), "")
-    rows = [(1, 0, "plain"), (2, 0, broken), (3, 0, readable), (4, 0, "胃"), (5, 0, None)]
-    out = damage.inspect(spark.createDataFrame(rows, "doc_id long, body_pos long, text string"), repairing=True)
-    got = {r["doc_id"]: r for r in out.collect()}
-    assert got[1]["candidate"] is None and got[1]["final_text"] == "plain"
-    assert got[3]["candidate"] == damage.repaired(readable)
-    kinds = {(r["doc_id"], r["issue_type"]) for r in damage.issues(out).collect()}
-    assert (4, "risky_symbol_mojibake") in kinds and (1, "mojibake") not in kinds
-
-
-def _decodes(data):
-    try:
-        data.decode("gbk")
-        data.decode("utf-8")
-        return True
-    except UnicodeError:
-        return False
+    broken = "实验结果".encode().decode("gbk")
+    rows = [(1, 0, "plain"), (2, 0, "see " + broken), (3, 0, "é " + broken), (4, 0, "胃"), (5, 0, None), (6, 0, "瀹 only once")]
+    df = spark.createDataFrame(rows, "doc_id long, body_pos long, text string")
+    got = {r["doc_id"]: r for r in damage.inspect(df, repairing=True).collect()}
+    assert got[2]["candidate"] == got[2]["final_text"] == "see 实验结果" and got[2]["damage"] == 3
+    assert got[3]["candidate"] is None and got[3]["final_text"] == "é " + broken
+    assert got[1]["candidate"] is None and got[1]["final_text"] == "plain" and got[5]["final_text"] is None and got[6]["candidate"] is None
+    kept = damage.inspect(df)
+    assert {(r["doc_id"], r["issue_type"], r["repaired_sample"]) for r in damage.issues(kept).collect()} == {(2, "mojibake", "see 实验结果"), (3, "mojibake", None), (4, "risky_symbol_mojibake", None)}
 
 
 def test_defects(spark):
