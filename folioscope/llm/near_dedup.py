@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import words
 from folioscope.llm.components import components
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored
+from folioscope.llm.shared import marked, new_folder, project, slices, small_batches, stored, tidy
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 BANDS, ROWS = 32, 4
@@ -244,7 +244,8 @@ def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def full_sets(nodes: DataFrame, classes: DataFrame, documents: DataFrame, folder: str, name: str) -> DataFrame:
     """(node, set) of some classes, from the whole texts of their first documents."""
     needed = stored(nodes.join(classes.select("node", "digest", "first_id").hint("merge"), "node"), folder, f"{name}-needed")
-    texts = documents.join(needed.hint("merge"), documents["doc_id"].eqNullSafe(needed["first_id"])).select("node", "digest", "text")
+    few = marked(documents, F.col("doc_id"), needed, "first_id").filter("__may").select("doc_id", "text")  # only these texts move
+    texts = few.join(needed.hint("merge"), few["doc_id"].eqNullSafe(needed["first_id"])).select("node", "digest", "text")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -253,17 +254,17 @@ def full_sets(nodes: DataFrame, classes: DataFrame, documents: DataFrame, folder
                 right = [xxhash.xxh3_128_digest(s) == d for s, d in zip(own, batch.column("digest").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], names=["node", "set"]).filter(pa.array(right, pa.bool_()))
 
-    full = texts.mapInArrow(shingled, "node long, set binary")
+    full = texts.mapInArrow(tidy(shingled), "node long, set binary")
     return stored(full.dropDuplicates(["node"]), folder, f"{name}-sets")  # repeated rows give their set again
 
 
 def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, folder: str, name: str) -> DataFrame:
     """The pairs (a, b) that survive the sequential test and whose full sets are similar enough."""
     sig = lambda c: classes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")).hint("merge")
-    pairs = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").mapInArrow(_survivors, "a long, b long"), folder, f"{name}-survivors")
+    pairs = stored(pairs.join(sig("a"), "a").join(sig("b"), "b").mapInArrow(tidy(_survivors), "a long, b long"), folder, f"{name}-survivors")
     full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, documents, folder, name)
     side = lambda c: full.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")).hint("merge")
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_exact, "a long, b long"), folder, f"{name}-links")
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(tidy(_exact), "a long, b long"), folder, f"{name}-links")
 
 
 def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, folder: str) -> DataFrame:
@@ -277,10 +278,10 @@ def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docum
     rest = rest.select("key", "node", "comp", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)).alias("p")).select("key", "p.i", "p.j", "p.side", "node", "comp")
     arranged = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
     rest = stored(rest, folder, "rest").join(classes.select("node", "sig").hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "sig")
-    close = stored(arranged(rest).mapInArrow(_with_partner, "key long, i long, j long, side long, node long, comp long"), folder, "close")
+    close = stored(arranged(rest).mapInArrow(tidy(_with_partner), "key long, i long, j long, side long, node long, comp long"), folder, "close")
     full = full_sets(close.select("node").distinct(), classes, documents, folder, "rest")
     close = close.join(full.hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "set")
-    return stored(arranged(close).mapInArrow(_joining, "a long, b long"), folder, "rest-links")
+    return stored(arranged(close).mapInArrow(tidy(_joining), "a long, b long"), folder, "rest-links")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -290,7 +291,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     folder = new_folder(spark, "near-dedup")
     documents = project(documents, "doc_id", "text")
     kind = dict(documents.dtypes)["doc_id"]
-    rows = stored(documents.mapInArrow(_sign, f"doc_id {kind}, n_shingles long, digest binary, sig binary, keys array<long>"), folder, "rows")
+    rows = stored(documents.mapInArrow(tidy(_sign), f"doc_id {kind}, n_shingles long, digest binary, sig binary, keys array<long>"), folder, "rows")
     classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "sig", "keys"), folder, "classes")
 

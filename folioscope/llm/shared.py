@@ -8,16 +8,20 @@ never a lost intermediate.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Bytes of text that a Python worker handles at once.
-SLICE_BYTES = 6 << 20
+#: Bytes of text that a Python worker handles at once, and of an Arrow batch. Small, as a worker stands beside a full heap.
+SLICE_BYTES, BATCH_BYTES = 2 << 20, 4 << 20
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -62,13 +66,13 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bound what one Arrow batch to a Python worker can hold."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part holds about ``limit`` bytes of ``column``, one row at least."""
     if batch.num_rows == 0:
         return
@@ -82,6 +86,42 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     yield batch.slice(start)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives its memory back at the end of a task; Spark keeps the worker's process for later ones."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return through
+
+
 def project(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns never clash with an operator's own."""
     return df.select(*[df[n] for n in names])
+
+
+#: Bits (as a power of two) of a reducing filter: 4 MB at most when broadcast, whatever the number of keys; more keys only let more rows through.
+FILTER_BITS = 25
+
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS)) + 1
+
+
+def marked(df: DataFrame, key: Column, keys: DataFrame, of: str, name: str = "__may") -> DataFrame:
+    """Add ``name``: false only for rows whose key is surely not in column ``of`` of ``keys``.
+
+    The keys become a bitmap of fixed size, which is broadcast; a join with
+    the keys themselves can then leave the unmarked rows where they are.
+    """
+    slot = _slot(F.col(of))
+    bitmap = keys.select(F.bitmap_bucket_number(slot).alias("__bucket"), F.bitmap_bit_position(slot).alias("__bit")).groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bitmap"))
+    own = df.withColumn("__slot", _slot(key)).withColumn("__own", F.bitmap_bucket_number("__slot")).withColumn("__at", F.bitmap_bit_position("__slot"))
+    joined = own.join(F.broadcast(bitmap), F.col("__own") == F.col("__bucket"), "left")
+    byte = F.conv(F.hex(F.substr("__bitmap", (F.floor(F.col("__at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.when(F.col("__bitmap").isNull(), False).otherwise(byte.bitwiseAND(F.expr("shiftleft(1, CAST(__at % 8 AS INT))")) != 0)
+    return joined.withColumn(name, bit).drop("__slot", "__own", "__at", "__bucket", "__bitmap")
