@@ -18,20 +18,25 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, near_dedup, pieces, quality_model, quality_rules
 from folioscope.llm.queries import table, vocabulary
-from folioscope.llm.shared import new_folder, stored
+from folioscope.llm.shared import marked, new_folder, stored
 
 #: The classifier and the rest can't be said in SQL; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def _apart(docs: DataFrame, key: Column, keys: DataFrame, of: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is surely not among the keys, all others): only the others need move to a join."""
+    own = marked(docs, key, keys, of)
+    return own.filter("NOT __may").select(docs.columns), own.filter("__may").select(docs.columns)
 
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't among ``rejected`` (doc_id, text_hash)."""
-    bad = rejected.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(bad, _same(docs["doc_id"], bad["__id"]) & (F.xxhash64(docs["text"]) == bad["__hash"]), "left_anti")
+    bad = rejected.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.xxhash64("doc_id", "text_hash").alias("__key")).distinct()
+    bad = stored(bad, new_folder(docs.sparkSession, "rejected"), "rows")
+    sure, others = _apart(docs, F.xxhash64("doc_id", F.xxhash64("text")), bad, "__key")
+    same = others["doc_id"].eqNullSafe(bad["__id"]) & (F.xxhash64(others["text"]) == bad["__hash"])
+    return sure.union(others.join(bad, same, "left_anti"))
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,17 +52,20 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates: one document of each group stays, that of the least doc_id."""
-    found = stored(near_dedup.near_duplicates(docs).select("doc_id", "kept"), new_folder(spark, "kept"), "ids")
-    kept = found.filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    stay = docs.join(kept, _same(docs["doc_id"], kept["__id"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    folder = new_folder(spark, "kept")
+    found = stored(near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), folder, "ids")
+    special = found.filter("NOT kept OR n > 1").select(F.col("doc_id").alias("__id"), "kept")
+    sure, others = _apart(docs, F.col("doc_id"), special, "__id")
+    dropped = special.filter("NOT kept")
+    return sure.union(others.join(dropped, others["doc_id"].eqNullSafe(dropped["__id"]), "left_anti").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with a benchmark passage go."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select("doc_id")
-    bad = stored(found.distinct(), new_folder(spark, "contaminated"), "ids").withColumnRenamed("doc_id", "__id")
-    return docs.join(bad, _same(docs["doc_id"], bad["__id"]), "left_anti")
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select(F.col("doc_id").alias("__id"))
+    bad = stored(found.distinct(), new_folder(spark, "contaminated"), "ids")
+    sure, others = _apart(docs, F.col("doc_id"), bad, "__id")
+    return sure.union(others.join(bad, others["doc_id"].eqNullSafe(bad["__id"]), "left_anti"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
