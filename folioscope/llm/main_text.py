@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from folioscope.llm.shared import project, slices, small_batches
+from folioscope.llm.shared import project, slices, small_batches, tidy
 
 #: Elements whose content is never text of the page.
 SILENT = "script|style|noscript|template|iframe|svg|math|object|canvas|select|textarea|title|audio|video"
@@ -55,6 +55,8 @@ BAD_NAME = re.compile(
     r"|footers?|headers?|masthead|topbar|comments?|replies|disqus|respond|share|sharing|social|related|recommended|newsletters?|subscribe|subscriptions?|signup|login|search|widgets?|pagination|pager|skip|toolbar|tags|complementary|contentinfo)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names of a whole page's layout, which tell nothing about the element.
+LAYOUT = re.compile(r"(?:^|(?<=\s))(?:has|with|no|without|is|layout|page)[-_]\S*", re.IGNORECASE)
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|content|main|post|entry|story|body|text)(?=$|[\s_-])", re.IGNORECASE)
 NAMES = {"bad": -9.0, "good": 1.5}
 FORM = {"start": -1.5, "word": 0.12, "most_words": 25, "links": -5.0, "heading": 0.8, "paragraph": 1.0, "item": -0.5, "stop": 0.6}
@@ -77,7 +79,7 @@ def _odds(name: str, rest: str) -> float:
         if HIDDEN.search(rest):
             given += NAMES["bad"]
         for found in NAMED.finditer(rest):
-            value = found[1] or found[2] or found[3] or ""
+            value = LAYOUT.sub("", found[1] or found[2] or found[3] or "")
             if name not in ("body", "html"):
                 given += NAMES["bad"] if BAD_NAME.search(value) else NAMES["good"] if GOOD_NAME.search(value) else 0.0
     return given
@@ -270,4 +272,4 @@ def main_text(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars", "n_kept", "n_blocks"])
 
     kinds = dict(pages.dtypes)
-    return pages.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long, n_kept long, n_blocks long")
+    return pages.mapInArrow(tidy(run), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long, n_kept long, n_blocks long")
