@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored
+from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
 
 WINDOW = 10
 #: Bytes of benchmark text in a block, which is broadcast.
@@ -65,7 +65,7 @@ def build(documents: DataFrame, folder: str) -> DataFrame:
     """The index of all tokens of ``documents`` (doc_id, text), written below ``folder``."""
     kind = dict(documents.dtypes)["doc_id"]
     schema = f"segment long, doc_ids array<{kind}>, ends binary, terms binary, starts binary, gaps binary"
-    return stored(project(documents, "doc_id", "text").mapInArrow(_segments, schema), folder, "index")
+    return stored(project(documents, "doc_id", "text").mapInArrow(tidy(_segments), schema), folder, "index")
 
 
 class Segment:
@@ -166,7 +166,7 @@ def _hits(index: DataFrame, ids: list[str | None], texts: list[str | None], k: i
                 )
 
     kind = dict(index.dtypes)["doc_ids"][6:-1]
-    return index.mapInArrow(run, f"segment long, row int, doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+    return index.mapInArrow(tidy(run), f"segment long, row int, doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
 
 
 def search(index: DataFrame, benchmark: DataFrame, k: int = WINDOW, slop: int = 0, limit: int = BLOCK_BYTES) -> DataFrame:

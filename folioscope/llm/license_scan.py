@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from folioscope.llm import words
 from folioscope.llm.license_texts import TEMPLATES
-from folioscope.llm.shared import project, slices, small_batches
+from folioscope.llm.shared import project, slices, small_batches, tidy
 
 K, W, BAND, COVERAGE = 3, 3, 8, 0.8
 MATCH, OTHER, GAP = 2, -1, -1
@@ -148,7 +148,7 @@ def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage
                 yield _matches(batch, index, names, coverage)
 
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.mapInArrow(run, f"doc_id {kind}, license string, coverage double, matched_words long, start_word long, end_word long, start_char long, end_char long")
+    return documents.mapInArrow(tidy(run), f"doc_id {kind}, license string, coverage double, matched_words long, start_word long, end_word long, start_char long, end_char long")
 
 
 def _matches(batch: pa.RecordBatch, index: Index, names: list[str], coverage: float) -> pa.RecordBatch:

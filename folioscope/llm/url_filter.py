@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.shared import new_folder, project, stored
+from folioscope.llm.shared import new_folder, project, stored, tidy
 
 #: Most bytes of rule text that are broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -131,7 +131,7 @@ def classify(pages: DataFrame, rules: Iterable[Rule] = RULES, default: str = "al
         for batch in batches:
             yield _judge(batch, trie, default, 2)
 
-    return rows.mapInArrow(run, f"{rows.schema.simpleString()[7:-1].replace(':', ' ')}, {OUT}")
+    return rows.mapInArrow(tidy(run), f"{rows.schema.simpleString()[7:-1].replace(':', ' ')}, {OUT}")
 
 
 def by_join(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
