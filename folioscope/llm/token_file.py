@@ -1,7 +1,7 @@
 """Token ids in files of independent, interleaved range-asymmetric-numeral-system blocks.
 
 A data set is a folder with ``frequencies.bin`` (the shared static table) and
-files ``part-NNNNN.rans`` in ascending doc_id order. A file holds
+files ``part-NNNNNNN.rans`` in ascending doc_id order. A file holds
 
     magic "FRANS1\\0\\0", then blocks, then a footer and its length (8 bytes)
 
@@ -20,6 +20,8 @@ gives no files and an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 import os
 import posixpath
@@ -32,18 +34,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored
+from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
 
 MAGIC = b"FRANS1\0\0"
 SCALE, LANES, BLOCK = 18, 512, 1 << 17
 LOW = np.uint64(1 << 31)
-#: Tokenizer: words that a worker remembers; bytes of text it takes at once.
-REMEMBERED, TEXT_BYTES = 300_000, 12 << 20
-#: Bytes of input table for one file.
+#: Bytes of text that the tokenizer takes at once.
+TEXT_BYTES = 8 << 20
+#: Least bytes of input table for one file.
 PART_BYTES = 8 << 20
 
 
@@ -173,47 +176,85 @@ def read_file(coder: Coder, data: bytes) -> Iterator[tuple[object, np.ndarray]]:
         held = held[n:]
 
 
+@functools.lru_cache(1)
 def encoder(path: str):  # noqa: ANN201
-    """A function from texts to (ends, ids), by the tokenizers library.
+    """A function from texts to (ends, ids), by the tokenizers library. A worker keeps it, and the words it remembers, for its next tasks.
 
-    The vocabulary's own splitting never joins what white space parts, so each
-    distinct word is encoded once and remembered.
+    The vocabulary's own splitting never joins what white space parts, nor a
+    letter with an ASCII mark after it, and it ignores case; so each distinct
+    run of letters is encoded once and remembered. Words that could hold a special token
+    are encoded as they stand.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[str, np.ndarray] = {}
+    mark = next(t.content for t in tokenizer.get_added_tokens_decoder().values() if t.special)  # parts words in one call
+    mark_id = tokenizer.token_to_id(mark)
+    encode_all = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    vocabulary = tokenizer.get_vocab()
+    last = np.zeros(max(vocabulary.values()) + 1, bool)
+    last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True  # ids that end a run of letters
+
+    def parted(found: list[str], by: str) -> Iterator[np.ndarray]:
+        """Ids of the strings, joined; few encodings are held at once."""
+        for i in range(0, len(found), 2000):
+            yield np.array(encode_all([by.join(found[i : i + 2000]) + by])[0], np.uint32)
+
+    def fresh(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = pc.match_substring_regex(pa.array(runs, pa.large_string()), "^[a-zß-öø-ÿ]+$").to_numpy(zero_copy_only=False)
+        sizes, begin, parts = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64), [np.zeros(0, np.uint32)]
+        at = 0
+        for some, by in ((np.flatnonzero(plain), " "), (np.flatnonzero(~plain), mark)):
+            flat = np.concatenate([np.zeros(0, np.uint32), *parted([runs[i] for i in some.tolist()], by)])
+            if by == mark:
+                ends = np.flatnonzero(flat == mark_id)
+                sizes[some], flat = np.diff(ends, prepend=-1) - 1, np.delete(flat, ends)
+            else:
+                sizes[some] = np.diff(np.flatnonzero(last[flat]), prepend=-1)
+            begin[some] = at + np.cumsum(sizes[some]) - sizes[some]
+            at += len(flat)
+            parts.append(flat)
+        return sizes, words.gathered(np.concatenate(parts), begin, sizes)[1]
+
+    def whole(odd: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        own = encode_all(odd)
+        return np.array([len(x) for x in own], np.int64), np.array([i for x in own for i in x], np.uint32)
+
+    runs, odds = words.Memo(fresh, 600_000), words.Memo(whole, 20_000)
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         ends, codes, vocabulary = words.split(texts)
-        vocabulary = vocabulary.to_pylist()
-        fresh = [w for w in vocabulary if w not in known]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            fresh = vocabulary
-        new = {w: np.array(e.ids, np.uint32) for i in range(0, len(fresh), 20_000) for w, e in zip(fresh[i : i + 20_000], tokenizer.encode_batch_fast(fresh[i : i + 20_000], add_special_tokens=False), strict=True)}
-        own = [known[w] if w in known else new[w] for w in vocabulary]
-        known.update((w, ids) for w, ids in new.items() if len(w) <= 64)
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.concatenate([*own, np.zeros(0, np.uint32)])
-        begin = np.cumsum(sizes) - sizes
-        n = sizes[codes]
-        total = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.arange(total[-1]) - np.repeat(total[:-1] - begin[codes], n)]
+        odd = pc.match_substring(vocabulary, "<|").to_numpy(zero_copy_only=False)
+        plain = words.mapped(pc.if_else(pa.array(odd), "", vocabulary) if odd.any() else vocabulary, words.LOWER)
+        inner, parts, dictionary = words.split(pc.replace_substring_regex(plain, r"([a-zß-öø-ÿÀ-ÖØ-Þ])([!-/:-@\[-`{-~])", r"\1 \2"))
+        total, ids = runs.expand(dictionary.to_pylist(), parts)
+        begin, size = total[inner[:-1]], np.diff(total[inner])
+        if odd.any():
+            at = np.flatnonzero(odd)
+            more, extra = odds.expand(vocabulary.take(pa.array(at)).to_pylist(), np.arange(len(at)))
+            begin[at], size[at] = len(ids) + more[:-1], np.diff(more)
+            ids = np.concatenate([ids, extra])
+        total, ids = words.gathered(ids, begin[codes], size[codes])
         return total[ends], ids
 
     return encode
 
 
+@functools.lru_cache(1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(ids: np.ndarray) -> bytes:
     """Ids in 16 bits where all fit, else in 32, compressed."""
     short = len(ids) == 0 or int(ids.max()) < 1 << 16
-    return (b"2" if short else b"4") + zstandard.ZstdCompressor(level=1).compress(ids.astype("<u2" if short else "<u4").tobytes())
+    return (b"2" if short else b"4") + _zstd()[0].compress(ids.astype("<u2" if short else "<u4").tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), "<u" + data[:1].decode())
+    return np.frombuffer(_zstd()[1].decompress(data[1:]), "<u" + data[:1].decode())
 
 
 def tokenize(documents: DataFrame, path: str, end: int | None) -> DataFrame:
@@ -229,16 +270,15 @@ def tokenize(documents: DataFrame, path: str, end: int | None) -> DataFrame:
                 rows = [pack(np.concatenate([ids[a:b], tail])) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "ids"])
 
-    return project(documents, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
+    return project(documents, "doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, ids binary")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for row in batch.column("ids").to_pylist():
-            n = np.bincount(unpack(row), minlength=len(total))
-            n[: len(total)] += total
-            total = n
+        n = np.bincount(np.concatenate([np.zeros(0, np.uint16), *[unpack(x) for x in batch.column("ids").to_pylist()]]), minlength=len(total))
+        n[: len(total)] += total
+        total = n
     some = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
@@ -258,11 +298,12 @@ def publish(folder: str, name: str, write) -> object:  # noqa: ANN001
     return result
 
 
-def bounds(documents: DataFrame, part_bytes: int = PART_BYTES) -> list:
-    """doc_ids that part the table into files of about equal size; as many as its bytes ask for."""
+def n_parts(documents: DataFrame, least: int = PART_BYTES, most: int = 8 * PART_BYTES) -> int:
+    """How many files a table asks for: small ones up to a thousand, then larger ones, which still fit a task."""
     size = int(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    n = max(1, min(size // part_bytes, 20_000))
-    return sorted(set(documents.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else []
+    if size >= 1 << 55:  # Spark doesn't know
+        return int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, size // min(most, max(least, size // 1000)))
 
 
 def write(documents: DataFrame, path: str, end: int | None, folder: str, part_bytes: int = PART_BYTES) -> tuple[np.ndarray, list]:
@@ -271,11 +312,8 @@ def write(documents: DataFrame, path: str, end: int | None, folder: str, part_by
     The driver holds one row for each file and one for each id of the vocabulary.
     """
     spark = documents.sparkSession
-    cuts = bounds(documents, part_bytes)
-    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("doc_id").cast("double"))) if cuts else F.lit(0)
-    part = F.when(F.col("doc_id").isNull(), -1).otherwise(part)
-    tokens = stored(tokenize(documents, path, end).withColumn("part", part + 1), folder, "tokens")
-    table = tokens.mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    tokens = stored(tokenize(documents, path, end), folder, "tokens")
+    table = tokens.select("ids").mapInArrow(tidy(_counts), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in table), default=0) + 1, np.int64)
     for r in table:
         counts[r["id"]] = r["n"]
@@ -284,58 +322,27 @@ def write(documents: DataFrame, path: str, end: int | None, folder: str, part_by
     shared = spark.sparkContext.broadcast(frequencies)
     target = f"{folder}/files"
 
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
         coder, doc_ids = Coder(shared.value), []
 
         def sequences() -> Iterator[np.ndarray]:
-            for batch in batches:
+            for batch in itertools.chain([first], batches):
                 for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                     doc_ids.append(doc_id)
                     yield unpack(data)
 
-        part = key[0].as_py()
-        n, ids = publish(target, f"part-{part:05d}.rans", lambda sink: write_file(coder, doc_ids, sequences(), sink))
-        yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([n]), pa.array([ids])], names=["part", "n", "ids"])
+        part = TaskContext.get().partitionId()  # partitions of a range are in its order
+        n, ids = publish(target, f"part-{part:07d}.rans", lambda sink: write_file(coder, doc_ids, sequences(), sink))
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([ids], pa.int64())], names=["part", "n", "ids"])
 
-    written = ordered_groups(tokens, "part", len(cuts) + 2, run)
+    ordered = tokens.repartitionByRange(n_parts(documents, part_bytes), "doc_id").sortWithinPartitions("doc_id", F.crc32("ids"))
+    written = ordered.mapInArrow(tidy(run), "part long, n long, ids long")
     return frequencies, sorted((r["part"], r["n"], r["ids"]) for r in written.collect())
 
 
-def ordered_groups(tokens: DataFrame, column: str, n: int, run) -> DataFrame:  # noqa: ANN001
-    """Apply ``run`` to each part's rows, which stay in the order of doc_id; a part is as large as a file."""
-    arranged = tokens.repartition(n, column).sortWithinPartitions(column, "doc_id", F.crc32("ids"))
-
-    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-
-        def next_run() -> pa.RecordBatch | None:
-            if waiting:
-                return waiting.pop()
-            for batch in batches:
-                if batch.num_rows:
-                    return batch
-            return None
-
-        def one(first: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            key, batch = first.column(column)[0], first
-            while batch is not None:
-                same = pc.equal(batch.column(column), key)
-                n = pc.sum(same).as_py()  # rows are sorted: those of the part come first
-                yield batch.slice(0, n)
-                if n < batch.num_rows:
-                    waiting.append(batch.slice(n))
-                    return
-                batch = next_run()
-                if batch is not None and batch.column(column)[0] != key:
-                    waiting.append(batch)
-                    return
-
-        while (batch := next_run()) is not None:
-            yield from run((batch.column(column)[0],), one(batch))
-
-    return arranged.mapInArrow(through, "part long, n long, ids long")
-
-
 def read(spark, folder: str, frequencies: np.ndarray, parts: list, kind: str = "bigint") -> DataFrame:  # noqa: ANN001
     """doc_id, start, n_tokens and ids (binary) of each document, decoded from the files."""
     before, total = {}, 0
@@ -361,7 +368,7 @@ def read(spark, folder: str, frequencies: np.ndarray, parts: list, kind: str = "
                     yield _batch(rows, kind)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.rans").load(f"{folder}/files").select("path", "content")
-    return files.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids binary")
+    return files.mapInArrow(tidy(run), f"doc_id {kind}, start long, n_tokens long, ids binary")
 
 
 def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
@@ -373,7 +380,7 @@ def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
 def round_trip(documents: DataFrame, path: str, end: int | None = 2, part_bytes: int = PART_BYTES) -> DataFrame:
     """Write the files of ``documents`` to the shared folder and read them back."""
     spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(spark, 2 * TEXT_BYTES)
     folder = new_folder(spark, "tokens")
     frequencies, parts = write(project(documents, "doc_id", "text"), path, end, folder, part_bytes)
     return read(spark, folder, frequencies, parts, dict(documents.dtypes)["doc_id"])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -68,3 +71,58 @@ def mix(h: np.ndarray) -> np.ndarray:
     """The finishing steps of a 64-bit avalanche hash."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return h ^ (h >> np.uint64(29))
+
+
+class Memo:
+    """The ids of strings, by a function from many strings to (number of ids of each, all ids), remembered up to ``most`` strings."""
+
+    def __init__(self, fresh: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 500_000) -> None:
+        self.fresh, self.most = fresh, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.size, self.data, self.n, self.end = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32), 0, 0
+
+    def _keep(self, vocabulary: list[str]) -> None:
+        """Forget all strings but those that are asked for again now, half of the room at most."""
+        stay = [w for w in vocabulary if w in self.known][: self.most // 2]
+        total, ids = self._ids(np.fromiter(map(self.known.__getitem__, stay), np.int64, len(stay)))
+        self._clear()
+        self._add(stay, np.diff(total), ids)
+
+    def _add(self, strings: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self._room(self.n + len(strings), self.end + len(ids))
+        self.size[self.n : self.n + len(strings)] = sizes
+        self.data[self.end : self.end + len(ids)] = ids
+        self.known.update(zip(strings, range(self.n, self.n + len(strings)), strict=True))
+        self.n, self.end = self.n + len(strings), self.end + len(ids)
+
+    def _room(self, n: int, end: int) -> None:
+        for name, least in (("size", n), ("data", end)):
+            own = getattr(self, name)
+            if len(own) < least:
+                setattr(self, name, np.concatenate([own, np.zeros(max(least - len(own), len(own)), own.dtype)]))
+
+    def expand(self, vocabulary: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where the ids of each code start, and the end; all ids) of a sequence of codes of ``vocabulary``."""
+        if self.n + len(vocabulary) > self.most and self.n:
+            self._keep(vocabulary)
+        at = np.fromiter(map(self.known.get, vocabulary, itertools.repeat(-1)), np.int64, len(vocabulary))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            fresh = [vocabulary[i] for i in missing.tolist()]
+            at[missing] = np.arange(self.n, self.n + len(fresh))
+            self._add(fresh, *self.fresh(fresh))
+        return self._ids(at[codes])
+
+    def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = np.cumsum(self.size[: self.n]) - self.size[: self.n]
+        return gathered(self.data, begin[at], self.size[at])
+
+
+def gathered(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each part starts, and the end; all parts) of the parts data[begin : begin + size]."""
+    total = np.concatenate([[0], np.cumsum(size)])
+    short = np.int32 if max(total[-1], len(data)) < 1 << 31 else np.int64
+    return total, data[np.arange(total[-1], dtype=short) + np.repeat((begin - total[:-1]).astype(short), size)]
