@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import project, slices, small_batches
+from folioscope.llm.shared import project, slices, small_batches, tidy
 
 PASSAGE, SAMPLE, THRESHOLD = 128, 4000, 0.7
 #: Buckets of hashed words and of hashed shapes; ratios of a passage; width of the encoding and of the attention.
@@ -39,32 +39,63 @@ N_WORDS, N_SHAPES, N_RATIOS, WIDTH, GATE = 768, 256, 4, 16, 8
 N_FEATURES = N_WORDS + N_SHAPES
 EPOCHS, RATE, DECAY = 160, 0.03, 1e-4
 #: Words whose features a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 
 _RUN = re.compile(r"(.)\1+", re.DOTALL)
 
 
+class _Classes(dict):
+    """Characters by code: letters and digits give their class, others themselves."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = out = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
+        return out
+
+
+_CLASSES = _Classes()
+
+
 def shape(word: str) -> str:
     """A word with its letters and digits replaced by their class, and runs cut to one character."""
-    return _RUN.sub(r"\1", "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in word[:64]))
+    return _RUN.sub(r"\1", word[:64].translate(_CLASSES))
+
+
+def _bucket(form: str) -> int:
+    return N_WORDS + xxhash.xxh32_intdigest(form) % N_SHAPES
+
+
+_PLAIN = _bucket("a")
 
 
 def _feature(word: str) -> tuple[int, int, int]:
-    return xxhash.xxh32_intdigest(word.lower()) % N_WORDS, N_WORDS + xxhash.xxh32_intdigest(shape(word)) % N_SHAPES, len(word)
+    lower = word.lower()
+    plain = word == lower and word.isalpha() and word.islower()
+    return xxhash.xxh32_intdigest(lower) % N_WORDS, _PLAIN if plain else _bucket(shape(word)), len(word)
 
 
 class Features:
     """Passages of a batch of texts; remembers the features of words."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int, int]] = {}
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((0, 3), np.int64)
+
+    def _own(self, vocabulary: list[str]) -> np.ndarray:
+        """(word bucket, shape bucket, length) of each word."""
+        fresh = [w for w in vocabulary if w not in self.known]
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.__init__()
+            fresh = vocabulary
+        if fresh:
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+            self.table = np.concatenate([self.table, np.array([_feature(w) for w in fresh], np.int64)])
+        return self.table[np.fromiter(map(self.known.__getitem__, vocabulary), np.int64, len(vocabulary))]
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first passage of each text and the end, first word of each passage and the end, codes, features of the vocabulary, ratios)."""
         ends, codes, vocabulary = words.split(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        own = np.array([self.known.get(w) or self.known.setdefault(w, _feature(w)) for w in vocabulary.to_pylist()], np.int64).reshape(-1, 3)
+        own = self._own(vocabulary.to_pylist())
         n = np.diff(ends)
         count = np.maximum(1, -(-n // PASSAGE))
         first = np.concatenate([[0], np.cumsum(count)])
@@ -107,9 +138,9 @@ class Model:
         z = np.add.reduceat(a[:, None] * h, first[:-1])
         return {"h": h, "t": t, "s": s, "a": a, "z": z, "bag": bag, "p": 1 / (1 + np.exp(-(z @ self.out + self.bias)))}
 
-    def score(self, features: Features, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def score(self, known: Features, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(scores, passages) of each text."""
-        first, cuts, codes, own, ratios = features.of(texts)
+        first, cuts, codes, own, ratios = known.of(texts)
         if len(first) == 1:
             return np.zeros(0), np.zeros(0, np.int64)
         vectors = self.rows[own].sum(1) if len(own) else np.zeros((1, WIDTH), np.float32)
@@ -138,10 +169,10 @@ def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list
     few = spark.createDataFrame(chosen, known.schema)  # ``limit`` rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        known = Features()
         for whole in batches:
             for batch in slices(whole, "text"):
-                first, cuts, codes, own, ratios = features.of(batch.column("text"))
+                first, cuts, codes, own, ratios = known.of(batch.column("text"))
                 out = []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                     bag = np.zeros((b - a, N_FEATURES + N_RATIOS), np.float16)
@@ -153,7 +184,7 @@ def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("quality").cast(pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "quality", "bag"])
 
     texts = project(documents, "doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality")
-    rows = texts.mapInArrow(run, "doc_id string, quality int, bag binary").collect()
+    rows = texts.mapInArrow(tidy(run), "doc_id string, quality int, bag binary").collect()
     return sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])[:limit]
 
 
@@ -162,10 +193,12 @@ def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model | float:
     y = np.array([r["quality"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
-    bags = [np.frombuffer(r["bag"], np.float16).reshape(-1, N_FEATURES + N_RATIOS) for r in rows]
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
-    x = np.concatenate(bags).astype(np.float32)
-    x, ratios = np.ascontiguousarray(x[:, :N_FEATURES]), x[:, N_FEATURES:]
+    width = N_FEATURES + N_RATIOS
+    first = np.concatenate([[0], np.cumsum([len(r["bag"]) // (2 * width) for r in rows])])
+    x, ratios = np.empty((first[-1], N_FEATURES), np.float32), np.empty((first[-1], N_RATIOS), np.float32)
+    for r, i, j in zip(rows, first[:-1], first[1:], strict=True):
+        bag = np.frombuffer(r["bag"], np.float16).reshape(-1, width)
+        x[i:j], ratios[i:j] = bag[:, :N_FEATURES], bag[:, N_FEATURES:]
     rng = np.random.default_rng(seed)
     start = lambda *shape: (rng.normal(0, 0.3, shape)).astype(np.float32)
     m = Model(start(N_FEATURES, WIDTH), start(N_RATIOS, WIDTH), np.zeros(WIDTH, np.float32), start(WIDTH, GATE), start(WIDTH, GATE), start(GATE), start(WIDTH), np.float32(0))
@@ -196,16 +229,16 @@ def score(documents: DataFrame, model: Model | float) -> DataFrame:
     kind = dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        known = Features()
         for whole in batches:
             for batch in slices(whole, "text"):
                 if isinstance(shared.value, float):
-                    p, n = np.full(batch.num_rows, shared.value), np.diff(features.of(batch.column("text"))[0])
+                    p, n = np.full(batch.num_rows, shared.value), np.diff(known.of(batch.column("text"))[0])
                 else:
-                    p, n = shared.value.score(features, batch.column("text"))
+                    p, n = shared.value.score(known, batch.column("text"))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p, pa.float64()), pa.array(n, pa.int64())], names=["doc_id", "score", "n_passages"])
 
-    return project(documents, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, n_passages long")
+    return project(documents, "doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, score double, n_passages long")
 
 
 def keep(documents: DataFrame, model: Model | float, threshold: float = THRESHOLD) -> DataFrame:
@@ -215,13 +248,13 @@ def keep(documents: DataFrame, model: Model | float, threshold: float = THRESHOL
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        known = Features()
         for whole in batches:
             for batch in slices(whole, at):
-                p = np.full(batch.num_rows, shared.value) if isinstance(shared.value, float) else shared.value.score(features, batch.column(at))[0]
+                p = np.full(batch.num_rows, shared.value) if isinstance(shared.value, float) else shared.value.score(known, batch.column(at))[0]
                 yield batch.filter(pa.array(p >= threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidy(run), documents.schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None, threshold: float = THRESHOLD, limit: int = SAMPLE) -> DataFrame:
