@@ -24,15 +24,15 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm.shared import new_folder, project, small_batches, stored
+from folioscope.llm.shared import new_folder, project, small_batches, stored, tidy
 
 MIN_REVISIT = 1000
 DATE = "2020-01-01T00:00:00Z"
@@ -57,10 +57,18 @@ def header(date: str = DATE) -> Column:
     )
 
 
+def pack(body: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=6).compress(body)
+
+
+def unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bodies = [(x or "").encode() for x in batch.column("html").to_pylist()]
-        columns = [batch.column("page_id"), pa.array([hashlib.sha256(x).digest() for x in bodies], pa.binary()), pa.array([zlib.compress(x, 3) for x in bodies], pa.binary())]
+        columns = [batch.column("page_id"), pa.array([hashlib.sha256(x).digest() for x in bodies], pa.binary()), pa.array([pack(x) for x in bodies], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "digest", "payload"])
 
 
@@ -74,7 +82,7 @@ def archive(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT, date:
     revisit = (F.col("n") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("holder"))
     typed = index.join(holders, "digest").withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("holder")))
     headers = stored(typed.select("page_id", "record_type", "digest", header(date).alias("header")), folder, "headers")
-    bodies = pages.select("page_id", "html").mapInArrow(_compress, f"page_id {kind}, digest binary, payload binary").alias("b")
+    bodies = pages.select("page_id", "html").mapInArrow(tidy(_compress), f"page_id {kind}, digest binary, payload binary").alias("b")
     own = bodies.join(holders.alias("h"), (F.col("b.digest") == F.col("h.digest")) & F.col("b.page_id").eqNullSafe(F.col("h.holder")))
     payloads = own.groupBy("b.digest", "b.page_id").agg(F.first("payload").alias("payload")).select("digest", "payload")
     return headers, stored(payloads, folder, "payloads")
@@ -115,7 +123,7 @@ def rebuild(headers: DataFrame, payloads: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for head, digest, packed in zip(*(batch.column(c).to_pylist() for c in ("header", "digest", "payload")), strict=True):
-                body = zlib.decompress(packed) if packed is not None else b""
+                body = unpack(packed) if packed is not None else b""
                 if packed is not None and hashlib.sha256(body).digest() != digest:
                     raise ValueError("a payload doesn't match its digest")
                 out.append(head.encode() + body + END)
@@ -123,7 +131,7 @@ def rebuild(headers: DataFrame, payloads: DataFrame) -> DataFrame:
 
     full = headers.filter("record_type = 'response'").join(payloads, "digest").select("header", "digest", "payload")
     bare = headers.filter("record_type = 'revisit'").select("header", "digest", F.lit(None).cast("binary").alias("payload"))
-    return full.union(bare).mapInArrow(run, "digest binary, record binary")
+    return full.union(bare).mapInArrow(tidy(run), "digest binary, record binary")
 
 
 def read_back(headers: DataFrame, payloads: DataFrame, folder: str, kind: str = "bigint") -> DataFrame:
@@ -147,7 +155,7 @@ def read_back(headers: DataFrame, payloads: DataFrame, folder: str, kind: str =
             kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]], names=["digest", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    parsed = stored(rebuild(headers, payloads).mapInArrow(run, "digest binary, page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"), folder, "parsed")
+    parsed = stored(rebuild(headers, payloads).mapInArrow(tidy(run), "digest binary, page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"), folder, "parsed")
     parsed = parsed.withColumn("page_id", F.col("page_id").cast(kind)).withColumn("refers_to", F.col("refers_to").cast(kind))
     response = parsed.filter("record_type = 'response'").select("digest", "page_id", "payload_bytes", "payload_digest")
     revisit = parsed.filter("record_type = 'revisit'").select("digest", "page_id", "refers_to")
@@ -173,7 +181,7 @@ def export(headers: DataFrame, payloads: DataFrame, folder: str) -> DataFrame:
         publish(folder, name, write)
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n])], names=["file", "records"])
 
-    return rebuild(headers, payloads).mapInArrow(run, "file string, records long")
+    return rebuild(headers, payloads).mapInArrow(tidy(run), "file string, records long")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -186,7 +194,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
                 columns = list(zip(*rows, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["file", "position", "header", "block"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, position long, header binary, block binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(tidy(run), "file string, position long, header binary, block binary")
 
 
 def round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:

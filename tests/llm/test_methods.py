@@ -142,6 +142,7 @@ def test_other_layouts():
         "<p>Short.</p><script>if (a < b) document.write('<p>no</p>')</script><div class='advert'><p>Buy this now, it is a very good thing to own.</p></div><p>Another&nbsp;paragraph&#46;</p>"
         "<section id=comments><p>I do not agree with what was written here at all.</p></section></div><aside><p>Some other long text that stands beside the article.</p></aside><form><p>Your mail address goes into this field.</p></form><footer>All rights</footer>"
     )
+    page = f"<body class='with-sidebar'><div id=page class='has-sidebar page-menu'>{page}</div>"
     assert main_text.extract(page)[0] == "Head & line\nA first paragraph of some length, with a link in it.\nShort.\nAnother paragraph."
 
 
@@ -274,7 +275,7 @@ def test_wrong_payload_raises(spark):
     from pyspark.sql import functions as F
 
     with pytest.raises(Exception, match="doesn't match its digest"):
-        warc.rebuild(headers, payloads.withColumn("payload", F.lit(zlib.compress(b"abd")))).collect()
+        warc.rebuild(headers, payloads.withColumn("payload", F.lit(warc.pack(b"abd")))).collect()
 
 
 # 7 near duplicates
@@ -451,3 +452,44 @@ def test_phrases_do_not_cross_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string").coalesce(1)
     bench = spark.createDataFrame([(1, "b c")], "item_id long, text string")
     assert decontaminate.decontaminate(docs, bench).filter("n_hit > 0").count() == 0
+
+
+# What the operators share
+
+
+def test_marks_miss_no_key(spark):
+    from pyspark.sql import functions as F
+
+    from folioscope.llm.shared import marked
+
+    rows = spark.range(20_000).select(F.when(F.col("id") > 5, F.col("id")).alias("doc_id"))
+    keys = spark.range(1000, 3000).select(F.col("id").alias("k")).union(spark.createDataFrame([(None,)], "k long"))
+    got = marked(rows, F.col("doc_id"), keys, "k")
+    assert got.columns == ["doc_id", "__may"] and got.count() == 20_000
+    assert got.filter("NOT __may AND (doc_id IS NULL OR doc_id BETWEEN 1000 AND 2999)").count() == 0
+    assert got.filter("__may").count() < 2100
+    assert marked(rows, F.col("doc_id"), keys.limit(0), "k").filter("__may").count() == 0
+
+
+@given(st.lists(st.lists(st.integers(0, 60), min_size=1, max_size=30), max_size=8))
+@settings(deadline=None)
+def test_memo_gives_the_same_when_it_forgets(batches):
+    def ids(strings):
+        own = [list(range(int(w) % 4)) + [int(w)] for w in strings]
+        return np.array([len(x) for x in own]), np.array([i for x in own for i in x], np.uint32)
+
+    memo = words.Memo(ids, most=20)
+    for batch in batches:
+        vocabulary = sorted({str(i) for i in batch})
+        codes = np.array([vocabulary.index(str(i)) for i in batch])
+        total, flat = memo.expand(vocabulary, codes)
+        assert [flat[a:b].tolist() for a, b in zip(total, total[1:], strict=False)] == [list(range(i % 4)) + [i] for i in batch]
+
+
+@given(st.lists(st.text(alphabet=" \n\tabcABé日1,.", max_size=30), max_size=12))
+@settings(deadline=None)
+def test_words_of_batches(texts):
+    for table, pattern in ((words.KEEP, r"[^\x20\x09-\x0D]+"), (words.LOWER, r"[^\x20\x09-\x0D]+"), (words.ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")):
+        ends, codes, vocabulary = words.split(pa.array(texts, pa.string()), table)
+        got = [[vocabulary[int(c)].as_py() for c in codes[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
+        assert got == [re.findall(pattern, t if table is words.KEEP else t.translate(LOWER)) for t in texts]
