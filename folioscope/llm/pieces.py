@@ -23,6 +23,7 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored
+from folioscope.llm import words
+from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
 
 GIANT, CHUNK = 40_000, 8_192
 SPACE = "▁"
 #: Stand for a line end, and for a word without a space before it; texts that hold them are encoded whole.
 LINE, BARE = "\x01", "\x02"
-REMEMBERED, TEXT_BYTES = 300_000, 12 << 20
+REMEMBERED, TEXT_BYTES = 150_000, 3 << 20
 BYTES = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -122,45 +124,33 @@ class Encoder:
     """Encodes batches of texts; remembers the ids of words."""
 
     def __init__(self, pieces: Pieces) -> None:
-        self.p, self.known = pieces, {}
+        self.p = pieces
         self.parts = pieces.line_parts and pieces.space_parts
-
-    def _fresh(self, words: list[str]) -> dict[str, np.ndarray]:
-        p = self.p
-        after = p.model.encode("\n")  # a bare word is encoded after a line end
-        bare = [w for w in words if w[:1] == BARE]
-        full = [w for w in words if w[:1] != BARE and w != LINE]
-        out = dict(zip(full, p.model.encode(full, num_threads=1), strict=True)) if full else {}
-        out |= {w: ids[len(after) :] for w, ids in zip(bare, p.model.encode(["\n" + w[1:] for w in bare], num_threads=1), strict=True)} if bare else {}
-        out[LINE] = p.numbers("\n")
-        return {w: np.array(ids, np.uint32) for w, ids in out.items()}
+        self.memo = words.Memo(self._fresh, REMEMBERED)
+
+    def _fresh(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        model = self.p.model
+        skip = len(model.encode("\n"))  # a bare word is encoded after a line end
+        sizes, ids = [], []
+        for i in range(0, len(found), 20_000):
+            part = found[i : i + 20_000]
+            coded = model.encode(["\n" + w[1:] if w[:1] == BARE else w for w in part], num_threads=1)
+            own = [self.p.numbers("\n") if w == LINE else x[skip:] if w[:1] == BARE else x for w, x in zip(part, coded, strict=True)]
+            sizes += map(len, own)
+            ids.append(np.fromiter(itertools.chain.from_iterable(own), np.uint32))
+        return np.array(sizes, np.int64), np.concatenate([*ids, np.zeros(0, np.uint32)])
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lines = pc.replace_substring(texts, "\n", f" {LINE} {BARE}")
         odd = pc.match_substring_regex(texts, f"^ |  | \n| $|^$|[{LINE}{BARE}{SPACE}]").to_numpy(zero_copy_only=False) if self.parts else np.ones(len(texts), bool)
-        first_line = pc.starts_with(texts, "\n").to_numpy(zero_copy_only=False)
-        odd = odd | first_line  # a text that starts with a line end has a lone space before it
+        odd = odd | pc.starts_with(texts, "\n").to_numpy(zero_copy_only=False)  # a text that starts with a line end has a lone space before it
         usual = np.flatnonzero(~odd)
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         if len(usual):
-            listed = pc.split_pattern(lines.take(pa.array(usual)), " ")
+            listed = pc.split_pattern(pc.replace_substring(texts.take(pa.array(usual)), "\n", f" {LINE} {BARE}"), " ")
             flat = listed.flatten().dictionary_encode()
             ends = np.asarray(listed.offsets, np.int64)
-            codes = flat.indices.to_numpy(zero_copy_only=False)
-            words = flat.dictionary.to_pylist()
-            fresh = [w for w in words if w not in self.known]
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known.clear()
-                fresh = words
-            new = self._fresh(fresh)
-            own = [self.known[w] if w in self.known else new[w] for w in words]
-            self.known.update((w, ids) for w, ids in new.items() if len(w) <= 64)
-            sizes = np.fromiter(map(len, own), np.int64, len(own))
-            every = np.concatenate([*own, np.zeros(0, np.uint32)])
-            begin, n = np.cumsum(sizes) - sizes, sizes[codes]
-            total = np.concatenate([[0], np.cumsum(n)])
-            ids = every[np.arange(total[-1]) - np.repeat(total[:-1] - begin[codes], n)]
+            total, ids = self.memo.expand(flat.dictionary.to_pylist(), flat.indices.to_numpy(zero_copy_only=False))
             at = total[ends - ends[0]]
             for i, a, b in zip(usual.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
                 out[i] = ids[a:b]
@@ -332,25 +322,25 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
     crcs = lambda own: pa.array([zlib.crc32(np.asarray(x).astype("<u4").tobytes()) for x in own], pa.int64())
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Pieces(path))
+        coder = Encoder(Pieces(path))
         for whole in batches:
             for batch in slices(whole, "text", TEXT_BYTES):
-                own = encoder.encode(batch.column("text"))
+                own = coder.encode(batch.column("text"))
                 plain = pc.fill_null(batch.column("text"), "").cast(pa.binary())
-                same = [encoder.p.decode(x) == t.as_py() for x, t in zip(own, plain, strict=True)]
+                same = [coder.p.decode(x) == t.as_py() for x, t in zip(own, plain, strict=True)]
                 ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32))
                 flat = pa.array(np.concatenate([*own, np.zeros(0, np.uint32)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(ends, flat), crcs(own), pa.array(np.ones(len(own), np.int64)), pa.array(same, pa.bool_())], names=["doc_id", "ids", "ids_crc32", "n_chunks", "round_trip"])
 
     schema = f"doc_id {kind}, ids array<int>, ids_crc32 long, n_chunks long, round_trip boolean"
     long = F.length("text") > giant
-    usual = documents.filter(~F.coalesce(long, F.lit(False))).mapInArrow(small, schema)
+    usual = documents.filter(~F.coalesce(long, F.lit(False))).mapInArrow(tidy(small), schema)
 
     folder = new_folder(spark, "pieces")
     longest = Pieces(path).longest
     own_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     cut = _cut(chunk, longest + 1, own_kind)
-    chunks = stored(documents.filter(long).mapInArrow(cut, f"uid long, doc_id {kind}, crc long, k long, base long, n long, part string"), folder, "chunks")
+    chunks = stored(documents.filter(long).mapInArrow(tidy(cut), f"uid long, doc_id {kind}, crc long, k long, base long, n long, part string"), folder, "chunks")
 
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(path)
@@ -362,7 +352,7 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
                 names=["uid", "k", "width", "matrix"],
             )
 
-    matrices = stored(chunks.repartition("uid", "k").mapInArrow(transfer, "uid long, k long, width long, matrix binary"), folder, "matrices")
+    matrices = stored(chunks.repartition("uid", "k").mapInArrow(tidy(transfer), "uid long, k long, width long, matrix binary"), folder, "matrices")
 
     def combine(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["k"])
@@ -379,7 +369,7 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("uid", "doc_id", "crc", "k")], pa.array(own, pa.list_(pa.int32()))], names=["uid", "doc_id", "crc", "k", "ids"])
 
     own = chunks.join(ways, ["uid", "k"]).select("uid", "doc_id", "crc", "k", "part", "base", "n", "source", "target")
-    traced = stored(own.mapInArrow(trace, f"uid long, doc_id {kind}, crc long, k long, ids array<int>"), folder, "traced")
+    traced = stored(own.mapInArrow(tidy(trace), f"uid long, doc_id {kind}, crc long, k long, ids array<int>"), folder, "traced")
     whole = traced.groupBy("uid", "doc_id", "crc").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("x"))
     whole = whole.select("doc_id", F.flatten(F.col("x.ids")).alias("ids"), F.size("x").cast("long").alias("n_chunks"), "crc")
 
@@ -390,4 +380,4 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
             same = [zlib.crc32(p.decode(x)) == c for x, c in zip(own, batch.column("crc").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), crcs(own), batch.column("n_chunks"), pa.array(same, pa.bool_())], names=["doc_id", "ids", "ids_crc32", "n_chunks", "round_trip"])
 
-    return usual.union(whole.mapInArrow(check, schema))
+    return usual.union(whole.mapInArrow(tidy(check), schema))
