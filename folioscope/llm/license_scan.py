@@ -8,9 +8,10 @@ fingerprinted alike, so a run of K + W - 1 words shared with a template gives a
 common fingerprint; a template with fewer shingles than a window keeps its least one.
 
 Hits whose places agree on where the template would start form a candidate.
-It is aligned, within a band around the hits' diagonals, by local alignment;
-coverage is the share of the template's words matched. Of overlapping spans the one with
-most matched words stays, then the best covered.
+The words around it are aligned by local alignment; coverage is the share of the
+template's words matched. Of overlapping spans the one with most matched words stays,
+then the best covered; what lies outside the spans is aligned again until no match of
+enough coverage is left, so copies that follow each other each give a row.
 
 Defined results: null or wordless texts match nothing; documents without a match
 give no row; repeated rows each give theirs; an empty table or no templates give an
@@ -33,6 +34,8 @@ from folioscope.llm.shared import project, slices, small_batches, tidy
 
 K, W, BAND, COVERAGE = 3, 3, 8, 0.8
 MATCH, OTHER, GAP = 2, -1, -1
+#: Words whose ends are aligned at a time; an alignment of positive score has less than 3 words to each of its template's.
+BLOCK, REACH = 1 << 13, 3
 BROADCAST_BYTES = 16 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -66,6 +69,9 @@ class Index:
             for i in winnow(grams).tolist():
                 self.places.setdefault(int(grams[i]), []).append((t, i))
         self.hashes = np.array(sorted(self.places), np.uint64)
+        self.ids = {w: k for k, w in enumerate(dict.fromkeys(w for own in self.words for w in own))}
+        self.codes = [np.array([self.ids[w] for w in own], np.int64) for own in self.words]
+        self.rows = [self._rows(c) for c in self.codes]  # each word's place among the template's distinct ones; that place by id, last -1 for any other word
 
     @staticmethod
     def terms(text: str) -> list[str]:
@@ -73,6 +79,12 @@ class Index:
         own = vocabulary.to_pylist()
         return [own[c] for c in codes.tolist()]
 
+    def _rows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct, rows = np.unique(codes, return_inverse=True)
+        local = np.full(len(self.ids) + 1, -1)
+        local[distinct] = np.arange(len(distinct))
+        return rows, local
+
     def candidates(self, hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
         """(template, least and largest start) of each group of hits (place in the document, hash)."""
         starts: dict[int, list[int]] = {}
@@ -89,48 +101,70 @@ class Index:
                 high = s
             yield t, low, high
 
-    def align(self, t: int, low: int, high: int, text: list[str]) -> Match | None:
-        """The best local alignment of a template whose start lies within a band of [low, high]."""
-        template = self.words[t]
-        low, high = low - BAND, high + BAND
-        width = high - low + 1
-        before: list[tuple[int, int, int, int]] = [(0, 0, -1, -1)] * (width + 1)  # score, matched, first, last
-        best = (0, 0, -1, -1)
-        for i, word in enumerate(template):
-            row: list[tuple[int, int, int, int]] = []
-            left = (0, 0, -1, -1)
-            for d in range(width):
-                j = i + low + d
-                if not 0 <= j < len(text):
-                    left = (0, 0, -1, -1)
-                    row.append(left)
-                    continue
-                score, matched, first, last = before[d]
-                if text[j] == word:
-                    own = (score + MATCH, matched + 1, first if first >= 0 else j, j)
-                else:
-                    own = (score + OTHER, matched, first, last)
-                up, side = before[d + 1], left
-                if up[0] + GAP > own[0]:
-                    own = (up[0] + GAP, *up[1:])
-                if side[0] + GAP > own[0]:
-                    own = (side[0] + GAP, *side[1:])
-                left = own if own[0] > 0 else (0, 0, -1, -1)
-                row.append(left)
-                if left > best and (left[0], left[1]) > (best[0], best[1]):
-                    best = left
-            before = [*row, (0, 0, -1, -1)]
-        return Match(t, best[1], best[1] / len(template), best[2], best[3]) if best[1] else None
+    def ends(self, t: int, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score, matched words and first word of the best local alignment of a template that ends at each word; of equal scores that of most matched words, then the shortest."""
+        n, size = len(text), len(self.codes[t])
+        one = 1 << n.bit_length()  # a state is score, matched words and first word in one number, the greater the better
+        unit = one << size.bit_length()
+        if (2 * size + n) * unit >> 62:
+            raise ValueError("this template is too long to align")
+        rows, local = self.rows[t]
+        step = np.full((int(rows.max()) + 1, n), OTHER * unit)
+        place = np.flatnonzero(local[text] >= 0)
+        step[local[text[place]], place] = MATCH * unit + one
+        empty = np.arange(n + 1)
+        ramp = empty * -GAP * unit
+        state, best = empty.copy(), np.zeros(n, np.int64)
+        for r in rows.tolist():
+            up = state + GAP * unit
+            np.maximum(up[1:], state[:-1] + step[r], out=up[1:])
+            up += ramp
+            np.maximum.accumulate(up, out=up)
+            up -= ramp
+            state = np.where(up < unit, empty, up)
+            np.maximum(best, state[1:], out=best)
+        return best // unit, best % unit // one, best % one
+
+    def align(self, t: int, low: int, high: int, text: np.ndarray, coverage: float) -> list[Match]:
+        """Local alignments of a template within [low, high) that cover enough of it, best first, each apart from those before."""
+        size, found = len(self.codes[t]), []
+        counts = np.bincount(self.rows[t][1][text[low:high]] + 1, minlength=int(self.rows[t][0].max()) + 2)[1:]
+        if np.minimum(counts, np.bincount(self.rows[t][0])).sum() / size < coverage:
+            return []
+        for a in range(low, high, BLOCK):
+            start = max(low, a - REACH * size)
+            score, matched, first = (x[a - start :] for x in self.ends(t, text[start : min(high, a + BLOCK)]))
+            enough = np.flatnonzero((matched / size >= coverage) & (matched > 0))
+            found += zip((-score[enough]).tolist(), (-matched[enough]).tolist(), (enough + a).tolist(), (first[enough] + start).tolist(), strict=True)
+        free, out = np.ones(high - low, bool), []
+        for _, matched, last, first in sorted(found):
+            own = free[first - low : last - low + 1]
+            if own.all():
+                own[:] = False
+                out.append(Match(t, -matched, -matched / size, first, last))
+        return out
 
     def matches(self, text: list[str], hits: list[tuple[int, int]], coverage: float) -> list[Match]:
-        found = {m for c in self.candidates(hits) if (m := self.align(*c, text)) and m.coverage >= coverage}
-        out: list[Match] = []
-        for m in sorted(found, key=lambda m: (-m.matched, -m.coverage, m.first, m.template)):
-            if all(m.last < o.first or m.first > o.last for o in out):
-                out.append(m)
+        codes = np.array([self.ids.get(w, -1) for w in text], np.int64)
+        free, out = np.ones(len(codes), bool), []
+        parts = [(t, max(0, low - BAND), min(len(codes), high + len(self.codes[t]) + BAND)) for t, low, high in self.candidates(hits)]
+        while parts:
+            aligned = [(part, found) for part in parts if (found := self.align(*part, codes, coverage))]
+            for m in sorted({m for _, found in aligned for m in found}, key=lambda m: (-m.matched, -m.coverage, m.first, m.template)):
+                own = free[m.first : m.last + 1]
+                if own.all():
+                    own[:] = False
+                    out.append(m)
+            parts = [(t, low + a, low + b) for (t, low, high), _ in aligned for a, b in _runs(free[low:high])]
         return sorted(out, key=lambda m: m.first)
 
 
+def _runs(free: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the runs of true."""
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]]).astype(np.int8)))
+    return list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
+
+
 def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, license, coverage, matched_words, start_word, end_word, start_char and end_char (ends are exclusive) of each match."""
     templates = TEMPLATES if templates is None else templates

@@ -422,6 +422,22 @@ def test_scan_matches_full_alignment(spark):
         assert len(index.terms(span)) == best["end_word"] - best["start_word"]
 
 
+def test_each_of_repeated_notices_gives_a_row(spark):
+    short = ["MIT notice", "Apache-2.0 notice", "CC-BY-SA-4.0 notice", "CC-BY-NC-4.0 notice"]
+    rows = [(i, "\n".join([TEMPLATES[name]] * 7)) for i, name in enumerate(short)]
+    rows.append((len(short), " ".join(TEMPLATES[name] for name in short * 2)))
+    rows.append((len(short) + 1, "\n".join([TEMPLATES["MIT notice"]] * 2000)))  # longer than a block
+    found = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r["coverage"] == 1
+        found.setdefault(r["doc_id"], []).append((r["start_word"], r["license"]))
+    size = {name: len(license_scan.Index.terms(TEMPLATES[name])) for name in short}
+    for i, name in enumerate(short):
+        assert sorted(found[i]) == [(k * size[name], name) for k in range(7)]
+    assert [name for _, name in sorted(found[len(short)])] == short * 2
+    assert sorted(found[len(short) + 1]) == [(k * size["MIT notice"], "MIT notice") for k in range(2000)]
+
+
 @given(st.lists(st.integers(0, 20), min_size=1, max_size=60))
 def test_winnowing_takes_one_of_each_window(values):
     h = np.array(values, np.uint64)
