@@ -1,4 +1,4 @@
-"""License scan: winnowed fingerprints pick candidates, banded alignment reports coverage and spans.
+"""License scan: winnowed fingerprints pick candidates, local alignment reports coverage and spans.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, in lower
 case. A template's fingerprints are the least hashes of K-word shingles in each
@@ -7,11 +7,12 @@ in the code or the driver, bounded by ``BROADCAST_BYTES``). Every document is
 fingerprinted alike, so a run of K + W - 1 words shared with a template gives a
 common fingerprint; a template with fewer shingles than a window keeps its least one.
 
-Hits whose places agree on where the template would start form a candidate.
-The words around it are aligned by local alignment; coverage is the share of the
-template's words matched. Of overlapping spans the one with most matched words stays,
-then the best covered; what lies outside the spans is aligned again until no match of
-enough coverage is left, so copies that follow each other each give a row.
+All words that an alignment through a template's hits can reach are aligned with it by
+local alignment, so parts of a copy that stand apart are joined if the words between
+them cost less than the lesser part gives; coverage is the share of the template's words
+matched. Of overlapping spans the one with most matched words stays, then the best
+covered; what lies outside the spans is aligned again until no match of enough coverage
+is left, so copies that follow each other each give a row.
 
 Defined results: null or wordless texts match nothing; documents without a match
 give no row; repeated rows each give theirs; an empty table or no templates give an
@@ -32,7 +33,7 @@ from folioscope.llm import words
 from folioscope.llm.license_texts import TEMPLATES
 from folioscope.llm.shared import project, slices, small_batches, tidy
 
-K, W, BAND, COVERAGE = 3, 3, 8, 0.8
+K, W, COVERAGE = 3, 3, 0.8
 MATCH, OTHER, GAP = 2, -1, -1
 #: Words whose ends are aligned at a time; an alignment of positive score has less than 3 words to each of its template's.
 BLOCK, REACH = 1 << 13, 3
@@ -85,20 +86,20 @@ class Index:
         local[distinct] = np.arange(len(distinct))
         return rows, local
 
-    def candidates(self, hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
-        """(template, least and largest start) of each group of hits (place in the document, hash)."""
-        starts: dict[int, list[int]] = {}
+    def candidates(self, hits: list[tuple[int, int]], n: int) -> Iterator[tuple[int, int, int]]:
+        """(template, bounds of the words that an alignment through one of its hits can reach) of each group of hits (place in the document of ``n`` words, hash)."""
+        reached: dict[int, list[tuple[int, int]]] = {}
         for place, h in hits:
             for t, i in self.places[h]:
-                starts.setdefault(t, []).append(place - i)
-        for t, own in starts.items():
+                reached.setdefault(t, []).append((max(0, place - REACH * i), min(n, place + REACH * (len(self.codes[t]) - i))))
+        for t, own in reached.items():
             own.sort()
-            low = high = own[0]
-            for s in own[1:]:
-                if s - high > BAND or s - low > 4 * BAND:
+            low, high = own[0]
+            for a, b in own[1:]:
+                if a > high:
                     yield t, low, high
-                    low = s
-                high = s
+                    low = a
+                high = max(a, b, high)
             yield t, low, high
 
     def ends(self, t: int, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,7 +148,7 @@ class Index:
     def matches(self, text: list[str], hits: list[tuple[int, int]], coverage: float) -> list[Match]:
         codes = np.array([self.ids.get(w, -1) for w in text], np.int64)
         free, out = np.ones(len(codes), bool), []
-        parts = [(t, max(0, low - BAND), min(len(codes), high + len(self.codes[t]) + BAND)) for t, low, high in self.candidates(hits)]
+        parts = list(self.candidates(hits, len(codes)))
         while parts:
             aligned = [(part, found) for part in parts if (found := self.align(*part, codes, coverage))]
             for m in sorted({m for _, found in aligned for m in found}, key=lambda m: (-m.matched, -m.coverage, m.first, m.template)):

@@ -438,6 +438,26 @@ def test_each_of_repeated_notices_gives_a_row(spark):
     assert sorted(found[len(short) + 1]) == [(k * size["MIT notice"], "MIT notice") for k in range(2000)]
 
 
+def test_copies_with_long_insertions_are_found(spark):
+    grant, warranty = TEMPLATES["MIT"].split(" THE SOFTWARE IS PROVIDED ")
+    terms, names = TEMPLATES["BSD-3-Clause"].split(" 3. Neither ")
+    rnd = random.Random(6)
+    rows = [(n, f"{spoken(30, 300, rnd)} {grant} {spoken(n, 300, rnd)} THE SOFTWARE IS PROVIDED {warranty} {spoken(30, 300, rnd)}") for n in (10, 20, 40)]
+    clause = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
+    rows.append((4, f"{terms} {clause} 4. Neither {names}"))
+    own = TEMPLATES["MIT"].split()
+    rows.append((5, " ".join(" ".join(own[k : k + 40]) + " " + spoken(12, 300, rnd) for k in range(0, len(own), 40))))
+    index, found = license_scan.Index(list(TEMPLATES.values())), {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    for i, text in rows:
+        (r,) = found[i]
+        t = list(TEMPLATES).index(r["license"])
+        assert r["license"] == ("BSD-3-Clause" if i == 4 else "MIT")
+        assert r["matched_words"] == full_alignment(index.words[t], index.terms(text)) >= len(index.words[t]) - 2
+        assert text[r["start_char"] : r["end_char"]].split()[0] == TEMPLATES[r["license"]].split()[0]
+
+
 @given(st.lists(st.integers(0, 20), min_size=1, max_size=60))
 def test_winnowing_takes_one_of_each_window(values):
     h = np.array(values, np.uint64)
