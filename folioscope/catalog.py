@@ -88,7 +88,7 @@ def doc_figure_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.context(identified(spark, sf_dir), (F.col("doc_id") + F.col("body_pos")) % 9 == 0).withColumn("text", X.ellipsis(F.col("text"), 160))
+    return E.context(annotated(spark, sf_dir), F.size("image_ids") > 0).withColumn("text", X.ellipsis(F.col("text"), 160))
 
 
 @query

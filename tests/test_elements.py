@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folioscope import catalog
 from folioscope.operators import damage, diagnose, tables
 from folioscope.operators import elements as E
 
@@ -102,3 +103,12 @@ def test_defects(spark):
     df = spark.createDataFrame([tuple(row.values())], list(row))
     got = df.select(diagnose.defects(F.lit("strict")).alias("d")).first()["d"]
     assert [re.sub(r"\W.*", "", d) for d in got] == ["strict", "headings", "table", "damaged", "citations"]
+
+
+def test_context_is_that_of_elements_with_images(spark, sf_dir, monkeypatch):
+    embedded = catalog.overlay.embedded
+    some = F.when((F.col("kind") == "p") & (F.col("body_pos") % 2 == 1), F.array(F.lit("rId1")))
+    monkeypatch.setattr(catalog.overlay, "embedded", lambda elements: embedded(elements).withColumn("rel_ids", some))
+    got = {(r["doc_id"], r["anchor"]) for r in catalog.doc_context(spark, sf_dir).collect()}
+    own = catalog.annotated(spark, sf_dir).filter("body_pos % 2 = 1 AND size(context) > 0")
+    assert got == {(r["doc_id"], r["para_pos"]) for r in own.collect()} and got
