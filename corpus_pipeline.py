@@ -30,15 +30,25 @@ def _apart(docs: DataFrame, key: Column, keys: DataFrame, of: str) -> tuple[Data
     return own.filter("NOT __may").select(docs.columns), own.filter("__may").select(docs.columns)
 
 
+def _among(docs: DataFrame, keys: DataFrame, name: str) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
+    """The rows surely not among ``keys`` (doc_id, text_hash, others), all other rows, the keys as stored, and when a row has a key."""
+    own = keys.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"}).withColumn("__key", F.xxhash64("__id", "__hash"))
+    own = stored(own, new_folder(docs.sparkSession, name), "rows")
+    sure, others = _apart(docs, F.xxhash64("doc_id", F.xxhash64("text")), own, "__key")
+    return sure, others, own, others["doc_id"].eqNullSafe(own["__id"]) & (F.xxhash64(others["text"]) == own["__hash"])
+
+
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't among ``rejected`` (doc_id, text_hash)."""
-    bad = rejected.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.xxhash64("doc_id", "text_hash").alias("__key")).distinct()
-    bad = stored(bad, new_folder(docs.sparkSession, "rejected"), "rows")
-    sure, others = _apart(docs, F.xxhash64("doc_id", F.xxhash64("text")), bad, "__key")
-    same = others["doc_id"].eqNullSafe(bad["__id"]) & (F.xxhash64(others["text"]) == bad["__hash"])
+    sure, others, bad, same = _among(docs, rejected.select("doc_id", "text_hash").distinct(), "rejected")
     return sure.union(others.join(bad, same, "left_anti"))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, which here is the id (null after all others) and the hash of the text, and text."""
+    return docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that they reject go."""
     return _without(docs, quality_rules.judge(docs).filter("NOT kept"))
@@ -51,21 +61,16 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicates: one document of each group stays, that of the least doc_id."""
-    folder = new_folder(spark, "kept")
-    found = stored(near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")), folder, "ids")
-    special = found.filter("NOT kept OR n > 1").select(F.col("doc_id").alias("__id"), "kept")
-    sure, others = _apart(docs, F.col("doc_id"), special, "__id")
-    dropped = special.filter("NOT kept")
-    return sure.union(others.join(dropped, others["doc_id"].eqNullSafe(dropped["__id"]), "left_anti").dropDuplicates(["doc_id", "text"]))
+    """Near-duplicates: one document of each group stays, that of the least doc_id (of one id's texts, that of the least hash)."""
+    found = near_dedup.near_duplicates(_keyed(docs)).groupBy("doc_id").agg(F.bool_or("kept").alias("__kept"), F.count("*").alias("__n"))
+    sure, others, special, same = _among(docs, found.filter("NOT __kept OR __n > 1").select("doc_id.doc_id", "doc_id.text_hash", "__kept"), "kept")
+    return sure.union(others.join(special.filter("NOT __kept"), same, "left_anti").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents with a benchmark passage go."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select(F.col("doc_id").alias("__id"))
-    bad = stored(found.distinct(), new_folder(spark, "contaminated"), "ids")
-    sure, others = _apart(docs, F.col("doc_id"), bad, "__id")
-    return sure.union(others.join(bad, others["doc_id"].eqNullSafe(bad["__id"]), "left_anti"))
+    found = decontaminate.decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    return _without(docs, found.select("doc_id.doc_id", "doc_id.text_hash"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,18 @@ def test_clean_documents_stay(spark, sf_dir):
     stay = {r["doc_id"] for r in after.select("doc_id").collect()}
     assert len(ids - stay) <= 0.02 * len(ids)
     assert rows_of(after.limit(0)) == []
+
+
+def test_texts_of_one_id_are_judged_apart(spark, sf_dir):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(200)) for x in "abcd")
+    item = max((r["text"] for r in queries.table(spark, sf_dir, "benchmark").collect()), key=len)
+    rows = [(1, a), (1, a + " more"), (2, b), (2, b), (2, c), (3, c), (3, d), (4, c), (None, d), (None, "x " + d), (None, f"{a} {item}"), (3, f"{b} {item}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = corpus_pipeline.decontamination(spark, docs, sf_dir)
+    assert rows_of(clean) == sorted(rows[:-2], key=repr)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup(spark, clean, sf_dir).collect()]
+    assert sorted(i for i, _ in got) == [1, 2, 2, 3]
+    assert {(2, b), (2, c), (3, d)} < set(got)
+    nulls = spark.createDataFrame([(None, a), (None, a + " more"), (None, b), (None, None)], docs.schema)
+    assert sorted(r["text"] or "" for r in corpus_pipeline.dedup(spark, nulls, sf_dir).collect())[0] == ""
+    assert corpus_pipeline.dedup(spark, nulls, sf_dir).count() == 3
