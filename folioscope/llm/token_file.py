@@ -24,22 +24,19 @@ import functools
 import itertools
 import json
 import os
-import posixpath
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
+from folioscope.llm.shared import new_folder, project, publish, slices, small_batches, stored, tidy
 
 MAGIC = b"FRANS1\0\0"
 SCALE, LANES, BLOCK = 18, 512, 1 << 17
@@ -283,21 +280,6 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
 
-def file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
-
-
-def publish(folder: str, name: str, write) -> object:  # noqa: ANN001
-    """Write a file under a name of its own and then move it, so that only whole files are seen, from whichever attempt."""
-    fs, path = file_system(folder)
-    fs.create_dir(path, recursive=True)
-    own = posixpath.join(path, f"_{name}.{uuid.uuid4().hex}")
-    with fs.open_output_stream(own) as sink:
-        result = write(sink)
-    fs.move(own, posixpath.join(path, name))
-    return result
-
-
 def n_parts(documents: DataFrame, least: int = PART_BYTES, most: int = 8 * PART_BYTES) -> int:
     """How many files a table asks for: small ones up to a thousand, then larger ones, which still fit a task."""
     size = int(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

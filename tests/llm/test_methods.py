@@ -1,21 +1,27 @@
 """Each method against a brute-force version, a library, or a property."""
 
+import gzip
+import io
 import itertools
 import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas
 import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, license_scan, main_text, near_dedup, pieces, quality_model, queries, token_file, url_filter, warc, words
 from folioscope.llm.components import components
 from folioscope.llm.license_texts import TEMPLATES
 from folioscope.llm.shared import new_folder
+from folioscope.llm.sql import OP6
 from tests.conftest import rows_of, rows_of_sql
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -254,28 +260,55 @@ def test_scan_is_the_product_of_prefixes(sizes, rnd):
 # 6 warc
 
 
-def test_archive_stores_once_and_rebuilds(spark, tmp_path):
+def test_archive_stores_once_and_rebuilds(spark, tmp_path, monkeypatch):
     big, other = "x" * 1500, "y" * 1200
     rows = [(1, "http://a/\r\nX: y", big), (2, None, big), (3, "u", big), (4, "u", other), (5, "u", "small"), (6, "u", "small"), (7, "u", None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    headers, payloads = warc.archive(pages, new_folder(spark, "t"))
-    assert payloads.count() == 4
-    whole = [bytes(r["record"]) for r in warc.rebuild(headers, payloads).collect()]
-    parsed = [(warc.parse_header(h), b) for w in whole for h, b in warc.parse(w)]
+    wholes = []
+    for least in (warc.HOT_LEAST, 1):  # then every repeated payload takes the way of hot ones
+        monkeypatch.setattr(warc, "HOT_LEAST", least)
+        store = warc.archive(pages, new_folder(spark, "t"))
+        assert store.places.count() == store.places.select("digest").distinct().count() == 4
+        assert store.headers.filter("hot").count() == (5 if least == 1 else 0)
+        wholes.append(sorted(bytes(r["record"]) for r in warc.rebuild(store).collect()))
+    assert wholes[0] == wholes[1]
+    parsed = [(warc.parse_header(h), b) for w in wholes[0] for h, b in warc.parse(io.BytesIO(w).read)]
     assert sorted(len(b) for _, b in parsed) == [0, 0, 0, 5, 5, 1200, 1500] and sum(h["warc-type"] == "revisit" for h, _ in parsed) == 2
     assert not any("x" in h for h, _ in parsed)
-    assert warc.export(headers, payloads, f"file://{tmp_path}/files").agg({"records": "sum"}).first()[0] == 7
-    again = warc.records(spark, f"{tmp_path}/files").collect()
-    assert sorted(bytes(r["header"]) + bytes(r["block"]) + warc.END for r in again) == sorted(whole)
+    assert [h["warc-target-uri"] for h, _ in parsed if h["warc-record-id"].startswith("<urn:page:1:")] == ["http://a/%0D%0AX:%20y"]
+    assert warc.export(store, f"file://{tmp_path}/files").agg({"records": "sum"}).first()[0] == 7
+    again = warc.records(spark, f"{tmp_path}/files/*.warc.gz").collect()
+    assert sorted(bytes(r["header"]) + bytes(r["block"]) + warc.END for r in again) == wholes[0]
 
 
-def test_wrong_payload_raises(spark):
-    pages = spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string")
-    headers, payloads = warc.archive(pages, new_folder(spark, "t"))
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("size", [1, 7, 1 << 20])
+@pytest.mark.parametrize("member", [bytes, gzip.compress])
+def test_records_are_parsed_in_pieces_of_any_size(size, member):
+    heads = [f"WARC/1.1\r\nContent-Length: {n}\r\n\r\n".encode() for n in (0, 5, 3000)]
+    blocks = [b"", b"\r\n\r\n\r", bytes(range(250)) * 12]
+    source = io.BytesIO(b"".join(member(h + b + warc.END) for h, b in zip(heads, blocks, strict=True)))
+    assert list(warc.parse(lambda n: source.read(min(n, max(size, 2))))) == list(zip(heads, blocks, strict=True))
+    with pytest.raises(ValueError, match="doesn't end"):
+        list(warc.parse(io.BytesIO(heads[1] + b"short").read))
 
+
+def test_wrong_payload_raises(spark):
+    pages = spark.createDataFrame([(1, "u", "abc"), (2, "u", "abd")], "page_id long, url string, html string")
+    store = warc.archive(pages, new_folder(spark, "t"))
+    turned = store.places.withColumn("digest", F.unhex(F.sha2(F.when(F.col("digest") == F.unhex(F.sha2(F.lit("abc"), 256)), "abd").otherwise("abc"), 256)))
     with pytest.raises(Exception, match="doesn't match its digest"):
-        warc.rebuild(headers, payloads.withColumn("payload", F.lit(warc.pack(b"abd")))).collect()
+        warc.rebuild(store._replace(places=turned)).collect()
+
+
+def test_repeated_pages_and_missing_ids(spark):
+    big = "z" * 1000
+    rows = [(i % 7 or None, f"u{i}", [big, None, "", "s", big + "é"][i % 5]) for i in range(60)]
+    con = duckdb.connect()
+    con.register("raw", pandas.DataFrame({"page_id": pandas.array([r[0] for r in rows], "Int64"), "html": [r[2] for r in rows]}))
+    con.execute("CREATE VIEW pages AS SELECT page_id::BIGINT page_id, html FROM raw")
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    names, expected = rows_of_sql(con, OP6)
+    assert names == sorted(got.columns) and rows_of(got) == expected
 
 
 # 7 near duplicates
