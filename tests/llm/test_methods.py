@@ -152,6 +152,99 @@ def test_other_layouts():
     assert main_text.extract(page)[0] == "Head & line\nA first paragraph of some length, with a link in it.\nShort.\nAnother paragraph."
 
 
+WORDS = "The committee met in the old town hall on the first day of spring and agreed to go on."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><p>{WORDS}</p><svg width='1'/><p>{WORDS}</p><svg><text>no</text></svg><p>a<math><mi>x</mi><annotation>no</annotation></math>b {WORDS}</p></article>", f"{WORDS}\n{WORDS}\naxb {WORDS}"),
+        (f"<article><video-card>{WORDS}</video-card><video>no</video><object-x>{WORDS}</object-x></article>", f"{WORDS}\n{WORDS}"),
+        (f"<body><form id=aspnet><nav><ul><li><a href=x>Home</a></ul></nav><article><h1>Title</h1><p>{WORDS}</p></article></form>", f"Title\n{WORDS}"),
+        (f"<form><p>Search the site</p><input></form><article><p>{WORDS}</p></article>", WORDS),
+        (f"<article><header><h1>Title of it</h1></header><p class='share-holder'>{WORDS}</p><p>{WORDS}</p></article>", f"Title of it\n{WORDS}\n{WORDS}"),
+        (f"<header><p>Site of all news</p></header><article><p>{WORDS}</p></article><footer><p>{WORDS}</p></footer>", WORDS),
+        (f"<article><p>{WORDS}</p><table><tr><td>one<td>two<tr><td>three</table></article>", f"{WORDS}\none\ntwo\nthree"),
+        (f"<main><article class=post><h2>Title</h2><div class=ad-box><p>{WORDS} {WORDS}</p></div><p>{WORDS}</p><ul><li>one<li>two</ul><section id=comments><p>{WORDS} {WORDS}</p></section></article></main>", f"Title\n{WORDS}\none\ntwo"),
+        (f"<article><p hidden>{WORDS}</p><p style='display: none'>{WORDS}</p><p>{WORDS}</p></article>", WORDS),
+        ("", ""), ("<<<", ""), ("<p", ""), ("<!-- never ends <p>x</p>", ""),
+    ],
+)
+def test_markup(html, text):
+    assert main_text.extract(html)[0] == text
+
+
+def noisy_page(rnd):
+    """(html, its main text): short and long paragraphs in a plain container, among menus with sentences and sponsored boxes."""
+    sentence = lambda n: " ".join(rnd.choice(["light", "water", "stone", "river", "under", "walks", "slowly"]) for _ in range(n))
+    body = [sentence(rnd.choice([1, 2, 3, 20, 30, 40])) + rnd.choice([".", "", ""]) for _ in range(rnd.randrange(6, 20))]
+    body[0], body[-1] = sentence(30) + ".", sentence(25) + "."
+    body = [x for i, x in enumerate(body) if len(x.split()) > 3 or len(body[i - 1].split()) > 3]  # no two short ones in a row
+    menu = "".join(f"<li><a href=/{i}>{sentence(rnd.choice([1, 2, 3]))}</a></li>" for i in range(8)) + f"<li>{sentence(9)}.</li>" + "".join(f"<li><a href=/{i}>{sentence(2)}</a></li>" for i in range(5))
+    return f"<body><div><ul>{menu}</ul></div><div><div><div>{''.join(f'<p>{x}</p>' for x in body)}</div></div></div><div><div>{sentence(3)}</div></div>", "\n".join(body)
+
+
+def test_the_cut_decides_on_noisy_pages():
+    rnd = random.Random(11)
+    right = alone = moved = 0
+    for _ in range(100):
+        html, text = noisy_page(rnd)
+        page = main_text.read(html)
+        content, own = main_text.labelled(page)
+        got = main_text.extract(html)
+        assert got[0] == "\n".join(b.text for b, c in zip(page.blocks, content, strict=True) if c)
+        moved += got[3]
+        right += got[0] == text
+        alone += "\n".join(b.text for b, c in zip(page.blocks, own, strict=True) if c) == text
+    assert moved > 100 and right >= 95 and alone <= 30, (moved, right, alone)
+
+
+def test_cut_of_pages_is_least():
+    """On real page graphs, against all labellings."""
+    rnd = random.Random(12)
+    flows = 0
+    for _ in range(60):
+        page = main_text.read(noisy_page(rnd)[0])
+        page.blocks = page.blocks[8:22]
+        gain, ties = [main_text.odds(page, b) + rnd.uniform(-1, 1) for b in page.blocks], main_text.edges(page)
+        sides = np.array(list(itertools.product((0, 1), repeat=len(gain))), np.int8)
+        cost = sides @ np.maximum(0, -np.array(gain)) + (1 - sides) @ np.maximum(0, np.array(gain)) + sum(w * (sides[:, i] != sides[:, j]) for i, j, w in ties)
+        cut = main_text.minimum_cut(gain, ties)
+        assert cost[int("".join("01"[c] for c in cut), 2)] <= cost.min() + 1e-9
+        flows += any(cut[i] != (g > 0) for i, g in enumerate(gain))
+    assert flows > 10
+
+
+def test_flow_alone_is_least():
+    rnd = random.Random(13)
+    for _ in range(300):
+        n = rnd.randrange(1, 8)
+        gain = [rnd.uniform(-2, 2) for _ in range(n)]
+        near = [{} for _ in range(n)]
+        for i, j in itertools.combinations(range(n), 2):
+            if rnd.random() < 0.6:
+                near[i][j] = near[j][i] = rnd.uniform(0, 2)
+        cost = lambda side: sum(max(0, -g) if s else max(0, g) for g, s in zip(gain, side, strict=True)) + sum(w for i in range(n) for j, w in near[i].items() if i < j and side[i] != side[j])  # noqa: B023, E731
+        assert cost(main_text._flow(gain, {i: i for i in range(n)}, near, list(range(n)))) <= min(map(cost, itertools.product((False, True), repeat=n))) + 1e-9
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+    import tracemalloc
+
+    deep, lists = "<div>a b c " * 90_000, "<ul>" + "<div>" * 8000 + "<li>x</li>" * 80_000
+    rnd = random.Random(3)
+    mixed = "".join(rnd.choice(["<p>", "<li>", "<div>", "<h2>", "</div>", "<section>", "</section>"]) + spoken(rnd.randrange(1, 20), rnd=rnd) + rnd.choice([".", ""]) for _ in range(16_000))
+    for html in (deep, lists, mixed):
+        tracemalloc.start()
+        main_text.read(html)
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+        tracemalloc.stop()
+        start = time.process_time()
+        main_text.extract(html)
+        assert time.process_time() - start < 4
+
+
 # 4 token files
 
 
