@@ -53,10 +53,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 #: Keys with more than this part of all rows, and a thousand rows, are joined by broadcast.
 HOT_PART, HOT_LEAST = 5000, 1000
-#: Records of one payload that a task writes in a row.
-RUN = 2000
-#: Bytes that are read of a file at a time.
-READ_BYTES = 4 << 20
+#: Bytes that are read of a payload file and of a WARC file at a time.
+READ_BYTES, PARSE_BYTES = 4 << 20, 64 << 10
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)", re.IGNORECASE)
 
 
 class Archive(NamedTuple):
@@ -89,12 +88,17 @@ def header(date: str = DATE) -> Column:
     )
 
 
+@functools.lru_cache(1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def pack(body: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=6).compress(body)
+    return _zstd()[0].compress(body)
 
 
 def unpack(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
+    return _zstd()[1].decompress(packed)
 
 
 def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +191,14 @@ def parse_header(head: bytes) -> dict[str, str]:
 
 def _plain(read: Callable[[int], bytes]) -> Iterator[bytes]:
     """The bytes of a file, plain or of any number of gzip members, in pieces."""
-    data = read(READ_BYTES)
+    data = read(PARSE_BYTES)
     if data[:2] != b"\x1f\x8b":
         while data:
             yield data
-            data = read(READ_BYTES)
+            data = read(PARSE_BYTES)
         return
     member = zlib.decompressobj(31)
-    while data or (data := read(READ_BYTES)):
+    while data or (data := read(PARSE_BYTES)):
         yield member.decompress(data)
         data = member.unused_data
         if member.eof:
@@ -220,7 +224,10 @@ def parse(read: Callable[[int], bytes]) -> Iterator[tuple[bytes, bytes]]:
             if not fill(len(held) + 1):
                 raise ValueError("a header doesn't end")
         head = bytes(held[: end + len(END)])
-        n = len(head) + int(parse_header(head)["content-length"])
+        length = _LENGTH.search(head)
+        if not head.startswith(b"WARC/") or length is None:
+            raise ValueError("not a WARC record")
+        n = len(head) + int(length[1])
         if not fill(n + len(END)) or held[n : n + len(END)] != END:
             raise ValueError("a record doesn't end where its length says")
         yield head, bytes(held[len(head) : n])
@@ -263,9 +270,9 @@ def _placed(store: Archive) -> DataFrame:
     few = F.broadcast(response.filter("hot").select("digest").distinct())  # fewer than HOT_PART
     hot = response.filter("hot").join(F.broadcast(store.places.join(few, "digest", "left_semi")), "digest")
     cold = response.filter("NOT hot").join(store.places.hint("merge"), "digest")
-    part = F.pmod(F.xxhash64("page_id", "header"), F.ceil(F.col("n_copies") / RUN))
-    full = hot.select(*columns, part.alias("part")).union(cold.select(*columns, part.alias("part")))
-    full = full.repartition(max(1, store.n_files), "file", "part").sortWithinPartitions("file", "at").select(columns)
+    part = F.xxhash64("page_id", "header").alias("part")  # parts the records of one payload
+    full = hot.select(*columns, part).union(cold.select(*columns, part))
+    full = full.repartitionByRange(max(1, store.n_files), "file", "at", "part").sortWithinPartitions("file", "at").select(columns)
     bare = store.headers.filter("record_type = 'revisit'").select("digest", "header", F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("long"))
     return full.union(bare)
 
@@ -344,7 +351,7 @@ def read_back(files: DataFrame, folder: str, kind: str = "bigint") -> DataFrame:
 
     A revisit takes length and digest from the verified response that it refers to.
     """
-    listed = files.repartition(max(1, files.count()), "file")
+    listed = files.repartitionByRange(max(1, files.count()), "file")
     parsed = stored(listed.mapInArrow(tidy(_facts), "id string, payload_bytes long, payload_digest string, record_type string, target string"), folder, "parsed")
     page = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:page:(.*):[0-9a-f]*>$", 1), F.lit("")).cast(kind)
     response, revisit = parsed.filter("record_type = 'response'"), parsed.filter("record_type = 'revisit'").select("id", "target")
