@@ -4,20 +4,20 @@ Native: DataFrame functions only. One pass over the texts writes a few small
 integers per document; references and verdicts are computed from those.
 
 The verdict compares two histograms of a document, of its character classes and
-of its common words, with references summed over all documents of a language,
-by the Jensen-Shannon distance (base 2, 0 to 1). A document is rejected if it
-is far from every reference. Short documents are left alone, as their
-histograms are noise.
-
-Defined results: null text counts as empty (no words, base_failed); a null lang
-counts for no reference; ties and repeated rows each give their own row; an
+of its common words, with the reference of its language, summed over all documents
+of that ``lang``, by the Jensen-Shannon distance (base 2, 0 to 1). Every language with
+``REFERENCE_WORDS`` words has a reference. A document that is far from its own is
+rejected if it is far from those of the ``OTHERS`` largest languages, too, as labels
+can be wrong. Documents of a language without a reference are left alone, and so are
+short ones, whose histograms are noise.
+
+Defined results: null text counts as empty (no words, base_failed); a null lang has
+no reference and counts for none; ties and repeated rows each give their own row; an
 empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +28,7 @@ NOT_SPACE = r"[^\x20\x09-\x0D]"
 LOWER = "[a-zß-öø-ÿ]+"
 #: After lower-case letters, the classes by which characters of words are told apart; what is left is "other".
 CLASSES = {"upper": "[A-ZÀ-ÖØ-Þ]+", "digit": "[0-9]+", "stop": r"[.,;:!?'\"()\-]+", "symbol": "[#*$%&|<>]+"}
-#: Languages with references, and their commonest function words (fixed values).
-LANGUAGES = ("en", "fr", "es", "de")
+#: Common function words of some large languages (fixed values); words of other languages all count as other.
 COMMON = (
     "the of and to in is that it for with as on be at by this "
     "de la le et les des en un une que qui du dans pour "
@@ -41,6 +40,8 @@ MIN_WORDS, MAX_CLASS, MAX_WORD = 100, 0.18, 0.6
 #: The first references, which junk may pull, reject at this multiple of the class distance.
 FIRST = 1.7
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: Least words of a reference, how many of the largest stand for wrongly labelled texts, and how many references are broadcast at most.
+REFERENCE_WORDS, OTHERS, BROADCAST_ROWS = 2000, 8, 10_000
 
 
 def features(documents: DataFrame) -> DataFrame:
@@ -78,12 +79,14 @@ def features(documents: DataFrame) -> DataFrame:
     )
 
 
-def references(features: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
-    """Shares by class and by word of each language: as many rows as ``LANGUAGES`` at most, so they fit the driver."""
+def references(features: DataFrame) -> DataFrame:
+    """A row for each language with words enough: lang, total, and for classes (c) and words (w) the shares and their sum of q log q."""
     sums = lambda c, n: F.array(*[F.sum(F.col(c)[i]) for i in range(n)]).alias(c)
-    rows = features.filter(F.col("lang").isin(*LANGUAGES)).groupBy("lang").agg(sums("classes", len(CLASSES) + 2), sums("words", len(COMMON) + 1)).collect()
-    share = lambda counts: [x / max(1, sum(counts)) for x in counts]
-    return {r["lang"]: (share(r["classes"]), share(r["words"])) for r in rows if sum(r["words"])}
+    own = features.filter("lang IS NOT NULL").groupBy(F.col("lang").alias("known")).agg(sums("classes", len(CLASSES) + 2), sums("words", len(COMMON) + 1), F.sum("n_words").alias("total"))
+    own = own.filter(F.col("total") >= REFERENCE_WORDS)
+    share = lambda c: F.transform(c, lambda n: n / F.greatest(F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1)))
+    own = own.select("known", "total", share("classes").alias("q_c"), share("words").alias("q_w"))
+    return own.withColumns({"f_c": _total(F.transform("q_c", _plogp)), "f_w": _total(F.transform("q_w", _plogp))})
 
 
 def _plogp(x: Column) -> Column:
@@ -94,23 +97,33 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def distance(shares: Column, own: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of shares and a reference, rounded to nine digits; own: the sum of p log p of the shares."""
-    fixed = sum(q * math.log2(q) for q in reference if q > 0)
-    middle = F.zip_with(shares, F.array(*[F.lit(q) for q in reference]), lambda p, q: _plogp((p + q) / 2))
+def distance(shares: Column, own: Column, reference: Column, fixed: Column) -> Column:
+    """Jensen-Shannon distance of shares and a reference, rounded to nine digits; own and fixed: the sums of p log p of either."""
+    middle = F.zip_with(shares, reference, lambda p, q: _plogp((p + q) / 2))
     return F.round(F.sqrt(F.greatest((own + fixed) / 2 - _total(middle), F.lit(0.0))), 9)
 
 
-def _nearest(counted: DataFrame, known: dict[str, tuple[list[float], list[float]]], max_class: float, max_word: float) -> DataFrame:
-    """Add ``best``: the distances (c, w) to the nearest reference, and x, their larger share of what is allowed."""
+def _nearest(counted: DataFrame, known: DataFrame, max_class: float, max_word: float) -> DataFrame:
+    """Add ``best``: the distances (c, w) to the own reference, or to one of the largest if that is nearer, and x, their larger share of what is allowed; null without an own reference."""
+    few = known.orderBy(F.desc("total"), "known").limit(OTHERS).collect()  # OTHERS rows of some fifty numbers
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    out = counted.join(known.drop("total"), F.col("lang") == F.col("known"), "left")
     for name, total in (("classes", "word_chars"), ("words", "n_words")):
         share = F.transform(name, lambda n: n / F.greatest(F.col(total), F.lit(1)))  # noqa: B023
         # bound in one-element arrays, so that a lambda reads a value that was computed once
-        counted = counted.withColumn(f"p_{name}", F.transform(F.array(share), lambda p: F.struct(p.alias("p"), _total(F.transform(p, _plogp)).alias("own")))[0])
-    near = [F.struct(distance(F.col("p_classes.p"), F.col("p_classes.own"), c).alias("c"), distance(F.col("p_words.p"), F.col("p_words.own"), w).alias("w")) for c, w in known.values()]
-    ranked = F.transform(F.array(*near), lambda d: F.struct(F.greatest(d["c"] / max_class, d["w"] / max_word).alias("x"), d["c"].alias("c"), d["w"].alias("w")))
-    none = F.struct(*[F.lit(0.0).alias(x) for x in "xcw"])
-    return counted.withColumn("best", F.array_min(ranked) if near else none).drop("p_classes", "p_words")
+        out = out.withColumn(f"p_{name}", F.transform(F.array(share), lambda p: F.struct(p.alias("p"), _total(F.transform(p, _plogp)).alias("own")))[0])
+
+    def against(q_c: Column, f_c: Column, q_w: Column, f_w: Column) -> Column:
+        both = F.struct(distance(F.col("p_classes.p"), F.col("p_classes.own"), q_c, f_c).alias("c"), distance(F.col("p_words.p"), F.col("p_words.own"), q_w, f_w).alias("w"))
+        return F.transform(F.array(both), lambda d: F.struct(F.greatest(d["c"] / max_class, d["w"] / max_word).alias("x"), d["c"].alias("c"), d["w"].alias("w")))[0]
+
+    listed = lambda values: F.array(*[F.lit(v) for v in values])
+    others = [against(listed(r["q_c"]), F.lit(r["f_c"]), listed(r["q_w"]), F.lit(r["f_w"])) for r in few]
+    out = out.withColumn("best", F.when(F.col("known").isNotNull(), against(F.col("q_c"), F.col("f_c"), F.col("q_w"), F.col("f_w"))))
+    if others:
+        out = out.withColumn("best", F.when(F.col("best.x") > 1, F.array_min(F.array("best", *others))).otherwise(F.col("best")))
+    return out.drop("p_classes", "p_words", "known", "q_c", "q_w", "f_c", "f_w")
 
 
 def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: float = MAX_CLASS, max_word: float = MAX_WORD) -> DataFrame:
@@ -122,10 +135,11 @@ def judge(documents: DataFrame, min_words: int = MIN_WORDS, max_class: float = M
     """
     spark = documents.sparkSession
     failed = (F.col("n_words") < MIN_BASE_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    counted = stored(features(documents), new_folder(spark, "rules"), "counts").withColumn("base_failed", failed)
-    strange = (F.col("n_words") >= min_words) & (F.col("best.x") > 1)
-    first = _nearest(counted, references(counted), FIRST * max_class, max_word)
-    known = references(first.filter(~F.col("base_failed") & ~strange))
+    folder = new_folder(spark, "rules")
+    counted = stored(features(documents), folder, "counts").withColumn("base_failed", failed)
+    strange = (F.col("n_words") >= min_words) & F.coalesce(F.col("best.x") > 1, F.lit(False))
+    first = _nearest(counted, stored(references(counted), folder, "first"), FIRST * max_class, max_word)
+    known = stored(references(first.filter(~F.col("base_failed") & ~strange)), folder, "known")
     return _nearest(counted, known, max_class, max_word).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~strange).alias("kept"),
         F.col("best.c").alias("class_distance"), F.col("best.w").alias("word_distance"), "text_hash",

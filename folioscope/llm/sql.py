@@ -16,7 +16,7 @@ def _quality_rules(source: str = "documents") -> str:
     words = ", ".join(f"len(list_filter(w, lambda x: x = {text(w)}))" for w in R.COMMON)
     n_words = len(R.COMMON) + 1
     sums = lambda c, n: "[" + ", ".join(f"sum({c}[{i + 1}])" for i in range(n)) + "]"
-    profile = lambda source, where: f"SELECT lang, {sums('classes', len(kinds) + 2)} c, {sums('words', n_words)} w FROM {source} WHERE lang IN ({', '.join(map(text, R.LANGUAGES))}) {where} GROUP BY lang HAVING sum(list_sum(words)) > 0"
+    profile = lambda source, where: f"SELECT lang, {sums('classes', len(kinds) + 2)} c, {sums('words', n_words)} w, row_number() OVER (ORDER BY sum(n_words) DESC, lang) k FROM {source} WHERE lang IS NOT NULL {where} GROUP BY lang HAVING sum(n_words) >= {R.REFERENCE_WORDS}"
     log = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0.0 END"
 
     def distance(own: str, other: str, n: int) -> str:
@@ -26,7 +26,7 @@ def _quality_rules(source: str = "documents") -> str:
         return f"round(sqrt(greatest({terms}, 0.0)), 9)"
 
     def nearest(refs: str, limit: float) -> str:
-        return f"SELECT f.*, coalesce((SELECT min(greatest({distance('classes', 'c', len(kinds) + 2)} / {limit!r}, {distance('words', 'w', n_words)} / {R.MAX_WORD!r})) FROM {refs} r), 0.0) x FROM counted f"
+        return f"SELECT f.*, coalesce((SELECT min(greatest({distance('classes', 'c', len(kinds) + 2)} / {limit!r}, {distance('words', 'w', n_words)} / {R.MAX_WORD!r})) FROM {refs} r WHERE f.lang IN (SELECT lang FROM {refs}) AND (r.lang = f.lang OR r.k <= {R.OTHERS})), 0.0) x FROM counted f"
 
     return f"""
     t0 AS (SELECT row_number() OVER () u, doc_id, lang, coalesce(text, '') t FROM {source}),

@@ -17,11 +17,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folioscope.llm import decontaminate, license_scan, main_text, near_dedup, pieces, quality_model, queries, token_file, url_filter, warc, words
+from folioscope.llm import decontaminate, license_scan, main_text, near_dedup, pieces, quality_model, quality_rules, queries, token_file, url_filter, warc, words
 from folioscope.llm.components import components
 from folioscope.llm.license_texts import TEMPLATES
 from folioscope.llm.shared import new_folder
-from folioscope.llm.sql import OP6
+from folioscope.llm.sql import OP6, OP10
 from tests.conftest import rows_of, rows_of_sql
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -42,6 +42,64 @@ def test_query_matches_sql(name, spark, sf_dir, duck):
     assert names == sorted(df.columns) and rows_of(df) == expected
 
 
+# 10 quality rules
+
+
+def _rules_by_hand(rows):
+    """kept of (doc_id, lang, text) rows, by dictionaries and loops."""
+    import math
+    from collections import Counter
+
+    from folioscope.llm import quality_rules as R
+
+    shares = lambda counts: [x / max(1, sum(counts)) for x in counts]
+    log = lambda p: p * math.log2(p) if p > 0 else 0.0
+
+    def far(a, b):
+        p, q = shares(a), shares(b)
+        return round(math.sqrt(max(0.0, sum((log(x) + log(y)) / 2 - log((x + y) / 2) for x, y in zip(p, q, strict=True)))), 9)
+
+    own = {}
+    for i, lang, text in rows:
+        w = [x for x in re.split(R.SPACE, text or "") if x]
+        grams = Counter(zip(w, w[1:], w[2:], strict=False))
+        again = {k + o for k, g in enumerate(zip(w, w[1:], w[2:], strict=False)) if grams[g] > 1 for o in range(3)}
+        classes = Counter()
+        for c in "".join(w):
+            classes["lower" if re.match(R.LOWER, c) else next((k for k, p in R.CLASSES.items() if re.match(p, c)), "other")] += 1
+        words_ = Counter(x if x in R.COMMON else "" for x in w)
+        own[i] = (lang, len(w), len(w) < 50 or 100 * len(again) > 50 * len(w), [classes[k] for k in ("lower", *R.CLASSES, "other")], [words_[k] for k in (*R.COMMON, "")])
+    strange = set()
+    for limit, skipped in ((R.FIRST * R.MAX_CLASS, False), (R.MAX_CLASS, True)):
+        known = {}
+        for i, (lang, n, failed, c, w) in own.items():
+            if lang is not None and not (skipped and (failed or i in strange)):
+                old = known.get(lang, (0, [0] * len(c), [0] * len(w)))
+                known[lang] = (old[0] + n, [a + b for a, b in zip(old[1], c, strict=True)], [a + b for a, b in zip(old[2], w, strict=True)])
+        known = {k: v for k, v in known.items() if v[0] >= R.REFERENCE_WORDS}
+        largest = sorted(known, key=lambda k: (-known[k][0], k))[: R.OTHERS]
+        strange = {i for i, (lang, n, _, c, w) in own.items() if n >= R.MIN_WORDS and lang in known and min(max(far(c, known[k][1]) / limit, far(w, known[k][2]) / R.MAX_WORD) for k in {lang, *largest}) > 1}
+    return {i: not o[2] and i not in strange for i, o in own.items()}
+
+
+def test_rules_for_every_language(spark):
+    rnd = random.Random(21)
+    english = lambda n: " ".join(rnd.choice("the of and to in is that it for with house river stone light water walks green under".split()) for _ in range(n))
+    letters = lambda low, high, n, most=9: " ".join("".join(chr(rnd.randrange(low, high)) for _ in range(rnd.randrange(2, most))) for _ in range(n))
+    junk = lambda n: " ".join("".join(rnd.choice("#$%&|<>0123456789") for _ in range(5)) for _ in range(n))
+    rows = [(i, "en", english(150)) for i in range(90)]
+    rows += [(100 + i, "ru", letters(0x430, 0x450, 150)) for i in range(20)] + [(200 + i, "ja", letters(0x3041, 0x3097, 300, 4)) for i in range(10)]
+    rows += [(300, "ru", junk(300)), (301, "en", junk(300)), (302, "ja", english(200)), (303, "en", letters(0x430, 0x450, 200)), (304, "en", letters(0x600, 0x640, 200)), (305, "th", letters(0xE01, 0xE30, 200)), (306, None, junk(300)), (307, "en", junk(60)), (308, "ru", None), (309, "en", "a b c " * 100)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert got == _rules_by_hand(rows)
+    assert all(got[i] for i, *_ in rows[:120])  # whole languages stay, also those without common words here
+    assert {i: got[i] for i in range(300, 310)} == {300: False, 301: False, 302: True, 303: True, 304: True, 305: True, 306: True, 307: True, 308: False, 309: False}
+    con = duckdb.connect()
+    con.register("raw", pandas.DataFrame(rows, columns=["doc_id", "lang", "text"]))
+    con.execute("CREATE VIEW documents AS SELECT doc_id, lang::VARCHAR lang, text::VARCHAR \"text\" FROM raw")
+    assert {r[0]: r[-1] for r in con.sql(OP10).fetchall()} == got
+
+
 # 1 classifier
 
 
