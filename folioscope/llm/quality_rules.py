@@ -35,6 +35,8 @@ COMMON = (
     "el los las y se no con para por "
     "der die das und den von zu mit sich nicht ein für"
 ).split()
+#: A character of one byte for each common word: texts are counted as strings of these.
+CODES = {w: chr(48 + i) for i, w in enumerate(COMMON)}
 #: Least words of a text whose divergence is judged, and the largest distances from a reference.
 MIN_WORDS, MAX_CLASS, MAX_WORD = 100, 0.18, 0.6
 #: The first references, which junk may pull, reject at this multiple of the class distance.
@@ -49,10 +51,12 @@ def features(documents: DataFrame) -> DataFrame:
     d = project(documents, "doc_id", "lang", "text").withColumn("t", F.coalesce("text", F.lit("")))
     d = d.withColumn("w", F.array_remove(F.split("t", SPACE), "")).withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(NOT_SPACE)))
     d = d.withColumn("n", F.size("w")).withColumn("joined", F.array_join("w", "")).withColumn("rest", F.regexp_replace("joined", LOWER, ""))
-    triple = lambda x, i: F.concat_ws(" ", x, F.get("w", i + 1), F.get("w", i + 2))
-    d = d.withColumn("g", F.transform(F.when(F.col("n") >= 3, F.slice("w", 1, F.greatest(F.col("n") - 2, F.lit(0)))).otherwise(F.array().cast("array<string>")), triple))
-    d = d.withColumn("some", F.size(F.array_distinct("g")) < F.size("g"))
-    d = d.withColumn("s", F.when(F.col("some"), F.sort_array(F.transform("g", lambda x, i: F.struct(x.alias("g"), i.alias("i"))))))
+    at = lambda i: F.get("w", i)
+    heads = F.when(F.col("n") >= 3, F.slice("w", 1, F.greatest(F.col("n") - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    d = d.withColumn("g", F.transform(heads, lambda x, i: F.xxhash64(x, at(i + 1), at(i + 2))))
+    d = d.withColumn("some", F.size(F.array_distinct("g")) < F.size("g"))  # only then are windows compared as they stand
+    whole = F.transform(heads, lambda x, i: F.struct(F.concat_ws(" ", x, at(i + 1), at(i + 2)).alias("g"), i.alias("i")))
+    d = d.withColumn("s", F.when(F.col("some"), F.sort_array(whole)))
     same = lambda x, i: (x["g"] == F.get("s", i - 1)["g"]) | (x["g"] == F.get("s", i + 1)["g"])
     d = d.withColumn("at", F.sort_array(F.transform(F.filter("s", lambda x, i: F.coalesce(same(x, i), F.lit(False))), lambda x: x["i"])))
     covered = F.aggregate(
@@ -61,15 +65,16 @@ def features(documents: DataFrame) -> DataFrame:
         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")),
         lambda a: a["n"],
     )
-    d = d.withColumn("common", F.filter("w", lambda x: x.isin(COMMON)))
+    known = F.create_map(*[y for w, c in CODES.items() for y in (F.lit(w), F.lit(c))])
+    d = d.withColumn("common", F.array_join(F.transform(F.filter("w", lambda x: x.isin(COMMON)), lambda x: F.element_at(known, x)), ""))
     drop = lambda c, pattern: F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
     d = d.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "lang", F.col("n").cast("long").alias("n_words"), F.length("joined").cast("long").alias("word_chars"), F.length("rest").alias("not_lower"),
         *[drop(F.col("rest"), p).alias(f"c_{k}") for k, p in CLASSES.items()],
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.when(F.col("some"), covered), F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size("common").alias("n_common"),
-        F.array(*[F.size("common") - F.size(F.array_remove("common", w)) for w in COMMON]).alias("by_word"),
+        F.octet_length("common").alias("n_common"),
+        F.array(*[F.octet_length("common") - F.octet_length(F.replace("common", F.lit(c), F.lit(""))) for c in CODES.values()]).alias("by_word"),
     )
     kinds = [F.col(f"c_{k}") for k in CLASSES]
     return d.select(

@@ -53,6 +53,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 #: Keys with more than this part of all rows, and a thousand rows, are joined by broadcast.
 HOT_PART, HOT_LEAST = 5000, 1000
+#: Bytes of a payload file, and records of one payload, that stay together when records are dealt to tasks.
+STRETCH, RUN = 2 << 20, 2000
 #: Bytes that are read of a payload file and of a WARC file at a time.
 READ_BYTES, PARSE_BYTES = 4 << 20, 64 << 10
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)", re.IGNORECASE)
@@ -270,9 +272,9 @@ def _placed(store: Archive) -> DataFrame:
     few = F.broadcast(response.filter("hot").select("digest").distinct())  # fewer than HOT_PART
     hot = response.filter("hot").join(F.broadcast(store.places.join(few, "digest", "left_semi")), "digest")
     cold = response.filter("NOT hot").join(store.places.hint("merge"), "digest")
-    part = F.xxhash64("page_id", "header").alias("part")  # parts the records of one payload
-    full = hot.select(*columns, part).union(cold.select(*columns, part))
-    full = full.repartitionByRange(max(1, store.n_files), "file", "at", "part").sortWithinPartitions("file", "at").select(columns)
+    part = F.pmod(F.xxhash64("page_id", "header"), F.ceil(F.col("n_copies") / RUN)).alias("part")  # of the records of one payload
+    full = hot.select(*columns, part).union(cold.select(*columns, part)).withColumn("stretch", F.floor(F.col("at") / STRETCH))
+    full = full.repartition(2 * max(1, store.n_files), "file", "stretch", "part").sortWithinPartitions("file", "at").select(columns)
     bare = store.headers.filter("record_type = 'revisit'").select("digest", "header", F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(None).cast("long"))
     return full.union(bare)
 
@@ -351,7 +353,7 @@ def read_back(files: DataFrame, folder: str, kind: str = "bigint") -> DataFrame:
 
     A revisit takes length and digest from the verified response that it refers to.
     """
-    listed = files.repartitionByRange(max(1, files.count()), "file")
+    listed = files.repartition(max(1, files.count()), "file")
     parsed = stored(listed.mapInArrow(tidy(_facts), "id string, payload_bytes long, payload_digest string, record_type string, target string"), folder, "parsed")
     page = lambda c: F.nullif(F.regexp_extract(c, r"^<urn:page:(.*):[0-9a-f]*>$", 1), F.lit("")).cast(kind)
     response, revisit = parsed.filter("record_type = 'response'"), parsed.filter("record_type = 'revisit'").select("id", "target")
