@@ -3,10 +3,11 @@
 ``build`` writes the index: each row is a segment, the inverted index of a few
 megabytes of documents, with the sorted positions of every token. Segments are
 independent, so no posting is shuffled and a lost one is built again from its
-documents. ``search`` sends the benchmark to the segments in blocks of bounded
-size; a segment answers a phrase by taking the postings of its rarest term and
-intersecting them with those of the next rarer ones, each adjusted by the term's
-offset. Benchmarks beyond one block take several passes over the same index.
+documents. ``prepare`` writes the benchmark's distinct windows of term codes to files of
+``BLOCK_WINDOWS`` windows. ``search`` opens a few segments and one such block at a time: windows
+with a term that the segment lacks go in one vectorised step, and for each of the
+others the postings of its rarest term are intersected with those of the next rarer
+ones, each adjusted by the term's offset.
 
 Words are runs of ASCII letters and digits and of all other non-ASCII
 characters, after A-Z are put in lower case.
@@ -20,7 +21,13 @@ gives no hits; other columns are not read.
 
 from __future__ import annotations
 
+import functools
+import io
+import itertools
+import json
+import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
+from folioscope.llm.shared import file_system, new_folder, project, publish, slices, small_batches, stored, tidy
 
 WINDOW = 10
-#: Bytes of benchmark text in a block, which is broadcast.
-BLOCK_BYTES = 4 << 20
+#: Windows of the benchmark, and segments of the index, that a worker holds at once.
+BLOCK_WINDOWS, SEGMENTS = 400_000, 8
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -69,18 +76,24 @@ def build(documents: DataFrame, folder: str) -> DataFrame:
 
 
 class Segment:
-    """One row of the index, opened."""
+    """One row of the index, opened; its postings are read when they are first asked for."""
 
     def __init__(self, doc_ids: list, ends: bytes, terms: bytes, starts: bytes, gaps: bytes) -> None:
-        self.doc_ids, self.ends, self.starts = doc_ids, _unpack(ends, np.int32), _unpack(starts, np.int32)
-        self.positions = np.cumsum(_unpack(gaps, np.int32), dtype=np.int32)
+        self.doc_ids, self.ends, self.starts, self.gaps = doc_ids, _unpack(ends, np.int32), _unpack(starts, np.int32), gaps
         text = zstandard.ZstdDecompressor().decompress(terms).decode()
         self.terms = pa.array(text.split(" ") if text else [], pa.large_string())
 
-    def lists(self, vocabulary: pa.Array) -> list[np.ndarray]:
-        """The postings of each term; empty for those that don't occur."""
-        codes = pc.fill_null(pc.index_in(vocabulary, value_set=self.terms), -1).to_numpy(zero_copy_only=False)
-        return [self.positions[self.starts[c] : self.starts[c + 1]] if c >= 0 else self.positions[:0] for c in codes.tolist()]
+    @functools.cached_property
+    def positions(self) -> np.ndarray:
+        return np.cumsum(_unpack(self.gaps, np.int32), dtype=np.int32)
+
+    def codes(self, vocabulary: pa.Array) -> np.ndarray:
+        """The segment's code of each term; -1 for those that don't occur."""
+        return pc.fill_null(pc.index_in(vocabulary, value_set=self.terms), -1).to_numpy(zero_copy_only=False)
+
+    def lists(self, codes: np.ndarray) -> list[np.ndarray]:
+        """The postings of terms that occur, by code."""
+        return [self.positions[self.starts[c] : self.starts[c + 1]] for c in codes.tolist()]
 
     def phrase(self, lists: list[np.ndarray], slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Documents (by number) and spans (start, end) of a phrase; lists: the postings of its terms in order.
@@ -103,96 +116,143 @@ class Segment:
         return document, np.maximum(at - slop, first), np.minimum(at + len(lists) + slop, last)
 
 
-def windows(texts: list[str | None], k: int = WINDOW) -> tuple[pa.Array, dict[tuple[int, ...], set[int]]]:
-    """The terms of some items, and the items (by number) of each distinct window of term codes."""
-    ends, codes, vocabulary = words.split(pa.array(texts, pa.large_string()), words.ALNUM)
-    found: dict[tuple[int, ...], set[int]] = {}
-    codes = codes.tolist()
-    for item, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
-        for i in range(a, max(a + 1, b - k + 1) if b > a else a):
-            found.setdefault(tuple(codes[i : min(i + k, b)]), set()).add(item)
-    return vocabulary, found
+class Block(NamedTuple):
+    """Some windows of the benchmark: its terms, its items' ids, and for each length the windows (term codes) and who owns them."""
+
+    terms: pa.Array
+    ids: list[str | None]
+    windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # rows of codes; where each row's owners start, and the end; owners
+
+
+def _saved(terms: list[str], ids: list[str | None], parts: dict[int, list[tuple[np.ndarray, int]]]) -> bytes:
+    """A block as a file."""
+    out = {"terms": np.frombuffer(" ".join(terms).encode(), np.uint8), "ids": np.frombuffer(json.dumps(ids).encode(), np.uint8), "lengths": np.array(sorted(parts))}
+    for n, own in parts.items():
+        rows, which = np.unique(np.concatenate([w for w, _ in own]), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([which.ravel(), np.repeat([o for _, o in own], [len(w) for w, _ in own])], 1), axis=0)
+        out |= {f"rows{n}": rows, f"starts{n}": np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1)), f"owners{n}": pairs[:, 1]}
+    sink = io.BytesIO()
+    np.savez(sink, **out)
+    return sink.getvalue()
 
 
-def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[tuple[list[str | None], list[str | None]]]:
-    """(item ids as text, texts) of all items, in blocks of bounded size; one block is in the driver at a time."""
-    ids, texts, n = [], [], 0
-    for row in project(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("string")).toLocalIterator():
-        ids.append(row["item_id"])
-        texts.append(row["text"])
-        n += len(row["text"] or "")
-        if n >= limit:
-            yield ids, texts
-            ids, texts, n = [], [], 0
-    yield ids, texts
+@functools.lru_cache(1)
+def opened(path: str) -> Block:
+    fs, own = file_system(path)
+    with fs.open_input_stream(own) as source:
+        data = np.load(io.BytesIO(source.read()))
+    text = data["terms"].tobytes().decode()
+    return Block(pa.array(text.split(" ") if text else [], pa.large_string()), json.loads(data["ids"].tobytes()), [tuple(data[f"{x}{n}"] for x in ("rows", "starts", "owners")) for n in data["lengths"].tolist()])
 
 
-def _hits(index: DataFrame, ids: list[str | None], texts: list[str | None], k: int, slop: int) -> DataFrame:
-    """Of each document: its words, the spans that a block's windows cover, and the items that occur."""
-    shared = index.sparkSession.sparkContext.broadcast((ids, texts))
+def prepare(benchmark: DataFrame, folder: str, k: int = WINDOW, limit: int = BLOCK_WINDOWS) -> list[str]:
+    """Write the windows of ``benchmark`` (item_id, text) to files of about ``limit`` windows each; returns their paths, which are all that the driver holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, bodies = shared.value
-        vocabulary, found = windows(bodies, k)
-        for batch in batches:
-            for row in batch.to_pylist():
-                segment = Segment(*(row[c] for c in ("doc_ids", "ends", "terms", "starts", "gaps")))
-                lists = segment.lists(vocabulary)
-                n = len(segment.doc_ids)
-                marks = np.zeros(int(segment.ends[-1]) + 1, np.int32)
-                items: list[set[str]] = [set() for _ in range(n)]
-                for window, owners in found.items():
-                    own = [lists[c] for c in window]
-                    if not all(map(len, own)):
-                        continue
-                    document, begin, end = segment.phrase(own, slop)
-                    np.add.at(marks, begin, 1)
-                    np.add.at(marks, end, -1)
+        terms: dict[str, int] = {}
+        ids: list[str | None] = []
+        parts: dict[int, list[tuple[np.ndarray, int]]] = {}
+        size = 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal terms, ids, parts, size
+            name, data = f"block-{uuid.uuid4().hex}.npz", _saved(list(terms), ids, parts)
+            publish(folder, name, lambda sink: sink.write(data))
+            terms, ids, parts, size = {}, [], {}, 0
+            return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], names=["file"])
+
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                ends, codes, vocabulary = words.split(batch.column("text"), words.ALNUM)
+                vocabulary, items = vocabulary.to_pylist(), batch.column("item_id").to_pylist()
+                for item, a, b in zip(items, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    n = min(k, b - a)
+                    last = b - n + 1 if n else a
+                    while a < last:  # an item can go on in the next block
+                        stop = min(last, a + max(1, limit - size))
+                        own = np.array([terms.setdefault(vocabulary[c], len(terms)) for c in codes[a : stop + n - 1].tolist()], np.int32)
+                        ids.append(item)
+                        parts.setdefault(n, []).append((np.lib.stride_tricks.sliding_window_view(own, n), len(ids) - 1))
+                        size += stop - a
+                        a = stop
+                        if size >= limit:
+                            yield close()
+        if size:
+            yield close()
+
+    own = project(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("string"))
+    return sorted(r["file"] for r in own.mapInArrow(tidy(run), "file string").collect())
+
+
+class _Hits:
+    """What windows cover of a segment, and the items that occur in each of its documents."""
+
+    def __init__(self, segment: Segment) -> None:
+        self.segment = segment
+        self.marks = np.zeros(int(segment.ends[-1]) + 1, np.int32)
+        self.items: list[set[str]] = [set() for _ in segment.doc_ids]
+
+    def add(self, block: Block, slop: int) -> None:
+        codes = self.segment.codes(block.terms)
+        there = codes >= 0
+        for rows, starts, owners in block.windows:
+            alive = np.arange(len(rows))
+            for c in range(rows.shape[1]):
+                alive = alive[there[rows[alive, c]]]
+            for w in alive.tolist():
+                document, begin, end = self.segment.phrase(self.segment.lists(codes[rows[w]]), slop)
+                if len(document):
+                    np.add.at(self.marks, begin, 1)
+                    np.add.at(self.marks, end, -1)
+                    names = {block.ids[o] for o in owners[starts[w] : starts[w + 1]].tolist()} - {None}
                     for d in set(document.tolist()):
-                        items[d] |= {names[o] for o in owners if names[o] is not None}
-                edges = np.flatnonzero(np.diff((np.cumsum(marks) > 0).astype(np.int8), prepend=0, append=0))
-                spans: list[list[dict]] = [[] for _ in range(n)]
-                for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                    for d in range(int(np.searchsorted(segment.ends, a, "right")) - 1, int(np.searchsorted(segment.ends, b, "left"))):
-                        e0, e1 = int(segment.ends[d]), int(segment.ends[d + 1])  # covers of neighbours can touch at their border
-                        if e1 > e0:
-                            spans[d].append({"start": max(a, e0) - e0, "end": min(b, e1) - e0})
+                        self.items[d] |= names
+
+    def spans(self) -> list[list[dict]]:
+        ends, out = self.segment.ends, [[] for _ in self.items]
+        edges = np.flatnonzero(np.diff((np.cumsum(self.marks) > 0).astype(np.int8), prepend=0, append=0))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            for d in range(int(np.searchsorted(ends, a, "right")) - 1, int(np.searchsorted(ends, b, "left"))):
+                e0, e1 = int(ends[d]), int(ends[d + 1])  # covers of neighbours can touch at their border
+                if e1 > e0:
+                    out[d].append({"start": max(a, e0) - e0, "end": min(b, e1) - e0})
+        return out
+
+
+def search(index: DataFrame, benchmark: DataFrame, folder: str, k: int = WINDOW, slop: int = 0, limit: int = BLOCK_WINDOWS) -> DataFrame:
+    """doc_id, n_words, spans (disjoint, in words), n_hit, items (sorted) of every indexed document; the benchmark's blocks go below ``folder``.
+
+    slop 0: exact phrases. Else proximity: each term may lie up to so many words
+    from its place, and the span grows by as many on either side.
+    """
+    files = prepare(benchmark, f"{folder}/benchmark", k, limit)
+    columns = ("doc_ids", "ends", "terms", "starts", "gaps")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((row, batch.schema.field("doc_ids").type.value_type) for batch in batches for row in batch.to_pylist())
+        while some := list(itertools.islice(rows, SEGMENTS)):
+            found = [_Hits(Segment(*(row[c] for c in columns))) for row, _ in some]
+            for path in files:
+                block = opened(path)
+                for hits in found:
+                    hits.add(block, slop)
+            for hits, (_, kind) in zip(found, some, strict=True):
+                spans = hits.spans()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["segment"]] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(segment.doc_ids, batch.schema.field("doc_ids").type.value_type), pa.array(np.diff(segment.ends), pa.int64()),
-                        pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                        pa.array(hits.segment.doc_ids, kind), pa.array(np.diff(hits.segment.ends), pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                        pa.array([sum(s["end"] - s["start"] for s in own) for own in spans], pa.int64()), pa.array([sorted(x) for x in hits.items], pa.list_(pa.string())),
                     ],
-                    names=["segment", "row", "doc_id", "n_words", "spans", "items"],
+                    names=["doc_id", "n_words", "spans", "n_hit", "items"],
                 )
 
     kind = dict(index.dtypes)["doc_ids"][6:-1]
-    return index.mapInArrow(tidy(run), f"segment long, row int, doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>")
+    return index.select(*columns).mapInArrow(tidy(run), f"doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, n_hit long, items array<string>")
 
 
-def search(index: DataFrame, benchmark: DataFrame, k: int = WINDOW, slop: int = 0, limit: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, spans (disjoint, in words), n_hit, items (sorted) of every indexed document.
-
-    slop 0: exact phrases. Else proximity: each term may lie up to so many words
-    from its place, and the span grows by as many on either side.
-    """
-    parts = [_hits(index, ids, texts, k, slop) for ids, texts in blocks(benchmark, limit)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    if len(parts) > 1:
-        key = ["segment", "row", "doc_id", "n_words"]
-        out = out.groupBy(*key).agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    covered = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("last"), F.lit(0).cast("long").alias("n")),
-        lambda a, s: F.struct(F.greatest(a["last"], s["end"]).alias("last"), (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["last"], s["start"]))).alias("n")),
-        lambda a: a["n"],
-    )
-    return out.select("doc_id", "n_words", "spans", covered.alias("n_hit"), "items")
-
-
-def decontaminate(documents: DataFrame, benchmark: DataFrame, k: int = WINDOW, slop: int = 0, limit: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(documents: DataFrame, benchmark: DataFrame, k: int = WINDOW, slop: int = 0, limit: int = BLOCK_WINDOWS) -> DataFrame:
     """Index the documents and search the benchmark in them."""
     spark = documents.sparkSession
     small_batches(spark)
-    return search(build(documents, new_folder(spark, "positions")), benchmark, k, slop, limit)
+    folder = new_folder(spark, "positions")
+    return search(build(documents, folder), benchmark, folder, k, slop, limit)

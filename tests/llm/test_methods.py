@@ -657,10 +657,27 @@ def test_winnowing_takes_one_of_each_window(values):
 def test_many_blocks_give_the_same(spark, sf_dir):
     docs, bench = (queries.table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     one = decontaminate.decontaminate(docs, bench)
-    many = decontaminate.decontaminate(docs, bench, limit=900)
+    many = decontaminate.decontaminate(docs, bench, limit=37)
     assert rows_of(one) == rows_of(many) and one.filter("n_hit > 0").count() > 0
 
 
+def test_blocks_hold_every_window_once(spark, tmp_path):
+    rows = [(1, "a b c d e f"), (2, "b c d"), (3, None), (4, ""), (5, "x"), (None, "c d e"), (1, "a b c d e f"), (6, " ".join(f"t{i}" for i in range(50)))]
+    bench = spark.createDataFrame(rows, "item_id long, text string").coalesce(1)
+    for limit in (1, 7, 1000):
+        found = set()
+        files = decontaminate.prepare(bench, f"file://{tmp_path}/{limit}", 3, limit)
+        for path in files:
+            block = decontaminate.opened(path)
+            terms = block.terms.to_pylist()
+            assert sum(len(w) for w, _, _ in block.windows) <= limit
+            for rows_, starts, owners in block.windows:
+                found |= {(block.ids[o], tuple(terms[c] for c in row)) for row, a, b in zip(rows_.tolist(), starts[:-1], starts[1:], strict=True) for o in owners[a:b]}
+        w = lambda text: tuple(text.split())
+        expected = {(str(i) if i else None, w(t)[j : j + 3]) for i, t in rows if t for j in range(max(1, len(w(t)) - 2))}
+        assert found == expected and (len(files) == 1) == (limit == 1000)
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a b c d e"), (2, "a x b c d"), (3, "d c b a"), (4, "a b"), (5, "z z c d")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "A, b c")], "item_id long, text string")
