@@ -1,7 +1,8 @@
 """Token ids in files of independent, interleaved range-asymmetric-numeral-system blocks.
 
 A data set is a folder with ``frequencies.bin`` (the shared static table) and
-files ``part-NNNNNNN.rans`` in ascending doc_id order. A file holds
+files ``part-NNNNNNN.rans`` in ascending doc_id order; the table ``list`` beside them tells which ids
+each starts at. A file holds
 
     magic "FRANS1\\0\\0", then blocks, then a footer and its length (8 bytes)
 
@@ -32,13 +33,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
-from folioscope.llm.shared import new_folder, project, publish, slices, small_batches, stored, tidy
+from folioscope.llm.shared import file_system, new_folder, project, publish, slices, small_batches, stored, tidy
 
-MAGIC = b"FRANS1\0\0"
+MAGIC, FREQUENCIES = b"FRANS1\0\0", "frequencies.bin"
 SCALE, LANES, BLOCK = 18, 512, 1 << 17
 LOW = np.uint64(1 << 31)
 #: Bytes of text that the tokenizer takes at once.
@@ -139,17 +140,19 @@ def write_file(coder: Coder, doc_ids: list, sequences: Iterator[np.ndarray], sin
     return len(lengths), sum(lengths)
 
 
-def footer(data: bytes) -> dict:
-    if data[: len(MAGIC)] != MAGIC:
+def footer(source: pa.NativeFile) -> dict:
+    """The checkpoints, doc ids and lengths of a file that can be read at any place."""
+    size = source.size()
+    n = int.from_bytes(source.read_at(8, size - 8), "little") if size >= 8 + len(MAGIC) else 0
+    if source.read_at(len(MAGIC), 0) != MAGIC or not 0 < n <= size - 8:
         raise ValueError("not a token file")
-    n = int.from_bytes(data[-8:], "little")
-    return json.loads(zlib.decompress(data[-8 - n : -8]))
+    return json.loads(zlib.decompress(source.read_at(n, size - 8 - n)))
 
 
-def read_block(coder: Coder, data: bytes, checkpoint: list[int]) -> np.ndarray:
-    """Decode one block and verify both checksums."""
+def read_block(coder: Coder, source: pa.NativeFile, checkpoint: list[int]) -> np.ndarray:
+    """Decode one block, wherever it lies, and verify both checksums."""
     at, size, n, coded, plain = checkpoint
-    body = data[at : at + size]
+    body = source.read_at(size, at)
     if zlib.crc32(body) != coded:
         raise ValueError("a block's bytes are damaged")
     ids = coder.decode(body, n)
@@ -158,15 +161,15 @@ def read_block(coder: Coder, data: bytes, checkpoint: list[int]) -> np.ndarray:
     return ids
 
 
-def read_file(coder: Coder, data: bytes) -> Iterator[tuple[object, np.ndarray]]:
+def read_file(coder: Coder, source: pa.NativeFile) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, ids) in order, a block at a time."""
-    info = footer(data)
+    info = footer(source)
     parts = iter(info["checkpoints"])
     held = np.zeros(0, np.uint32)
     for doc_id, n in zip(info["doc_ids"], info["lengths"], strict=True):
         have, extra = len(held), []
         while have < n:
-            extra.append(read_block(coder, data, next(parts)))
+            extra.append(read_block(coder, source, next(parts)))
             have += len(extra[-1])
         held = np.concatenate([held, *extra]) if extra else held
         yield doc_id, held[:n]
@@ -288,10 +291,11 @@ def n_parts(documents: DataFrame, least: int = PART_BYTES, most: int = 8 * PART_
     return max(1, size // min(most, max(least, size // 1000)))
 
 
-def write(documents: DataFrame, path: str, end: int | None, folder: str, part_bytes: int = PART_BYTES) -> tuple[np.ndarray, list]:
-    """Encode ``documents`` into the files of ``folder``; returns the frequencies and (part, documents, ids) of each file.
+def write(documents: DataFrame, path: str, end: int | None, folder: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Encode ``documents`` into the files of ``folder``; returns their list, which is also stored there: file, part, documents, ids and start (ids of all files before).
 
-    The driver holds one row for each file and one for each id of the vocabulary.
+    The driver holds one row for each id of the vocabulary. Documents of one
+    doc_id go on over as many files as they fill.
     """
     spark = documents.sparkSession
     tokens = stored(tokenize(documents, path, end), folder, "tokens")
@@ -300,9 +304,9 @@ def write(documents: DataFrame, path: str, end: int | None, folder: str, part_by
     for r in table:
         counts[r["id"]] = r["n"]
     frequencies = scaled(counts)
-    publish(f"{folder}/files", "frequencies.bin", lambda sink: sink.write(zlib.compress(frequencies.astype("<u4").tobytes())))
-    shared = spark.sparkContext.broadcast(frequencies)
     target = f"{folder}/files"
+    publish(target, FREQUENCIES, lambda sink: sink.write(zlib.compress(frequencies.astype("<u4").tobytes())))
+    shared = spark.sparkContext.broadcast(frequencies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next((b for b in batches if b.num_rows), None)
@@ -317,40 +321,59 @@ def write(documents: DataFrame, path: str, end: int | None, folder: str, part_by
                     yield unpack(data)
 
         part = TaskContext.get().partitionId()  # partitions of a range are in its order
-        n, ids = publish(target, f"part-{part:07d}.rans", lambda sink: write_file(coder, doc_ids, sequences(), sink))
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([n], pa.int64()), pa.array([ids], pa.int64())], names=["part", "n", "ids"])
+        name = f"part-{part:07d}.rans"
+        n, ids = publish(target, name, lambda sink: write_file(coder, doc_ids, sequences(), sink))
+        yield pa.RecordBatch.from_arrays([pa.array([f"{target}/{name}"]), *[pa.array([x], pa.int64()) for x in (part, n, ids)]], names=["file", "part", "documents", "ids"])
+
+    order = ["doc_id", F.crc32("ids"), "row"]
+    ordered = tokens.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n_parts(documents, part_bytes), *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    files = stored(ordered.mapInArrow(tidy(run), "file string, part long, documents long, ids long"), folder, "written")
+    return stored(started(files), folder, "list")
+
 
-    ordered = tokens.repartitionByRange(n_parts(documents, part_bytes), "doc_id").sortWithinPartitions("doc_id", F.crc32("ids"))
-    written = ordered.mapInArrow(tidy(run), "part long, n long, ids long")
-    return frequencies, sorted((r["part"], r["n"], r["ids"]) for r in written.collect())
+def started(files: DataFrame, run: int = 1000) -> DataFrame:
+    """Add ``start``, the sum of ``ids`` over all lower parts: sums of runs of parts first, then within each run."""
+    block = F.floor(F.col("part") / run)
+    sums = files.groupBy(block.alias("block")).agg(F.sum("ids").alias("all"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("block", F.coalesce(F.sum("all").over(before(Window.orderBy("block"))), F.lit(0)).alias("base"))  # a row for each thousand files
+    own = files.withColumn("block", block).withColumn("start", F.coalesce(F.sum("ids").over(before(Window.partitionBy("block").orderBy("part"))), F.lit(0)))
+    return own.join(sums, "block").withColumn("start", (F.col("start") + F.col("base")).cast("long")).drop("block", "base")
 
 
-def read(spark, folder: str, frequencies: np.ndarray, parts: list, kind: str = "bigint") -> DataFrame:  # noqa: ANN001
-    """doc_id, start, n_tokens and ids (binary) of each document, decoded from the files."""
-    before, total = {}, 0
-    for part, _, n in parts:
-        before[part] = total
-        total += n
-    shared = spark.sparkContext.broadcast((frequencies, before))
+def read(files: DataFrame, folder: str, kind: str = "bigint") -> DataFrame:
+    """doc_id, start, n_tokens and ids (binary) of each document, decoded from listed files; ``folder`` has the frequencies.
+
+    A worker holds one block and one document at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, starts = shared.value
-        coder = Coder(table)
+        coder = None
         for batch in batches:
-            for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                start, rows, size = starts[int(path.rpartition("part-")[2][:-5])], [], 0
-                for doc_id, ids in read_file(coder, data):
-                    rows.append((doc_id, start, len(ids), ids.astype("<u4").tobytes()))
-                    start += len(ids)
-                    size += len(ids)
-                    if size >= 1 << 20:
-                        yield _batch(rows, kind)
-                        rows, size = [], 0
+            for path, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
+                coder = coder or stored_coder(folder)
+                fs, own = file_system(path)
+                rows, size = [], 0
+                with fs.open_input_file(own) as source:
+                    for doc_id, ids in read_file(coder, source):
+                        rows.append((doc_id, start, len(ids), ids.astype("<u4").tobytes()))
+                        start += len(ids)
+                        size += len(ids)
+                        if size >= 1 << 20:
+                            yield _batch(rows, kind)
+                            rows, size = [], 0
                 if rows:
                     yield _batch(rows, kind)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.rans").load(f"{folder}/files").select("path", "content")
-    return files.mapInArrow(tidy(run), f"doc_id {kind}, start long, n_tokens long, ids binary")
+    listed = files.select("file", "start").repartition(max(1, files.count()), "file")
+    return listed.mapInArrow(tidy(run), f"doc_id {kind}, start long, n_tokens long, ids binary")
+
+
+def stored_coder(folder: str) -> Coder:
+    """The coder of the frequencies in a folder."""
+    fs, own = file_system(f"{folder}/files/{FREQUENCIES}")
+    with fs.open_input_stream(own) as source:
+        return Coder(np.frombuffer(zlib.decompress(source.read()), "<u4").astype(np.int64))
 
 
 def _batch(rows: list[tuple], kind: str) -> pa.RecordBatch:
@@ -364,5 +387,5 @@ def round_trip(documents: DataFrame, path: str, end: int | None = 2, part_bytes:
     spark = documents.sparkSession
     small_batches(spark, 2 * TEXT_BYTES)
     folder = new_folder(spark, "tokens")
-    frequencies, parts = write(project(documents, "doc_id", "text"), path, end, folder, part_bytes)
-    return read(spark, folder, frequencies, parts, dict(documents.dtypes)["doc_id"])
+    files = write(project(documents, "doc_id", "text"), path, end, folder, part_bytes)
+    return read(files, folder, dict(documents.dtypes)["doc_id"])

@@ -324,18 +324,40 @@ def test_frequencies_sum_to_the_scale(counts):
 
 
 def test_damage_is_found():
-    import io
-
     ids = np.random.default_rng(0).integers(0, 50, 400_000).astype(np.uint32)
     coder = token_file.Coder(token_file.scaled(np.bincount(ids)))
     sink = io.BytesIO()
     token_file.write_file(coder, list(range(4)), iter(np.array_split(ids, 4)), sink)
     data = sink.getvalue()
-    assert (np.concatenate([x for _, x in token_file.read_file(coder, data)]) == ids).all() and len(token_file.footer(data)["checkpoints"]) == 4
-    third = token_file.footer(data)["checkpoints"][2]  # any block alone
-    assert (token_file.read_block(coder, data, third) == ids[2 * token_file.BLOCK : 3 * token_file.BLOCK]).all()
-    with pytest.raises(ValueError):
-        list(token_file.read_file(coder, data[:5000] + bytes([data[5000] ^ 1]) + data[5001:]))
+    source = pa.BufferReader(data)
+    assert (np.concatenate([x for _, x in token_file.read_file(coder, source)]) == ids).all() and len(token_file.footer(source)["checkpoints"]) == 4
+    third = token_file.footer(source)["checkpoints"][2]  # any block alone
+    assert (token_file.read_block(coder, source, third) == ids[2 * token_file.BLOCK : 3 * token_file.BLOCK]).all()
+    for bad in (data[:5000] + bytes([data[5000] ^ 1]) + data[5001:], data[:-1], data[1:], b"", token_file.MAGIC):
+        with pytest.raises((ValueError, zlib.error)):
+            list(token_file.read_file(coder, pa.BufferReader(bad)))
+
+
+def test_documents_of_one_id_fill_several_files(spark, monkeypatch):
+    monkeypatch.setattr(token_file, "n_parts", lambda *a: 6)
+    rows = [(7 if i % 3 else None if i % 2 else i, spoken(30 + i % 5)) for i in range(300)] + [(7, "same text again")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = new_folder(spark, "t")
+    files = token_file.write(docs, public_tokenizers.path("word_bpe_49k.json"), 2, folder)
+    held = {r["file"]: r["documents"] for r in files.collect()}
+    assert len(held) >= 5 and max(held.values()) < 300 and sum(held.values()) == 600
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in token_file.read(files, folder).collect())
+    assert [i is None for _, i, _ in got] == sorted((r[0] is None for r in rows), reverse=True) and [i for _, i, _ in got if i is not None] == sorted(r[0] for r in rows if r[0] is not None)
+    assert [a for a, _, _ in got] == [0, *itertools.accumulate(n for _, _, n in got)][:-1]
+
+
+def test_starts_are_sums_of_lower_parts(spark):
+    ids = [(i * 7919) % 50 for i in range(100) if i % 6]
+    parts = [i for i in range(100) if i % 6]
+    files = spark.createDataFrame(list(zip(parts, ids, strict=True)), "part long, ids long")
+    expected = dict(zip(parts, [0, *itertools.accumulate(ids)][:-1], strict=True))
+    for run in (1, 9, 1000):
+        assert {r["part"]: r["start"] for r in token_file.started(files, run).collect()} == expected
 
 
 def test_token_file_matches_the_library(spark, sf_dir):
