@@ -6,13 +6,16 @@ word and its shape) and a few ratios; gated attention weighs the passages; the
 weighted encoding gives the score. Encoder, attention and output are learnt
 together from document labels alone, by gradient descent in the driver, on a
 sample of at most ``SAMPLE`` labelled documents taken in the order of a hash of
-doc_id. Scoring streams over all documents.
+doc_id, and of each at most ``BAG`` passages, spread evenly over the text; so the driver
+holds ``SAMPLE * BAG`` passages of 2 KB at most. Scoring streams over all documents
+and takes all passages of each.
 
 Only rows whose crc32(doc_id as text) mod 4 is not 2 are learnt from, and only
 the text enters a score.
 
 Defined results: a null or wordless text is a bag of one empty passage; labels
 that are null, and rows of labels or documents without a partner, are not
+learnt from; of several texts with one labelled doc_id the least in byte order is
 learnt from; without labels of both kinds all texts score the share of ones (0.5
 without any); repeated rows score alike; an empty table gives an empty result;
 other columns are not read.
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from folioscope.llm import words
 from folioscope.llm.shared import project, slices, small_batches, tidy
 
-PASSAGE, SAMPLE, THRESHOLD = 128, 4000, 0.7
+PASSAGE, SAMPLE, BAG, THRESHOLD = 128, 4000, 16, 0.7
 #: Buckets of hashed words and of hashed shapes; ratios of a passage; width of the encoding and of the attention.
 N_WORDS, N_SHAPES, N_RATIOS, WIDTH, GATE = 768, 256, 4, 16, 8
 N_FEATURES = N_WORDS + N_SHAPES
@@ -58,7 +61,7 @@ _CLASSES = _Classes()
 
 def shape(word: str) -> str:
     """A word with its letters and digits replaced by their class, and runs cut to one character."""
-    return _RUN.sub(r"\1", word[:64].translate(_CLASSES))
+    return _RUN.sub(r"\1", word.translate(_CLASSES))
 
 
 def _bucket(form: str) -> int:
@@ -128,7 +131,7 @@ class Model:
         return list(self.__dataclass_fields__)
 
     def head(self, pre: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
-        """Forward pass from the passages' sums before tanh; first: where each bag starts, and the end."""
+        """Forward pass from the passages' sums before tanh; first: where each bag starts, and the end; a: the weights of the passages."""
         h = np.tanh(pre)
         t, s = np.tanh(h @ self.v), 1 / (1 + np.exp(-(h @ self.u)))
         e = (t * s) @ self.w
@@ -159,8 +162,8 @@ def learnable(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 != 2
 
 
-def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list:
-    """(quality, packed bag) of at most ``limit`` labelled documents; the driver holds these."""
+def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, most: int = BAG) -> list:
+    """(quality, packed bag) of at most ``limit`` labelled documents, ``most`` passages of each; the driver holds these."""
     spark = documents.sparkSession
     known = project(labels, "doc_id", "quality").filter(F.col("quality").isin(0, 1) & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()
@@ -175,47 +178,62 @@ def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> list
                 first, cuts, codes, own, ratios = known.of(batch.column("text"))
                 out = []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    bag = np.zeros((b - a, N_FEATURES + N_RATIOS), np.float16)
-                    for i in range(a, b):
+                    picked = np.unique(np.linspace(a, b - 1, min(b - a, most)).astype(np.int64))
+                    bag = np.zeros((len(picked), N_FEATURES + N_RATIOS), np.float16)
+                    for k, i in enumerate(picked.tolist()):
                         part = own[codes[cuts[i] : cuts[i + 1]]].ravel()
-                        bag[i - a, :N_FEATURES] = np.bincount(part, minlength=N_FEATURES) / max(1, len(part) // 2)
-                    bag[:, N_FEATURES:] = ratios[a:b]
+                        bag[k, :N_FEATURES] = np.bincount(part, minlength=N_FEATURES) / max(1, len(part) // 2)
+                    bag[:, N_FEATURES:] = ratios[picked]
                     out.append(bag.tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("quality").cast(pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "quality", "bag"])
 
-    texts = project(documents, "doc_id", "text").join(F.broadcast(few), "doc_id").select("doc_id", "text", "quality")
-    rows = texts.mapInArrow(tidy(run), "doc_id string, quality int, bag binary").collect()
-    return sorted({r["doc_id"]: r for r in rows}.values(), key=lambda r: r["doc_id"])[:limit]
+    texts = project(documents, "doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
+    rows = texts.select("doc_id", "text", "quality").mapInArrow(tidy(run), "doc_id string, quality int, bag binary").collect()
+    return sorted(rows, key=lambda r: r["doc_id"])
 
 
-def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model | float:
-    """Learn a model by Adam over the whole sample; without both labels, the share of ones."""
-    y = np.array([r["quality"] for r in rows], np.float64)
-    if not len(y) or y.min() == y.max():
-        return float(y.mean()) if len(y) else 0.5
+def slopes(m: Model, x: np.ndarray, ratios: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the mean cross-entropy of the bags that start at ``first`` (and the end), by weight."""
+    f = m.head(x @ m.rows + ratios @ m.ratio + m.shift, first)
+    h, t, s, a, bag = f["h"], f["t"], f["s"], f["a"], f["bag"]
+    d_logit = ((f["p"] - y) / len(y)).astype(x.dtype)
+    d_z = d_logit[:, None] * m.out
+    d_a = (d_z[bag] * h).sum(1)
+    d_e = a * (d_a - np.add.reduceat(a * d_a, first[:-1])[bag])
+    d_gate = d_e[:, None] * m.w
+    d_t, d_s = d_gate * s * (1 - t * t), d_gate * t * s * (1 - s)
+    d_h = a[:, None] * d_z[bag] + d_t @ m.v.T + d_s @ m.u.T
+    d_pre = d_h * (1 - h * h)
+    return {"rows": x.T @ d_pre, "ratio": ratios.T @ d_pre, "shift": d_pre.sum(0), "v": h.T @ d_t, "u": h.T @ d_s, "w": (t * s).T @ d_e, "out": f["z"].T @ d_logit, "bias": d_logit.sum()}
+
+
+def unpacked(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, ratios, where each bag starts, and the end) of packed bags."""
     width = N_FEATURES + N_RATIOS
     first = np.concatenate([[0], np.cumsum([len(r["bag"]) // (2 * width) for r in rows])])
     x, ratios = np.empty((first[-1], N_FEATURES), np.float32), np.empty((first[-1], N_RATIOS), np.float32)
     for r, i, j in zip(rows, first[:-1], first[1:], strict=True):
         bag = np.frombuffer(r["bag"], np.float16).reshape(-1, width)
         x[i:j], ratios[i:j] = bag[:, :N_FEATURES], bag[:, N_FEATURES:]
+    return x, ratios, first
+
+
+def started(seed: int, kind: type = np.float32) -> Model:
     rng = np.random.default_rng(seed)
-    start = lambda *shape: (rng.normal(0, 0.3, shape)).astype(np.float32)
-    m = Model(start(N_FEATURES, WIDTH), start(N_RATIOS, WIDTH), np.zeros(WIDTH, np.float32), start(WIDTH, GATE), start(WIDTH, GATE), start(GATE), start(WIDTH), np.float32(0))
+    start = lambda *shape: rng.normal(0, 0.3, shape).astype(kind)
+    return Model(start(N_FEATURES, WIDTH), start(N_RATIOS, WIDTH), np.zeros(WIDTH, kind), start(WIDTH, GATE), start(WIDTH, GATE), start(GATE), start(WIDTH), kind(0))
+
+
+def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model | float:
+    """Learn a model by Adam over the whole sample; without both labels, the share of ones."""
+    y = np.array([r["quality"] for r in rows], np.float64)
+    if not len(y) or y.min() == y.max():
+        return float(y.mean()) if len(y) else 0.5
+    x, ratios, first = unpacked(rows)
+    m = started(seed)
     moments = {n: (0.0, 0.0) for n in m.names()}
     for k in range(1, epochs + 1):
-        f = m.head(x @ m.rows + ratios @ m.ratio + m.shift, first)
-        h, t, s, a, bag = f["h"], f["t"], f["s"], f["a"], f["bag"]
-        d_logit = ((f["p"] - y) / len(y)).astype(np.float32)
-        d_z = d_logit[:, None] * m.out
-        d_a = (d_z[bag] * h).sum(1)
-        d_e = a * (d_a - np.add.reduceat(a * d_a, first[:-1])[bag])
-        d_gate = d_e[:, None] * m.w
-        d_t, d_s = d_gate * s * (1 - t * t), d_gate * t * s * (1 - s)
-        d_h = a[:, None] * d_z[bag] + d_t @ m.v.T + d_s @ m.u.T
-        d_pre = d_h * (1 - h * h)
-        slope = {"rows": x.T @ d_pre, "ratio": ratios.T @ d_pre, "shift": d_pre.sum(0), "v": h.T @ d_t, "u": h.T @ d_s, "w": (t * s).T @ d_e, "out": f["z"].T @ d_logit, "bias": d_logit.sum()}
-        for n, g in slope.items():
+        for n, g in slopes(m, x, ratios, first, y).items():
             value = getattr(m, n)
             g = g + DECAY * value * (n != "bias")
             one, two = moments[n] = 0.9 * moments[n][0] + 0.1 * g, 0.999 * moments[n][1] + 0.001 * g * g

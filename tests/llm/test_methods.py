@@ -113,6 +113,66 @@ def test_gradient_learns_held_out_labels(spark):
     assert all(got[i]["predicted"] == rows[i][2] for i in held)
 
 
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(4)
+    first = np.array([0, 1, 4, 9])
+    x, ratios, y = rng.random((9, quality_model.N_FEATURES)) / 50, rng.random((9, quality_model.N_RATIOS)), np.array([1.0, 0.0, 1.0])
+    m = quality_model.started(3, np.float64)
+
+    def loss():
+        p = m.head(x @ m.rows + ratios @ m.ratio + m.shift, first)["p"]
+        return float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
+
+    for name, slope in quality_model.slopes(m, x, ratios, first, y).items():
+        value = np.atleast_1d(getattr(m, name)).astype(np.float64)
+        for at in rng.integers(0, value.size, 8):
+            both = []
+            for step in (1e-5, -1e-5):
+                moved = value.copy()
+                moved.flat[at] += step
+                setattr(m, name, moved if np.ndim(slope) else moved[0])
+                both.append(loss())
+            setattr(m, name, value if np.ndim(slope) else value[0])
+            assert abs((both[0] - both[1]) / 2e-5 - np.atleast_1d(slope).flat[at]) < 1e-7, name
+
+
+def test_one_bad_passage_decides(spark):
+    """Only one passage of many tells the label, so equal weights of the learnt model fail where its attention finds it."""
+    rnd = random.Random(31)
+
+    def text(bad):
+        parts = [" ".join(f"w{rnd.randrange(300)}" for _ in range(quality_model.PASSAGE)) for _ in range(rnd.randrange(8, 15))]
+        if bad:
+            parts[rnd.randrange(len(parts))] = " ".join(f"x{rnd.randrange(40)}###" for _ in range(quality_model.PASSAGE))
+        return " ".join(parts)
+
+    rows = [(i, text(i % 2), 1 - i % 2) for i in range(400)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = quality_model.fit(quality_model.sample(docs, labels))
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    first, cuts, codes, own, ratios = quality_model.Features().of(pa.array([r[1] for r in held], pa.large_string()))
+    mean = np.stack([model.rows[own[codes[a:b]]].sum((0, 1)) / (b - a) for a, b in zip(cuts, cuts[1:], strict=False)])
+    f = model.head(mean + ratios @ model.ratio + model.shift, first)
+    right = lambda p: np.mean([(q >= quality_model.THRESHOLD) == bool(r[2]) for q, r in zip(p, held, strict=True)])
+    equal = np.stack([f["h"][a:b].mean(0) for a, b in zip(first, first[1:], strict=False)])
+    assert right(f["p"]) >= 0.95 and right(1 / (1 + np.exp(-(equal @ model.out + model.bias)))) <= 0.8
+    bad = [f["a"][a:b].max() * (b - a) for a, b, r in zip(first, first[1:], held, strict=False) if not r[2]]
+    assert np.median(bad) > 3  # times an equal weight
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(1, "b " * 60_000), (1, "a x"), (3, "c " * 60_000), (4, "d")], "doc_id long, text string")
+    docs = docs.union(docs.filter("doc_id = 4")).union(docs)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (4, 1)], "doc_id long, quality int")
+    ids = [i for i in (1, 3, 4) if zlib.crc32(str(i).encode()) % 4 != 2]
+    for limit, most in ((10, 5), (1, 5), (10, 10**6)):
+        rows = quality_model.sample(docs, labels, limit, most)
+        assert len(rows) == min(limit, len(ids)) == len({r["doc_id"] for r in rows})
+        sizes = {int(r["doc_id"]): len(r["bag"]) // 2 // (quality_model.N_FEATURES + quality_model.N_RATIOS) for r in rows}
+        assert all(n == {1: 1, 3: min(most, -(-60_000 // quality_model.PASSAGE)), 4: 1}[i] for i, n in sizes.items())
+    assert quality_model.shape("a" * 70 + "#") != quality_model.shape("a" * 70)
+
+
 def test_held_out_labels_are_never_learnt(spark):
     docs = spark.createDataFrame([(i, spoken(60)) for i in range(80)], "doc_id long, text string")
     labels = [(i, i % 2) for i in range(80)]
