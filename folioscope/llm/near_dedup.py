@@ -8,10 +8,12 @@
    compared with one leader only, the class that meets most others in all its
    buckets; that is the common origin of a group of copies if it is there, and
    joins the group without making all its pairs.
-3. Buckets that still hold several components are compared in full inside the
-   workers, in blocks of bounded size, first by signatures, then the classes
-   that still have a partner by their full sets; a block returns the links
-   that join components, fewer than it has classes.
+3. In buckets that still hold several components, each class outside of the largest
+   one is compared with all of other components, inside the workers, in blocks of
+   bounded size; the largest component's classes are not copied for that, so the work
+   grows with the square of the others alone. First come signatures (blocks of ``BLOCK``
+   classes), then the full sets of classes that still have a partner (blocks of
+   ``SET_BYTES``); a block returns the links that join components, fewer than it has classes.
 4. A comparison reads the signatures in batches: after n minima with m equal
    the chance of equal minima has the posterior Beta(m + 1, n - m + 1) under a
    flat prior, and a pair is dropped once P(similarity >= threshold) falls
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import words
@@ -48,8 +50,8 @@ from folioscope.llm.shared import marked, new_folder, project, slices, small_bat
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 BANDS, ROWS = 32, 4
 N_HASHES, BATCH, MISS = BANDS * ROWS, 16, 1e-6
-#: Classes of a bucket that one block holds.
-BLOCK = 1024
+#: Classes of a bucket that one block holds, and bytes of full sets.
+BLOCK, SET_BYTES = 1024, 16 << 20
 
 _random = np.random.default_rng(20260)
 MULTIPLY = _random.integers(0, 1 << 32, N_HASHES, np.uint32) | np.uint32(1)
@@ -170,16 +172,16 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
-    """The rows of each pair of blocks, which come sorted by (key, i, j); one pair is held at a time."""
+def _runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[dict[str, list]]:
+    """The rows of each pair of blocks, which come sorted by the first ``n_keys`` columns; one pair is held at a time."""
     names, held, last = [], [], None
     for batch in batches:
         names = batch.schema.names
         for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-            if row[:3] != last and held:
+            if row[:n_keys] != last and held:
                 yield dict(zip(names, zip(*held, strict=True), strict=True))
                 held = []
-            last = row[:3]
+            last = row[:n_keys]
             held.append(row)
     if held:
         yield dict(zip(names, zip(*held, strict=True), strict=True))
@@ -198,19 +200,23 @@ def _partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> Iterator[t
             yield i, j
 
 
+#: Columns of the classes of a pair of blocks: n is the size of the set; side 0 and 1 are compared with each other, 2 among themselves.
+CLOSE = ["key", "i", "j", "side", "node", "comp", "n"]
+
+
 def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each run that survive with another."""
-    for run in _runs(batches):
+    for run in _runs(batches, 3):
         stay = np.zeros(len(run["node"]), bool)
         for i, j in _partners(np.frombuffer(b"".join(run["sig"]), np.uint8).reshape(-1, N_HASHES), np.array(run["comp"]), np.array(run["side"])):
             stay[i] = stay[j] = True
         at = np.flatnonzero(stay)
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(run[c], np.int64)[at]) for c in ("key", "i", "j", "side", "node", "comp")], names=["key", "i", "j", "side", "node", "comp"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(run[c], np.int64)[at]) for c in CLOSE], names=CLOSE)
 
 
 def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Verified links of each run that join its components, on full sets; a pair counts in its first common band only."""
-    for run in _runs(batches):
+    for run in _runs(batches, 5):
         own = [np.frombuffer(x, np.uint64) for x in run["set"]]
         least, node, key = minima(own), run["node"], run["key"][0]
         keys = band_keys(least)
@@ -271,17 +277,43 @@ def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docum
     """Links between components that share a bucket (members: key, n, node)."""
     labelled = members.join(labels.hint("merge"), "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("comp"))
     labelled = stored(labelled, folder, "labelled")
-    mixed = stored(labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key"), folder, "mixed")
-    rest = labelled.filter("n > 2").join(mixed.hint("merge"), "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    rest = rest.withColumn("at", F.pmod(F.xxhash64("node"), "blocks"))
-    pair = lambda o: F.struct(F.least("at", o).alias("i"), F.greatest("at", o).alias("j"), F.when(F.col("at") == o, 2).when(F.col("at") < o, 0).otherwise(1).cast("long").alias("side"))
-    rest = rest.select("key", "node", "comp", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)).alias("p")).select("key", "p.i", "p.j", "p.side", "node", "comp")
-    arranged = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
-    rest = stored(rest, folder, "rest").join(classes.select("node", "sig").hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "sig")
-    close = stored(arranged(rest).mapInArrow(tidy(_with_partner), "key long, i long, j long, side long, node long, comp long"), folder, "close")
+    parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
+    mixed = stored(parts.select("key", F.col("most.comp").alias("large"), F.col("most.size").alias("size")), folder, "mixed")
+    rest = labelled.filter("n > 2").join(mixed.hint("merge"), "key")
+    # blocks 0 to r - 1 hold the others, r to r + l - 1 the largest component; every pair of blocks but those of the latter
+    rest = rest.withColumn("r", F.ceil((F.col("n") - F.col("size")) / BLOCK)).withColumn("l", F.ceil(F.col("size") / BLOCK)).withColumn("in", F.col("comp") == F.col("large"))
+    rest = rest.withColumn("at", F.when(F.col("in"), F.col("r") + F.pmod(F.xxhash64("node"), "l")).otherwise(F.pmod(F.xxhash64("node"), "r")))
+    partners = F.sequence(F.lit(0).cast("long"), F.col("r") + F.when(F.col("in"), 0).otherwise(F.col("l")) - 1)
+    rest = rest.select("key", "node", "comp", F.explode(F.transform(partners, lambda o: _pair(F.col("at"), o))).alias("p")).select("key", "p.i", "p.j", "p.side", "node", "comp")
+    arranged = lambda d, *by: d.repartition(*by).sortWithinPartitions(*by, "side", "node")
+    rest = stored(rest, folder, "rest").join(classes.select("node", "sig", F.col("n_shingles").alias("n")).hint("merge"), "node").select(*CLOSE, "sig")
+    kinds = ", ".join(f"{c} long" for c in CLOSE)
+    close = stored(arranged(rest, "key", "i", "j").mapInArrow(tidy(_with_partner), kinds), folder, "close")
     full = full_sets(close.select("node").distinct(), classes, documents, folder, "rest")
-    close = close.join(full.hint("merge"), "node").select("key", "i", "j", "side", "node", "comp", "set")
-    return stored(arranged(close).mapInArrow(tidy(_joining), "a long, b long"), folder, "rest-links")
+    close = by_bytes(close).join(full.hint("merge"), "node").select("key", "i", "j", "p", "q", "side", "node", "comp", "set")
+    return stored(arranged(close, "key", "i", "j", "p", "q").mapInArrow(tidy(_joining), "a long, b long"), folder, "rest-links")
+
+
+def _pair(at: Column, o: Column) -> Column:
+    """The pair of blocks of a row in block ``at`` that meets block ``o``, and its side there."""
+    side = F.when(at == o, 2).when(at < o, 0).otherwise(1).cast("long")
+    return F.struct(F.least(at, o).alias("i"), F.greatest(at, o).alias("j"), side.alias("side"))
+
+
+def by_bytes(close: DataFrame) -> DataFrame:
+    """Deal the classes of each pair of blocks (key, i, j) to pairs of smaller ones (p, q), whose full sets have about ``SET_BYTES`` each."""
+    pair = Window.partitionBy("key", "i", "j")
+    before = Window.partitionBy("key", "i", "j", "side").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+    own = close.withColumn("sub", F.floor(F.coalesce(F.sum(8 * F.col("n")).over(before), F.lit(0)) / SET_BYTES).cast("long"))
+    own = own.withColumns({f"last{k}": F.max(F.when(F.col("side") == k, F.col("sub"))).over(pair) for k in (0, 1, 2)})
+    others = lambda k: F.sequence(F.lit(0).cast("long"), F.col(f"last{k}"))
+    as_pair = lambda p, q: F.struct(p.alias("i"), q.alias("j"), F.col("side").alias("side"))
+    dealt = (
+        F.when(F.col("side") == 0, F.transform(others(1), lambda o: as_pair(F.col("sub"), o)))
+        .when(F.col("side") == 1, F.transform(others(0), lambda o: as_pair(o, F.col("sub"))))
+        .otherwise(F.transform(others(2), lambda o: _pair(F.col("sub"), o)))
+    )
+    return own.select("key", "i", "j", "node", "comp", F.explode(dealt).alias("x")).select("key", "i", "j", F.col("x.i").alias("p"), F.col("x.j").alias("q"), "x.side", "node", "comp")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -292,8 +324,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     documents = project(documents, "doc_id", "text")
     kind = dict(documents.dtypes)["doc_id"]
     rows = stored(documents.mapInArrow(tidy(_sign), f"doc_id {kind}, n_shingles long, digest binary, sig binary, keys array<long>"), folder, "rows")
-    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "sig", "keys"), folder, "classes")
+    classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "n_shingles", "sig", "keys"), folder, "classes")
 
     bands = classes.select("node", F.explode("keys").alias("key"))
     buckets = stored(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), folder, "buckets")

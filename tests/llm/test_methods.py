@@ -586,9 +586,11 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == brute_components(texts)
 
 
-def test_large_group_around_an_absent_origin(spark, monkeypatch):
+@pytest.mark.parametrize(("block", "size"), [(16, 2000), (7, 1), (1024, 16 << 20)])
+def test_large_group_around_an_absent_origin(spark, monkeypatch, block, size):
     """Copies of one text, none of which need link with the leader: blocks find the links, in parts."""
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SET_BYTES", size)
     rnd = random.Random(9)
     base = spoken(100, 9000, rnd).split()
     texts = {}
@@ -601,6 +603,48 @@ def test_large_group_around_an_absent_origin(spark, monkeypatch):
     assert got == brute_components(texts)
 
 
+def test_two_groups_of_thousands_in_common_buckets(spark):
+    """6,000 and 4,000 classes that share half of their text and a band, but don't link."""
+    rnd = random.Random(10)
+    for k in itertools.count():
+        one = [f"a{k}x{i}" for i in range(100)]
+        two = one[:60] + [f"b{k}x{i}" for i in range(40)]
+        keys = near_dedup.band_keys(near_dedup.minima(near_dedup.sets(pa.array([" ".join(one), " ".join(two)]))))
+        if (keys[0] == keys[1]).any():
+            break
+    texts = []
+    for base, n in ((one, 6000), (two, 4000)):
+        for _ in range(n):
+            own = list(base)
+            own[rnd.randrange(100)] = f"v{len(texts)}"
+            texts.append(" ".join(own))
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8))
+    assert {(r["component_id"], r["count"]) for r in got.groupBy("component_id").count().collect()} == {(0, 6000), (6000, 4000)}
+
+
+def test_pairs_of_blocks_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SET_BYTES", 100)
+    rnd = random.Random(6)
+    rows = [(k, i, j, side, node, node % 3, rnd.randrange(1, 30)) for k in (5, 6) for i, j, sides in ((0, 0, [2]), (0, 1, [0, 1])) for side in sides for node in range(side, 40, 2)]
+    got = near_dedup.by_bytes(spark.createDataFrame(rows, ", ".join(f"{c} long" for c in near_dedup.CLOSE))).collect()
+    size, met = {(r[0], r[1], r[2], r[4]): 8 * r[6] for r in rows}, {}
+    for r in got:
+        met.setdefault(tuple(r[:5]), []).append((r["side"], r["node"]))
+    pairs = {}
+    for (k, i, j, p, q), own in met.items():
+        for side in (0, 1, 2):
+            held = [size[k, i, j, n] for s, n in own if s == side]
+            assert sum(held) - max(held, default=0) <= 100
+        for (s1, n1), (s2, n2) in itertools.combinations(sorted(own), 2):
+            if s1 == s2 == 2 or (s1, s2) == (0, 1):
+                pairs[k, i, j, *sorted((n1, n2))] = pairs.get((k, i, j, *sorted((n1, n2))), 0) + 1
+    expected = {}
+    for a, b in itertools.combinations(rows, 2):
+        if a[:3] == b[:3] and (a[3] == b[3] == 2 or {a[3], b[3]} == {0, 1}):
+            expected[*a[:3], *sorted((a[4], b[4]))] = 1
+    assert pairs == expected
+
+
 def test_sequential_test_keeps_pairs_at_the_threshold():
     rng = np.random.default_rng(1)
     left = rng.integers(0, 256, (20_000, near_dedup.N_HASHES)).astype(np.uint8)
