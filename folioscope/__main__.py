@@ -1,7 +1,7 @@
 """Command line: ``python -m folioscope COMMAND ...``, one command for each task over files and folders.
 
 Paths may be anything that Spark reads. Results go to --output as JSON lines
-(or text), else to standard output.
+(or text), else to standard output; ``--pretty`` prints each as an indented document.
 """
 
 from __future__ import annotations
@@ -19,13 +19,16 @@ from folioscope.plans import semantic_ir, stages
 from folioscope.sources import docx, files
 
 
-def emit(df: DataFrame, output: str | None) -> None:
-    """To a folder by the executors, or line by line to standard output."""
-    if output:
+def emit(df: DataFrame, output: str | None, pretty: bool = False) -> None:
+    """To a folder by the executors, or row by row to standard output."""
+    own = df.select(F.to_json(F.struct("*"), {"pretty": str(pretty).lower(), "ignoreNullFields": "false"}).alias("value"))
+    if output and pretty:
+        own.write.mode("overwrite").option("lineSep", "\n").text(output)
+    elif output:
         df.write.mode("overwrite").json(output)
     else:
-        for line in df.toJSON().toLocalIterator():
-            print(line)
+        for row in own.toLocalIterator():
+            print(row["value"])
 
 
 def profile(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -39,7 +42,9 @@ def profile(spark: SparkSession, a: argparse.Namespace) -> int:
 def extract(spark: SparkSession, a: argparse.Namespace) -> int:
     """The semantic record of packages, their summary or their brief."""
     ir = semantic_ir.from_path(spark, a.path, a.repair)
-    emit({"record": ir.nested, "summary": ir.summary, "brief": ir.brief}[a.form](), a.output)
+    emit({"record": ir.nested, "summary": ir.summary, "brief": ir.brief}[a.form](), a.output, a.pretty)
+    if a.assets:
+        print(json.dumps({"exported": docx.export(spark, a.path, ir.images, a.assets).count()}), file=sys.stderr)
     return 0
 
 
@@ -54,18 +59,22 @@ def check(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def analyze(spark: SparkSession, a: argparse.Namespace) -> int:
     """Profiles of the template folders below a path, or their candidates for the main file."""
-    tree = files.tree(spark, a.path, (".tex",))
-    emit(template.profile(tree) if a.form == "profile" else template.candidates(tree), a.output)
+    tree = files.tree(spark, a.path, (".tex",), decode=files.ignoring)
+    caps = (template.READ_CAP, template.TEXT_CAP) if a.bounded else (None, None)
+    emit(template.profile(tree, *caps) if a.form == "profile" else template.candidates(tree, caps[0]), a.output, a.pretty)
     return 0
 
 
 def require(spark: SparkSession, a: argparse.Namespace) -> int:
     """Formatting requirements of guide texts, from files or given inline."""
-    if a.text:
-        guides = files.inline(spark, a.text)
-    else:
-        guides = spark.read.text(a.path, wholetext=True).select(F.input_file_name().alias("doc_id"), F.col("value").alias("text"))
-    emit(guides.withColumn("compact", squeeze("text")).select("doc_id", *requirements.extract(F.col("text"), F.col("compact"))), a.output)
+    guides = files.inline(spark, a.text) if a.text else files.texts(spark, a.path)
+    emit(guides.withColumn("compact", squeeze("text")).select("doc_id", *requirements.extract(F.col("text"), F.col("compact"))), a.output, a.pretty)
+    return 0
+
+
+def built(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Status and notes of builds, from the JSON results at a path."""
+    emit(lists.compile_results(files.artifacts(spark, a.path, lists.RESULT)).select("status", "notes", "command", "log_path", "return_code"), a.output, a.pretty)
     return 0
 
 
@@ -98,14 +107,18 @@ def parser() -> argparse.ArgumentParser:
         if path:
             own.add_argument("path", nargs="?" if name == "requirements" else None)
             own.add_argument("--output")
+            own.add_argument("--pretty", action="store_true")
         if forms:
             own.add_argument("--form", choices=forms, default=forms[0])
         return own
 
     add("profile", profile)
-    add("extract", extract, forms=("record", "summary", "brief")).add_argument("--repair", action="store_true")
+    own = add("extract", extract, forms=("record", "summary", "brief"))
+    own.add_argument("--repair", action="store_true")
+    own.add_argument("--assets", help="a folder for the images")
     add("gate", check, forms=("findings", "summary", "markdown")).add_argument("--strict", action="store_true")
-    add("template", analyze, forms=("profile", "candidates"))
+    add("template", analyze, forms=("profile", "candidates")).add_argument("--bounded", action="store_true", help="read the usual number of characters of each file only")
+    add("built", built)
     add("requirements", require).add_argument("--text", action="append")
     for name, run in (("record", record), ("fresh", fresh)):
         own = add(name, run, path=False)

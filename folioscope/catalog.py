@@ -14,6 +14,8 @@ from folioscope.operators import elements as E
 from folioscope.operators import tables as T
 from folioscope.plans import overlay
 from folioscope.plans.semantic_ir import annotate
+from folioscope.sources import docx
+from folioscope.sources import files as tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,22 +110,22 @@ def doc_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return damage.issues(damage.inspect(classified(spark, sf_dir).filter("kind = 'p'"))).drop("repaired_sample")
+    return damage.issues(damage.inspect(classified(spark, sf_dir).filter("kind = 'p'")))
 
 
 @query
 def doc_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    broken = documents(spark, sf_dir).select("doc_id", F.concat("text", F.lit("瀹為獙缁撴灉")).alias("text")).withColumn("body_pos", F.lit(0).cast("long"))
+    broken = documents(spark, sf_dir).select("doc_id", F.concat("text", F.lit(overlay.REPAIRABLE)).alias("text")).withColumn("body_pos", F.lit(0).cast("long"))
     return damage.inspect(broken, repairing=True).select("doc_id", "damage", "candidate", "final_text")
 
 
 @query
 def doc_ir_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diagnose.profile(annotated(spark, sf_dir)).drop("repairable")
+    return diagnose.profile(annotated(spark, sf_dir))
 
 
 def _counts(spark: SparkSession, sf_dir: str, flavor: Column) -> DataFrame:
-    return diagnose.profile(annotated(spark, sf_dir)).withColumn("repairable", F.lit(0).cast("long")).withColumn("defects", diagnose.defects(flavor))
+    return diagnose.profile(annotated(spark, sf_dir)).withColumn("defects", diagnose.defects(flavor))
 
 
 @query
@@ -187,6 +189,48 @@ def conversion_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.first_success(e, "document")
 
 
+def _packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docx.parse(overlay.packages(documents(spark, sf_dir)))
+
+
+@query
+def package_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _packages(spark, sf_dir).withColumn("failed", F.col("error").isNotNull()).withColumn("n_relationships", F.size("relationships").cast("long")).withColumn("namespaces", F.array_join("namespaces", "|"))
+    return own.drop("elements", "relationships", "error", "size_bytes")
+
+
+@query
+def package_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = docx.elements(_packages(spark, sf_dir))
+    rows = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), chr(10))
+    return own.withColumns({"rel_ids": F.array_join("rel_ids", "|"), "rows": rows})
+
+
+@query
+def package_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docx.relationships(_packages(spark, sf_dir))
+
+
+@query
+def package_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docx.media(overlay.packages(documents(spark, sf_dir))).select("doc_id", "member", F.sha2("content", 256).alias("sha256"))
+
+
+@query
+def png_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = lambda c: F.lpad(F.hex(c), 8, "0")
+    head = F.when(F.col("doc_id") % 5 == 0, "FFD8FFE0").otherwise(tree.PNG)
+    content = F.unhex(F.concat(head, F.lit("0000000D49484452"), number(F.col("doc_id") + 1), F.when(F.col("doc_id") % 5 != 1, number(F.length("text"))).otherwise("")))
+    width, height = tree.png_size(content)
+    return documents(spark, sf_dir).select("doc_id", width.alias("width"), height.alias("height"))
+
+
+@query
+def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = F.concat(F.unhex(F.lit("EFBBBF")), F.encode("text", "UTF-8"), F.unhex(F.lit("FFC3")), F.encode(F.lit("é"), "UTF-8"))
+    return documents(spark, sf_dir).select("doc_id", tree.lenient(bad).alias("lenient"), tree.ignoring(bad).alias("ignoring"))
+
+
 # Gate
 
 
@@ -212,7 +256,7 @@ def rendered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extracted = documents(spark, sf_dir).groupBy((F.col("doc_id") % 20).alias("project")).agg(F.count_if(F.col("doc_id") % 13 == 0).alias("extracted"))
+    extracted = documents(spark, sf_dir).groupBy((F.col("doc_id") % 20).alias("project")).agg(F.count_if(F.col("doc_id") % 6 == 0).alias("extracted"))
     return gate.findings(files(spark, sf_dir), extracted)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Prefixes of patterns: Unicode classes, only \n ends a line; and the same without regard to case.
@@ -77,6 +77,12 @@ def present(*pairs: tuple[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in pairs]))
 
 
+def leading(rows: DataFrame, by: list[str], value: str, n: int) -> DataFrame:
+    """(by, listed): the first ``n`` values of each group in order; others are dropped before they meet in a row."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(value))
+    return rows.withColumn("__rank", rank).filter(F.col("__rank") <= n).groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias("listed"))
+
+
 def recorded(value: Column) -> Column:
     """A value, or a note that there is none."""
     return F.coalesce(F.nullif(value, F.lit("")), F.lit("Not recorded"))

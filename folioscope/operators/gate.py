@@ -2,7 +2,9 @@
 
 Input ``files``: project, rel_path, size_bytes, text (null for images), and
 optionally width and height of images. A finding: project, rule_ordinal,
-severity, check, n (what was counted), paths (sorted, distinct).
+severity, check, n (what was counted), paths (sorted, distinct). Paths are listed whole
+but for missing and unsupported graphics and tiny images, of which the first ``LISTED`` are;
+so a row of facts grows with the offending files of one project, and with nothing else.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import paths
-from folioscope.functions.text import EXACT, count, every, has, strip
+from folioscope.functions.text import EXACT, count, every, has, leading, strip
 from folioscope.operators.damage import project_damaged
 
 # Kinds of files, thresholds and patterns.
@@ -108,12 +110,14 @@ def structure(files: DataFrame) -> DataFrame:
     small = F.col("size_bytes") < TINY_BYTES
     if "width" in files.columns:
         small = small | F.coalesce(F.least("width", "height") < TINY_SIDE, F.lit(False))
-    tiny = lambda c, name: [F.count_if(c & image & small).alias(f"n_{name}"), F.slice(F.array_sort(F.collect_set(F.when(c & image & small, path))), 1, LISTED).alias(name)]
-    return files.groupBy("project").agg(
+    little = files.filter(image & small).select("project", "rel_path", inside.alias("inside")).distinct()
+    shown = leading(little, ["project"], "rel_path", LISTED).withColumnRenamed("listed", "tiny").join(leading(little.filter("inside"), ["project"], "rel_path", LISTED).withColumnRenamed("listed", "tiny_content"), "project", "left")
+    facts = files.groupBy("project").agg(
         any_(path == "main.tex", "main"), any_(path.startswith("source/"), "source"), any_(path == "conversion_report.md", "report"), any_(inside, "content"),
         any_(path.rlike(rf"^content/({'|'.join(SEMANTIC)})/.*\.tex$"), "semantic"), F.array_sort(F.collect_set(F.when(flat, path))).alias("flat"),
-        F.count_if(image).alias("n_images"), F.count_if(image & inside).alias("n_images_content"), *tiny(F.lit(True), "tiny"), *tiny(inside, "tiny_content"),
+        F.count_if(image).alias("n_images"), F.count_if(image & inside).alias("n_images_content"), F.count_if(image & small).alias("n_tiny"), F.count_if(image & small & inside).alias("n_tiny_content"),
     )
+    return facts.join(shown, "project", "left")
 
 
 def graphics_references(files: DataFrame) -> DataFrame:
@@ -154,10 +158,13 @@ def table_coverage(extracted: Column, rendered: Column) -> Column:
 
 
 def _references_by_project(references: DataFrame) -> DataFrame:
-    line = F.concat_ws(": ", "rel_path", "raw")
-    listed = lambda c: F.slice(F.array_sort(F.collect_list(F.when(c, line))), 1, LISTED)
-    missing, unsupported = F.col("resolved").isNull(), F.col("suffix").isin(*UNSUPPORTED)
-    return references.groupBy("project").agg(F.count_if(missing).alias("n_missing"), listed(missing).alias("missing"), F.count_if(unsupported).alias("n_unsupported"), listed(unsupported).alias("unsupported"))
+    missing, unsupported = F.col("resolved").isNull(), F.coalesce(F.col("suffix").isin(*UNSUPPORTED), F.lit(False))
+    told = F.array_compact(F.array(F.when(missing, F.lit("missing")), F.when(unsupported, F.lit("unsupported"))))
+    lines = references.select("project", F.concat_ws(": ", "rel_path", "raw").alias("line"), F.explode(told).alias("kind"))
+    shown = leading(lines, ["project", "kind"], "line", LISTED)
+    own = lines.groupBy("project", "kind").agg(F.count("*").alias("n")).join(shown, ["project", "kind"])
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    return own.groupBy("project").agg(*[of(k, c).alias(name) for k in ("missing", "unsupported") for c, name in (("n", f"n_{k}"), ("listed", k))])
 
 
 def findings(files: DataFrame, extracted: DataFrame | None = None) -> DataFrame:

@@ -32,7 +32,8 @@ def file_hash(content: Column) -> Column:
 def directory_hashes(files: DataFrame) -> DataFrame:
     """(directory, sha256, n_files): the hash of each file's relative path and hash, in the order of path parts, without .git.
 
-    Input: directory, rel_path, sha256 (of each file's bytes).
+    Input: directory, rel_path, sha256 (of each file's bytes). The hash is one of a whole
+    sequence, so a task holds path and hash of all files of one directory, some 200 bytes each.
     """
     kept = files.filter(~F.array_contains(F.split("rel_path", "/"), ".git"))
     entries = F.array_sort(F.collect_list(F.struct(F.split("rel_path", "/").alias("parts"), "rel_path", "sha256")))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from folioscope.operators import damage, gate, lists, manifest, requirements, template
 from folioscope.operators import elements as E
 from folioscope.operators import tables as T
-from folioscope.plans.overlay import ELEMENTS_SQL, FILES_SQL, GUIDES_SQL
+from folioscope.plans.overlay import ELEMENTS_SQL, FILES_SQL, GUIDES_SQL, REPAIRABLE, REPAIRED
 
 WS = r"[\s\p{Z}\x1c-\x1f\x85]"
 
@@ -74,8 +74,9 @@ captions AS (SELECT doc_id, body_pos, id, c.text AS caption, c.id AS caption_par
   SELECT *, last_value(CASE WHEN role = 'table_caption' THEN struct_pack(text := text, id := id) END IGNORE NULLS) OVER (PARTITION BY doc_id, segment ORDER BY body_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS c
   FROM (SELECT *, coalesce(sum(CASE WHEN kind = 'tbl' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY body_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS segment FROM identified)) WHERE kind = 'tbl')"""
 _scored = score("text", damage.EXTRACTED)
-ISSUES = f"""issues AS (SELECT doc_id, body_pos, 'mojibake' AS issue_type, 'warning' AS severity, left(text, 160) AS sample FROM classified WHERE kind = 'p' AND {_scored} >= 2
- UNION ALL SELECT doc_id, body_pos, 'risky_symbol_mojibake', 'review', left(text, 160) FROM classified WHERE kind = 'p' AND contains(text, '{damage.RISKY}'))"""
+_repaired = f"CASE WHEN regexp_matches(text, '(?s)^[\\x00-\\x7F]*{REPAIRABLE}$') THEN replace(text, '{REPAIRABLE}', '{REPAIRED}') END"  # other bytes don't read as UTF-8
+ISSUES = f"""issues AS (SELECT doc_id, body_pos, 'mojibake' AS issue_type, 'warning' AS severity, left(text, 160) AS sample, left({_repaired}, 160) AS repaired_sample FROM classified WHERE kind = 'p' AND {_scored} >= 2
+ UNION ALL SELECT doc_id, body_pos, 'risky_symbol_mojibake', 'review', left(text, 160), NULL FROM classified WHERE kind = 'p' AND contains(text, '{damage.RISKY}'))"""
 
 
 def notes(rows: str) -> str:
@@ -86,20 +87,20 @@ def notes(rows: str) -> str:
 
 
 PROFILE = f"""{IDENTIFIED}, {ISSUES},
-profile AS (SELECT a.*, coalesce(images, 0) AS images, coalesce(captionless_images, 0) AS captionless_images, coalesce(table_notes, 0) AS table_notes, coalesce(equations, 0) AS equations, coalesce(text_issues, 0) AS text_issues, coalesce(mojibake, 0) AS mojibake, coalesce(risky, 0) AS risky
+profile AS (SELECT a.*, coalesce(images, 0) AS images, coalesce(captionless_images, 0) AS captionless_images, coalesce(table_notes, 0) AS table_notes, coalesce(equations, 0) AS equations, coalesce(text_issues, 0) AS text_issues, coalesce(mojibake, 0) AS mojibake, coalesce(repairable, 0) AS repairable, coalesce(risky, 0) AS risky
  FROM (SELECT doc_id, count(*) FILTER (kind = 'p') AS paragraphs, count(*) FILTER (role IN ('heading', 'heading_candidate')) AS headings, count(*) FILTER (role = 'heading_candidate') AS heading_candidates, count(*) FILTER (kind = 'tbl') AS tables,
    count(*) FILTER (len(citations) > 0) AS citation_paragraphs, count(*) FILTER (role = 'bibliography_heading') AS bibliography_headings FROM identified GROUP BY doc_id) a
  LEFT JOIN (SELECT doc_id, count(*) AS images, count(*) FILTER (nearby_caption IS NULL) AS captionless_images FROM images GROUP BY doc_id) USING (doc_id)
  LEFT JOIN (SELECT doc_id, sum(len({notes("[string_split(text, ' ')]")}))::BIGINT AS table_notes FROM identified WHERE kind = 'tbl' GROUP BY doc_id) USING (doc_id)
  LEFT JOIN (SELECT doc_id, count(*) AS equations FROM identified WHERE kind = 'p' AND contains(text, '$$') GROUP BY doc_id) USING (doc_id)
- LEFT JOIN (SELECT doc_id, count(*) AS text_issues, count(*) FILTER (issue_type = 'mojibake') AS mojibake, count(*) FILTER (issue_type <> 'mojibake') AS risky FROM issues GROUP BY doc_id) USING (doc_id))"""
+ LEFT JOIN (SELECT doc_id, count(*) AS text_issues, count(*) FILTER (issue_type = 'mojibake') AS mojibake, count(repaired_sample) AS repairable, count(*) FILTER (issue_type <> 'mojibake') AS risky FROM issues GROUP BY doc_id) USING (doc_id))"""
 
 
-def defects(flavor: str, repairable: str = "0") -> str:
+def defects(flavor: str) -> str:
     n = lambda title, c: f"CASE WHEN {c} > 0 THEN {q(title)} || {c} END"
     return f"""list_filter([CASE {flavor} WHEN 'strict' THEN 'strict package: read with its own namespaces' WHEN 'unknown' THEN 'unknown package namespace: review the extraction' END,
  {n('headings by number only: ', 'heading_candidates')}, {n('images without a caption nearby: ', 'captionless_images')}, {n('table notes to review: ', 'table_notes')}, {n('equations to rebuild: ', 'equations')},
- CASE WHEN mojibake > 0 THEN 'damaged paragraphs: ' || mojibake || ', repairable: {repairable}' END, {n('paragraphs with risky symbols: ', 'risky')},
+ CASE WHEN mojibake > 0 THEN 'damaged paragraphs: ' || mojibake || ', repairable: ' || repairable END, {n('paragraphs with risky symbols: ', 'risky')},
  CASE WHEN citation_paragraphs > 0 AND bibliography_headings = 0 THEN 'citations without a bibliography heading' END], lambda z: z IS NOT NULL)"""
 
 
@@ -156,7 +157,7 @@ marked AS (SELECT project, bool_or({has('text', gate.MARKER)}) AS marked FROM fi
 shown AS (SELECT project, count(*) AS images, count(*) FILTER (size_bytes < 1024) AS n_tiny, list_slice(list_sort(list(rel_path) FILTER (size_bytes < 1024)), 1, 20) AS tiny FROM pictures GROUP BY project),
 hidden AS (SELECT project, count(*) AS loose FROM loose GROUP BY project),
 numbering AS (SELECT project, bool_or({has('text', gate.CHAPTER_CLASS, False)}) AS chapters, bool_or(contains(text, '\\begin{{equation}}') OR contains(text, '\\begin{{align}}')) AS formulas, bool_or(contains(text, '\\numberwithin{{equation}}{{chapter}}') OR contains(text, '\\thechapter-\\arabic{{equation}}')) AS numbered FROM files WHERE {among(gate.LATEX)} GROUP BY project),
-extracted AS (SELECT doc_id % 20 AS project, count(*) FILTER (doc_id % 13 = 0) AS extracted FROM documents GROUP BY ALL),
+extracted AS (SELECT doc_id % 20 AS project, count(*) FILTER (doc_id % 6 = 0) AS extracted FROM documents GROUP BY ALL),
 findings AS (
  SELECT project, rule_ordinal, severity, "check", count(DISTINCT rel_path) AS n, list_sort(list(DISTINCT rel_path)) AS paths FROM broken GROUP BY project, rule_ordinal, severity, "check", own
  UNION ALL SELECT project, 2, 'error', 'structure', 1, ['main.tex'] FROM structure WHERE NOT main
@@ -188,14 +189,14 @@ tex AS (SELECT *, nullif(regexp_extract(text, {q(template.CLASS)}, 1), '') AS do
  len(regexp_extract_all(text, {q(template.LABEL)}))::BIGINT AS label_count, {_main_score}::BIGINT AS score, {_begins} AS begins, {_inside(chr(92) + 'end{document}')} AS ends FROM files WHERE ends_with(rel_path, '.tex')),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY project ORDER BY score DESC, rel_path) AS rank FROM tex),
 usage AS (SELECT project, package, count(DISTINCT rel_path) AS n_files FROM (SELECT project, rel_path, unnest(packages) AS package FROM tex) GROUP BY ALL)"""
-_any = lambda p: f"bool_or({has('left(text, 80000)', p)})"
+_any = lambda p, loose=True: f"bool_or({has('text', p, loose)})"
 _joined = lambda x: f"array_to_string(coalesce({x}, {_empty}), '|')"
 _listed = lambda c: f"list_sort(coalesce(list(DISTINCT rel_path) FILTER ({c}), {_empty}))"
 _all = lambda c: f"list_sort(list_distinct(flatten(list({c}))))"
 _offers = lambda prefix, names: "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {prefix}_{k} THEN {q(k)} END" for k in names) + "], lambda z: z IS NOT NULL), '|')"
 _auxiliary = " OR ".join(f"ends_with(lower(rel_path), {q(s)})" for s in template.AUXILIARY)
 PROFILES = f"""{TEX},
-own AS (SELECT project, {_all('packages')} AS packages, {_all('inputs')} AS inputs, {_all('bibliography_files')} AS bibliography_files, {_any(r'\\addbibresource|\\printbibliography')} AS added, {_any(r'\\bibliography')} AS plain, {_any(template.DRIVE)} AS drive,
+own AS (SELECT project, {_all('packages')} AS packages, {_all('inputs')} AS inputs, {_all('bibliography_files')} AS bibliography_files, {_any(r'\\addbibresource|\\printbibliography', False)} AS added, {_any(r'\\bibliography', False)} AS plain, {_any(template.DRIVE)} AS drive,
  {', '.join(f'{_any(p)} AS m_{k}' for k, p in template.METADATA.items())}, {', '.join(f'{_any(p)} AS p_{k}' for k, p in template.POINTS.items())}, count(*) FILTER (score >= 15) AS likely FROM tex GROUP BY project),
 other AS (SELECT project, {_listed(among(template.STYLES))} AS style_files, {_listed(among(template.ASSETS))} AS assets, {_listed(_auxiliary)} AS auxiliary_files FROM files GROUP BY project),
 twice AS (SELECT project, list_sort(list(package)) AS duplicate_packages FROM usage WHERE n_files > 1 GROUP BY project),
@@ -274,17 +275,38 @@ ORACLES: dict[str, str] = {
     "compile_status": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'Not run' WHEN 1 THEN 'Environment blocker' WHEN 2 THEN 'True' WHEN 3 THEN 'False' ELSE 'partial' END AS status, CASE WHEN doc_id % 5 = 1 THEN '- no engine' ELSE '- None recorded' END AS notes FROM documents",
 }
 
+# Packages: written out here by the rule of the overlay, not by its code
+
+_KIND = "['strict', 'unknown', 'no_body', 'not_a_zip', 'no_document', 'transitional', 'other_suffix'][doc_id % 7 + 1]"
+_PARTS = f"""parts AS (SELECT doc_id, {_KIND} AS kind, 'p' || doc_id || CASE WHEN doc_id % 7 = 6 THEN '.txt' ELSE '.docx' END AS path, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)"""
+_W = "CASE kind WHEN 'strict' THEN 'http://purl.oclc.org/ooxml/wordprocessingml/main' WHEN 'unknown' THEN 'http://example.org/own' ELSE 'http://schemas.openxmlformats.org/wordprocessingml/2006/main' END"
+_M = "CASE kind WHEN 'strict' THEN 'http://purl.oclc.org/ooxml/officeDocument/math' ELSE 'http://schemas.openxmlformats.org/officeDocument/2006/math' END"
+_OPENED = "kind IN ('strict', 'unknown', 'no_body', 'transitional')"
+_READ = "kind IN ('strict', 'unknown', 'transitional')"
+_CELLS = "len(string_split(x[1], ' ')) + CASE WHEN len(x) > 1 THEN len(string_split(x[2], ' ')) ELSE 0 END"
+ORACLES["package_profile"] = f"""WITH {_PARTS} SELECT path AS doc_id, CASE kind WHEN 'strict' THEN 'strict' WHEN 'unknown' THEN 'unknown' WHEN 'no_body' THEN 'transitional' WHEN 'transitional' THEN 'transitional' END AS flavor,
+ CASE WHEN {_OPENED} THEN {_W} END AS namespace, CASE WHEN {_OPENED} THEN array_to_string(list_sort(CASE WHEN len(x) > 2 THEN [{_W}, {_M}] ELSE [{_W}] END), '|') ELSE '' END AS namespaces, {_READ} AS has_body, {_READ} AS valid, NOT {_READ} AS failed,
+ {_OPENED} AND regexp_matches(array_to_string(x, ' '), '[一-鿿]') AS has_chinese, {_OPENED} AND len(x) > 3 AS has_images, {_OPENED} AS has_tables, {_OPENED} AND len(x) > 2 AS has_formulas,
+ CASE WHEN {_OPENED} THEN len(x) + {_CELLS} END::BIGINT AS paragraph_count_estimate, CASE WHEN {_OPENED} THEN (len(x) + 2) // 6 ELSE 0 END::BIGINT AS n_relationships FROM parts"""
+ORACLES["package_elements"] = f"""WITH {_PARTS}, p AS (SELECT *, unnest(range(len(x))) AS i FROM parts WHERE {_READ})
+SELECT path AS doc_id, i AS body_pos, 'p' AS kind, CASE WHEN i % 5 = 0 THEN 'Heading1' END AS style, {strip("x[i + 1] || chr(9) || CASE WHEN i % 11 = 2 THEN 'x=1' ELSE '' END")} AS raw_text, i % 7 = 1 AS list_hint, i % 11 = 2 AS has_math, CASE WHEN i % 6 = 3 THEN 'rId' || i ELSE '' END AS rel_ids, NULL AS "rows" FROM p
+UNION ALL SELECT path, len(x), 'tbl', NULL, NULL, false, false, '', replace(x[1], ' ', '|') || CASE WHEN len(x) > 1 THEN chr(10) || replace(x[2], ' ', '|') ELSE '' END FROM parts WHERE {_READ}"""
+ORACLES["package_relationships"] = f"""WITH {_PARTS}, p AS (SELECT *, unnest(range(len(x))) AS i FROM parts WHERE {_OPENED}) SELECT path AS doc_id, 'rId' || i AS rel_id, 'media/image' || i || '.png' AS target FROM p WHERE i % 6 = 3"""
+ORACLES["package_media"] = f"""WITH {_PARTS}, p AS (SELECT *, unnest(range(len(x))) AS i FROM parts WHERE kind <> 'not_a_zip') SELECT path AS doc_id, 'word/media/image' || i || '.png' AS member, sha256(unhex(repeat(lpad(hex(i % 256), 2, '0'), 10))) AS sha256 FROM p WHERE i % 6 = 3"""
+ORACLES["png_sizes"] = "SELECT doc_id, CASE WHEN doc_id % 5 > 1 THEN doc_id + 1 END AS width, CASE WHEN doc_id % 5 > 1 THEN length(text)::BIGINT END AS height FROM documents"
+ORACLES["decoded_texts"] = "SELECT doc_id, text || repeat(chr(65533), 2) || 'é' AS lenient, chr(65279) || text || 'é' AS ignoring FROM documents"
+
 # Reports
 
 _N = ["paragraphs", "headings", "heading_candidates", "tables", "citation_paragraphs", "bibliography_headings", "images", "captionless_images", "table_notes", "equations", "mojibake", "repairable", "risky", "text_issues"]
-_lines = " || chr(10) || ".join(f"'- {c}: ' || {'0' if c == 'repairable' else c}" for c in _N)
+_lines = " || chr(10) || ".join(f"'- {c}: ' || {c}" for c in _N)
 _section = lambda title, body, note="- none found": f"'## {title}' || repeat(chr(10), 2) || coalesce({body}, '{note}')"
 _per = lambda name, line, source, where, order="body_pos": f"{name} AS (SELECT doc_id, string_agg({line}, chr(10) ORDER BY {order}) AS {name} FROM {source} WHERE {where} GROUP BY doc_id)"
 _image = "'- ' || id || ': ' || coalesce(nearby_caption, '(no caption nearby)')"
 _captioned = "'- ' || id || ': ' || coalesce(caption, '(no caption)')"
 ORACLES["ir_summary"] = f"""WITH {PROFILE},
 {_per('structure', "'- ' || id || ' ' || role || CASE WHEN level IS NOT NULL THEN ' level ' || level ELSE '' END || ': ' || left(text, 120)", 'identified', "role IN ('heading', 'heading_candidate', 'abstract', 'keywords', 'bibliography_heading')")},
-{_per('tabs', _captioned, 'captions', 'true')}, {_per('figures', _image, 'images', 'true', 'para_pos')}, {_per('damage', "'- ' || issue_type || ': ' || left(sample, 100)", 'issues', 'true', 'body_pos, issue_type')}
+{_per('tabs', _captioned, 'captions', 'true')}, {_per('figures', _image, 'images', 'true', 'para_pos')}, {_per('damage', "'- ' || issue_type || ': ' || left(sample, 100) || coalesce('; could read: ' || left(repaired_sample, 80), '')", 'issues', 'true', 'body_pos, issue_type')}
 SELECT doc_id, '# Extraction summary' || repeat(chr(10), 2) || {_lines} || repeat(chr(10), 2) || {_section('Structure', 'structure')} || repeat(chr(10), 2) || {_section('Tables', 'tabs')} || repeat(chr(10), 2) || {_section('Images', 'figures')}
  || repeat(chr(10), 2) || {_section('Text issues', 'damage')} || repeat(chr(10), 2) || {_section('Defects', "nullif(array_to_string(list_transform(" + defects("'transitional'") + ", lambda z: '- ' || z), chr(10)), '')")} || chr(10) AS text
 FROM profile LEFT JOIN structure USING (doc_id) LEFT JOIN tabs USING (doc_id) LEFT JOIN figures USING (doc_id) LEFT JOIN damage USING (doc_id)"""

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.operators import elements as E
+from folioscope.sources.docx import DOCUMENT, FAMILIES, RELATIONSHIPS
 
 IDEOGRAPHIC_SPACE = "\u3000"
-DAMAGED = "瀹為"
+#: Damage that no reading repairs, and damage that reads as the other text.
+DAMAGED, REPAIRABLE, REPAIRED = "瀹為", "瀹為獙缁撴灉", "实验结果"
 FILE_DAMAGE = "锛鐨鑸垫浠妯绯璇鎺鍥琛寮"
 
 
@@ -19,10 +27,10 @@ def _quoted(text: str) -> str:
 # (k, kind, style, text in SQL of both engines; l is the line)
 ELEMENTS = [
     (0, "p", "Heading1", "l"),
-    (1, "p", None, "concat('1.2 ', left(l, 40))"),
-    (2, "p", None, "concat('图 1-2 ', left(l, 40))"),
-    (3, "p", None, "concat('Table 3: ', left(l, 40))"),
-    (4, "tbl", None, "left(l, 40)"),
+    (1, "p", None, "concat('1.2 ', l)"),
+    (2, "p", None, "concat('图 1-2 ', l)"),
+    (3, "p", None, "concat('Table 3: ', l)"),
+    (4, "tbl", None, "l"),
     (5, "p", None, "concat(l, ' [1] and [2-4, 6]')"),
     (6, "p", None, "concat('Abstract: ', l)"),
     (7, "p", None, "concat('关键词：', l)"),
@@ -30,8 +38,9 @@ ELEMENTS = [
     (9, "p", None, f"concat(l, '{DAMAGED}')"),
     (10, "p", None, "concat(l, '胃')"),
     (11, "p", "heading 2", "l"),
-    (12, "p", None, f"concat('{IDEOGRAPHIC_SPACE}', '图 7 ', left(l, 40))"),
+    (12, "p", None, f"concat('{IDEOGRAPHIC_SPACE}', '图 7 ', l)"),
     (13, "p", None, "'[3]'"),
+    (14, "p", None, f"concat(l, '{REPAIRABLE}')"),
 ]
 
 
@@ -117,10 +126,10 @@ files AS (SELECT doc_id % 20 AS project, rel_path, (doc_id * 37) % 3000 AS size_
 # Guide texts by doc_id % 6; b as above.
 GUIDES = [
     "'Use A4 paper, margins of 2.5 cm on all sides. Font: Times New Roman 12 pt, double spacing. IEEE style. Compile with xelatex. Figure captions go below; table captions above. ', b",
-    "'页边距 2.54 厘米，字体：宋体，小四，1.5倍行距，参考文献采用GB/T 7714，学位论文，图题位于下方，表题在上方，章节编号。本文要求双栏排版并且使用规定的字号与格式完成全部内容'",
+    "'页边距 2.54 厘米，字体：宋体，小四，1.5倍行距，参考文献采用GB/T 7714，学位论文，图题位于下方，表题在上方，章节编号。本文要求双栏排版并且使用规定的字号与格式完成全部内容', b",
     "'Left margin 3 cm, right 2 cm; top 25 mm. two-column article, APA or author-year; biblatex with biber. Arial or Calibri. ', b",
     "'thesis report; numbered headings; 11pt; single spacing; Letter. pdflatex; natbib. 黑体 四号 ', b",
-    "'A3纸 双栏 毕业设计 不编号 顺序编码制 上下左右 3 厘米'",
+    "'A3纸 双栏 毕业设计 不编号 顺序编码制 上下左右 3 厘米', b",
     "b",
 ]
 GUIDES_CASE = "CASE doc_id % 6 " + " ".join(f"WHEN {i} THEN concat({x})" for i, x in enumerate(GUIDES)) + " END"
@@ -131,3 +140,49 @@ def guides(documents: DataFrame) -> DataFrame:
 
 
 GUIDES_SQL = f"guides AS (SELECT doc_id, {GUIDES_CASE} AS text FROM (SELECT doc_id, coalesce(text, '') AS b FROM documents))"
+
+
+# Packages: a document is a package whose kind is doc_id % 7; its lines are paragraphs, and one table holds the words of the first two.
+PACKAGE_KINDS = ("strict", "unknown", "no_body", "not_a_zip", "no_document", "transitional", "other_suffix")
+OWN_SPACE = "http://example.org/own"
+
+
+def package(doc_id: int, text: str) -> bytes:
+    """The bytes of a package."""
+    kind = PACKAGE_KINDS[doc_id % 7]
+    if kind == "not_a_zip":
+        return text.encode()
+    spaces = FAMILIES["strict" if kind == "strict" else "transitional"] | ({"w": OWN_SPACE} if kind == "unknown" else {})
+    lines = text.split("\n")
+    paragraphs = []
+    for i, line in enumerate(lines):
+        properties = ('<w:pStyle w:val="Heading1"/>' if i % 5 == 0 else "") + ("<w:numPr/>" if i % 7 == 1 else "")
+        math = "<m:oMath><m:r><m:t>x=1</m:t></m:r></m:oMath>" if i % 11 == 2 else ""
+        image = f'<w:drawing><w:blip r:embed="rId{i}"/></w:drawing>' if i % 6 == 3 else ""
+        paragraphs.append(f"<w:p><w:pPr>{properties}</w:pPr><w:r><w:t>{escape(line)}</w:t><w:tab/>{image}</w:r>{math}</w:p>")
+    rows = "".join("<w:tr>" + "".join(f"<w:tc><w:p><w:r><w:t>{escape(w)}</w:t></w:r></w:p></w:tc>" for w in line.split(" ")) + "</w:tr>" for line in lines[:2])
+    name = "notes" if kind == "no_body" else "body"
+    declared = " ".join(f'xmlns:{k}="{v}"' for k, v in spaces.items())
+    document = f'<?xml version="1.0" encoding="UTF-8"?><w:document {declared}><w:{name}>{"".join(paragraphs)}<w:tbl>{rows}</w:tbl></w:{name}></w:document>'
+    related = "".join(f'<Relationship Id="rId{i}" Target="media/image{i}.png"/>' for i in range(len(lines)) if i % 6 == 3)
+    sink = io.BytesIO()
+    with zipfile.ZipFile(sink, "w") as archive:
+        if kind != "no_document":
+            archive.writestr(DOCUMENT, document)
+        archive.writestr(RELATIONSHIPS, f"<Relationships>{related}</Relationships>")
+        for i in range(len(lines)):
+            if i % 6 == 3:
+                archive.writestr(f"word/media/image{i}.png", bytes([i % 256]) * 10)
+    return sink.getvalue()
+
+
+def packages(documents: DataFrame) -> DataFrame:
+    """(path, content): a package for each document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                suffix = "txt" if PACKAGE_KINDS[doc_id % 7] == "other_suffix" else "docx"
+                yield pd.DataFrame({"path": [f"p{doc_id}.{suffix}"], "content": [package(doc_id, text or "")]})
+
+    return documents.select("doc_id", "text").mapInPandas(run, "path string, content binary")

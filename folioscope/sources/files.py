@@ -31,17 +31,17 @@ def png_size(content: Column) -> tuple[Column, Column]:
     return number(33), number(41)
 
 
-def tree(spark: SparkSession, root: str, text_suffixes: tuple[str, ...], pattern: str | None = None) -> DataFrame:
+def tree(spark: SparkSession, root: str, text_suffixes: tuple[str, ...], pattern: str | None = None, decode=lenient) -> DataFrame:  # noqa: ANN001
     """All files below ``root``, whose folders are projects: project, rel_path, size_bytes, sha256, width, height, text.
 
-    Text is decoded for the given suffixes only; other content never reaches Python.
+    Text is decoded for the given suffixes only, by :func:`lenient` or :func:`ignoring`; other content never reaches Python.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     raw = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(root)
     inside = F.regexp_replace("path", r"^[^:]*:/*" + _quoted(root), "")
     raw = raw.withColumn("inside", inside).withColumn("project", F.substring_index("inside", "/", 1)).withColumn("rel_path", F.expr("substring(inside, length(project) + 2)"))
     width, height = png_size(F.col("content"))
-    text = lenient(F.when(paths.one_of(F.col("rel_path"), text_suffixes), F.col("content")))
+    text = decode(F.when(paths.one_of(F.col("rel_path"), text_suffixes), F.col("content")))
     return raw.select("project", "rel_path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), width.alias("width"), height.alias("height"), text.alias("text"))
 
 
@@ -51,6 +51,12 @@ def _quoted(root: str) -> str:
     return re.escape(re.sub(r"^[^:/]*:/*|^/+", "", root).rstrip("/")) + "/"
 
 
+def texts(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, text) of each file, without bytes that aren't UTF-8."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return raw.select(F.col("path").alias("doc_id"), ignoring(F.col("content")).alias("text"))
+
+
 def artifacts(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON artifacts, one per file; a file that doesn't parse gives nulls and its text in ``_corrupt``."""
     return spark.read.schema(f"{schema}, _corrupt string").option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)

@@ -37,3 +37,14 @@ def test_entry_survives_without_the_optional_subpackage(tmp_path):
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries(), len(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True, check=True)
     n, pipeline, m = out.stdout.split()
     assert int(n) == len(catalog.QUERIES) and pipeline == "False" and int(m) == len(oracles.ORACLES)
+
+
+def test_queries_show_what_they_are_for(spark):
+    """Rules and counts that inputs could leave out unseen."""
+    sf = "/root/testdata/sf0.01"
+    assert {r[0] for r in catalog.gate_findings(spark, sf).select("rule_ordinal").distinct().collect()} == set(range(1, 23))
+    counts = catalog.doc_ir_counts(spark, sf).groupBy().sum("mojibake", "repairable", "risky", "captionless_images").first()
+    assert all(counts) and counts["sum(repairable)"] < counts["sum(mojibake)"]
+    assert {r["flavor"] for r in catalog.package_profile(spark, sf).select("flavor").distinct().collect()} == {"strict", "unknown", "transitional", None}
+    roles = {r["role"] for r in catalog.doc_roles(spark, sf).select("role").distinct().collect()}
+    assert roles == {"heading", "heading_candidate", "abstract", "keywords", "bibliography_heading", "figure_caption", "table_caption", "citation_fragment", "body", None}

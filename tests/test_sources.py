@@ -75,7 +75,7 @@ def test_semantic_record(spark, folder):
     counts = ir.counts.first()
     assert (counts["paragraphs"], counts["tables"], counts["images"], counts["equations"], counts["n_defects"]) == (5, 2, 1, 1, 3)
     assert "## Tables" in ir.summary().first()["text"] and "img0001" in ir.brief().first()["text"] and ir.nested().count() == 1
-    own = docx.assets(ir.images, docx.media(spark, str(folder / "good.docx"))).first()
+    own = docx.assets(ir.images, docx.media(docx._files(spark, str(folder / "good.docx")))).first()
     assert own["exported_path"] == "images/img0001.png" and bytes(own["content"]) == b"png"
 
 
