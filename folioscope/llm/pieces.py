@@ -10,8 +10,11 @@ Texts of up to ``GIANT`` characters are encoded in one piece of work, each
 distinct word once. Longer ones are cut into chunks of ``CHUNK`` characters at
 any place. A state of a boundary is a piece that starts before it and ends at or
 after it. Each chunk yields, on its own, the matrix from the states of its left to those
-of its right boundary; the matrices of a text are combined by an associative
-scan; then each chunk traces its own part of the path back. Inside a chunk,
+of its right boundary. The matrices of a text are combined in a tree: a task multiplies
+``FAN`` neighbours at a time, level by level, until a text has no more than that; there
+the best states at the boundaries are chosen, and each level below chooses those inside
+of its groups, by a scan in both directions. Then each chunk traces its own part of the
+path back. So no task gets all chunks of a text, however long it is. Inside a chunk,
 places between two characters that stand side by side in no piece part the lattice, and
 what lies between two such places is encoded by the merges themselves.
 
@@ -23,6 +26,7 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import zlib
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from folioscope.llm import words
 from folioscope.llm.shared import new_folder, project, slices, small_batches, stored, tidy
 
-GIANT, CHUNK = 40_000, 8_192
+GIANT, CHUNK, FAN = 40_000, 8_192, 64
 SPACE = "▁"
 #: Stand for a line end, and for a word without a space before it; texts that hold them are encoded whole.
 LINE, BARE = "\x01", "\x02"
@@ -283,11 +287,53 @@ def scan(matrices: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def route(matrices: list[np.ndarray]) -> list[int]:
-    """The state at each boundary on the best path from the first state to the last."""
-    before = scan([m if i else m[:1] for i, m in enumerate(matrices)])
-    after = [m.T for m in scan([m.T for m in reversed(matrices)])][::-1]
-    return [0, *[int(np.argmax(b[0] + after[i + 1].max(1))) for i, b in enumerate(before[:-1])], int(np.argmax(before[-1][0]))]
+def route(matrices: list[np.ndarray], source: int = 0, target: int | None = None) -> list[int]:
+    """The state at each boundary on the best path from a state of the first to one of the last, or to the best."""
+    before = scan([m if i else m[source : source + 1] for i, m in enumerate(matrices)])
+    own = [*matrices[:-1], matrices[-1] if target is None else matrices[-1][:, target : target + 1]]
+    after = [m.T for m in scan([m.T for m in reversed(own)])][::-1]
+    return [source, *[int(np.argmax(b[0] + after[i + 1].max(1))) for i, b in enumerate(before[:-1])], int(np.argmax(before[-1][0])) if target is None else target]
+
+
+def _packed(matrix: np.ndarray) -> bytes:
+    return zlib.compress(np.ascontiguousarray(matrix).tobytes())
+
+
+def _opened(rows: list[dict]) -> list[np.ndarray]:
+    return [np.frombuffer(zlib.decompress(r["matrix"]), np.float32).reshape(-1, r["width"]) for r in rows]
+
+
+def _product(table: pa.Table) -> pa.Table:
+    """The product of a group's matrices, as one of the level above."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["k"])
+    whole = functools.reduce(product, _opened(rows))
+    return pa.table({"uid": [rows[0]["uid"]], "k": [rows[0]["parent"]], "width": [whole.shape[1]], "matrix": [_packed(whole)]})
+
+
+def _ways(table: pa.Table) -> pa.Table:
+    """Source and target of each of a group's matrices, from those of the whole group; a null target is the best."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["k"])
+    way = route(_opened(rows), rows[0]["source"], rows[0]["target"])
+    return pa.table({"uid": [r["uid"] for r in rows], "k": [r["k"] for r in rows], "source": way[:-1], "target": way[1:]})
+
+
+def ways(matrices: DataFrame, most: int, folder: str, fan: int = FAN) -> DataFrame:
+    """(uid, k, source, target): the states that the best path of each text has at the ends of each chunk; matrices: uid, k, width, matrix, ``most`` of a text at most."""
+    levels = [matrices]
+    parent = F.floor(F.col("k") / fan).cast("long")
+    while most > fan:
+        up = levels[-1].withColumn("parent", parent).groupBy("uid", "parent").applyInArrow(_product, "uid long, k long, width long, matrix binary")
+        levels.append(stored(up, folder, f"level-{len(levels)}"))
+        most = -(-most // fan)
+    found = None
+    for level in reversed(range(len(levels))):
+        own = levels[level].withColumn("parent", parent)
+        if found is None:
+            own = own.withColumns({"source": F.lit(0).cast("long"), "target": F.lit(None).cast("long")})
+        else:
+            own = own.join(found.withColumnRenamed("k", "parent"), ["uid", "parent"])
+        found = stored(own.groupBy("uid", "parent").applyInArrow(_ways, "uid long, k long, source long, target long"), folder, f"ways-{level}")
+    return found
 
 
 def _cut(chunk: int, margin: int, kind: pa.DataType):  # noqa: ANN202
@@ -313,7 +359,7 @@ def _chunk(p: Pieces, row: dict, chunk: int) -> Chunk:
     return Chunk(p, row["part"], row["base"], left, min(left + chunk, row["n"]), row["n"])
 
 
-def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """doc_id, ids (array), ids_crc32 (of the ids as little-endian 32-bit numbers), n_chunks and round_trip (the ids decode to the text) of each document."""
     spark = documents.sparkSession
     small_batches(spark)
@@ -348,18 +394,14 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
             rows = batch.to_pylist()
             made = [_chunk(p, r, chunk).matrix() for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("k"), pa.array([m.shape[1] for m in made], pa.int64()), pa.array([zlib.compress(m.tobytes()) for m in made], pa.binary())],
+                [batch.column("uid"), batch.column("k"), pa.array([m.shape[1] for m in made], pa.int64()), pa.array([_packed(m) for m in made], pa.binary())],
                 names=["uid", "k", "width", "matrix"],
             )
 
     matrices = stored(chunks.repartition("uid", "k").mapInArrow(tidy(transfer), "uid long, k long, width long, matrix binary"), folder, "matrices")
 
-    def combine(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["k"])
-        way = route([np.frombuffer(zlib.decompress(r["matrix"]), np.float32).reshape(-1, r["width"]) for r in rows])
-        return pa.table({"uid": [r["uid"] for r in rows], "k": [r["k"] for r in rows], "source": way[:-1], "target": way[1:]})
-
-    ways = stored(matrices.groupBy("uid").applyInArrow(combine, "uid long, k long, source long, target long"), folder, "ways")
+    most = chunks.agg(F.max("k")).first()[0]
+    chosen = ways(matrices, 0 if most is None else most + 1, folder, fan)
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(path)
@@ -368,7 +410,7 @@ def encode(documents: DataFrame, path: str, giant: int = GIANT, chunk: int = CHU
             own = [np.array(_chunk(p, r, chunk).trace(r["source"], r["target"]), np.int32) for r in rows]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("uid", "doc_id", "crc", "k")], pa.array(own, pa.list_(pa.int32()))], names=["uid", "doc_id", "crc", "k", "ids"])
 
-    own = chunks.join(ways, ["uid", "k"]).select("uid", "doc_id", "crc", "k", "part", "base", "n", "source", "target")
+    own = chunks.join(chosen, ["uid", "k"]).select("uid", "doc_id", "crc", "k", "part", "base", "n", "source", "target")
     traced = stored(own.mapInArrow(tidy(trace), f"uid long, doc_id {kind}, crc long, k long, ids array<int>"), folder, "traced")
     whole = traced.groupBy("uid", "doc_id", "crc").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("x"))
     whole = whole.select("doc_id", F.flatten(F.col("x.ids")).alias("ids"), F.size("x").cast("long").alias("n_chunks"), "crc")

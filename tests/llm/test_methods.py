@@ -480,6 +480,26 @@ def test_giant_texts_on_the_cluster(spark, sf_dir):
     assert max(r["n_chunks"] for r in got.values()) > 5
 
 
+def test_tree_of_chunks_on_several_levels(spark):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("ab e\nthions.,  é日x0") for _ in range(n)) for n in (9000, 2500, 300, 1)]
+    p = pieces.Pieces(SP)
+    got = {r["doc_id"]: r for r in pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), SP, giant=200, chunk=100, fan=4).collect()}
+    assert [list(got[i]["ids"]) for i in range(4)] == [p.model.encode(t) for t in texts]
+    assert [got[i]["n_chunks"] for i in range(4)] == [91, 26, 4, 1] and all(r["round_trip"] for r in got.values())
+
+
+@given(st.lists(st.integers(1, 4), min_size=3, max_size=7), st.randoms())
+@settings(deadline=None)
+def test_route_is_best_between_any_ends(sizes, rnd):
+    own = [np.array([[-rnd.random() for _ in range(b)] for _ in range(a)]) for a, b in zip(sizes, sizes[1:], strict=False)]  # one path is best, as in a text
+    weight = lambda way: sum(m[a, b] for m, a, b in zip(own, way, way[1:], strict=False))
+    source, target = rnd.randrange(sizes[0]), rnd.choice([None, rnd.randrange(sizes[-1])])
+    way = pieces.route(own, source, target)
+    every = [w for w in itertools.product(*map(range, sizes)) if w[0] == source and target in (None, w[-1])]
+    assert way[0] == source and target in (None, way[-1]) and abs(weight(way) - max(map(weight, every))) < 1e-9
+
+
 @given(st.lists(st.integers(1, 4), min_size=2, max_size=7), st.randoms())
 @settings(deadline=None)
 def test_scan_is_the_product_of_prefixes(sizes, rnd):
