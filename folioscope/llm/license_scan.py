@@ -2,8 +2,8 @@
 
 Words are runs of ASCII letters and digits and of non-ASCII characters, in lower
 case. A template's fingerprints are the least hashes of K-word shingles in each
-window of W; their inverted index goes to the workers (the templates are a list
-in the code or the driver, bounded by ``BROADCAST_BYTES``). Every document is
+window of W. The templates, a list in the code or the driver, are written to a file of the shared folder, and
+each worker holds their inverted index. Every document is
 fingerprinted alike, so a run of K + W - 1 words shared with a template gives a
 common fingerprint; a template with fewer shingles than a window keeps its least one.
 
@@ -21,7 +21,10 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
+import json
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -31,13 +34,12 @@ from pyspark.sql import DataFrame
 
 from folioscope.llm import words
 from folioscope.llm.license_texts import TEMPLATES
-from folioscope.llm.shared import project, slices, small_batches, tidy
+from folioscope.llm.shared import file_system, new_folder, project, publish, slices, small_batches, tidy
 
 K, W, COVERAGE = 3, 3, 0.8
 MATCH, OTHER, GAP = 2, -1, -1
 #: Words whose ends are aligned at a time; an alignment of positive score has less than 3 words to each of its template's.
 BLOCK, REACH = 1 << 13, 3
-BROADCAST_BYTES = 16 << 20
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
@@ -110,15 +112,17 @@ class Index:
         if (2 * size + n) * unit >> 62:
             raise ValueError("this template is too long to align")
         rows, local = self.rows[t]
-        step = np.full((int(rows.max()) + 1, n), OTHER * unit)
-        place = np.flatnonzero(local[text] >= 0)
-        step[local[text[place]], place] = MATCH * unit + one
+        place = np.argsort(local[text], kind="stable")  # places of each word of the template in the text
+        cuts = np.searchsorted(local[text][place], np.arange(int(rows.max()) + 2))
+        gain = (MATCH - OTHER) * unit + one
         empty = np.arange(n + 1)
         ramp = empty * -GAP * unit
         state, best = empty.copy(), np.zeros(n, np.int64)
         for r in rows.tolist():
             up = state + GAP * unit
-            np.maximum(up[1:], state[:-1] + step[r], out=up[1:])
+            step = state[:-1] + OTHER * unit
+            step[place[cuts[r] : cuts[r + 1]]] += gain
+            np.maximum(up[1:], step, out=up[1:])
             up += ramp
             np.maximum.accumulate(up, out=up)
             up -= ramp
@@ -166,18 +170,27 @@ def _runs(free: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
 
 
+@functools.lru_cache(1)
+def opened(path: str) -> tuple[list[str], Index]:
+    """Names and index of the templates in a file; a worker keeps them for its next tasks."""
+    fs, own = file_system(path)
+    with fs.open_input_stream(own) as source:
+        templates = json.loads(zlib.decompress(source.read()))
+    return list(templates), Index(list(templates.values()))
+
+
 def scan(documents: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, license, coverage, matched_words, start_word, end_word, start_char and end_char (ends are exclusive) of each match."""
     templates = TEMPLATES if templates is None else templates
-    if sum(map(len, templates.values())) > BROADCAST_BYTES:
-        raise ValueError("these templates are too large to broadcast; scan them in parts and unite the results")
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(templates)
+    folder, data = new_folder(spark, "licenses"), zlib.compress(json.dumps(templates).encode())
+    publish(folder, "templates", lambda sink: sink.write(data))
+    path = f"{folder}/templates"
     documents = project(documents, "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, index = list(shared.value), Index(list(shared.value.values()))
+        names, index = opened(path)
         for whole in batches:
             for batch in slices(whole, "text"):
                 yield _matches(batch, index, names, coverage)

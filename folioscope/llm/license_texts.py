@@ -1,4 +1,10 @@
-"""Texts of common licences and notices (fixed values), by SPDX identifier and form."""
+"""Texts of common licences and notices (fixed values), by SPDX identifier and form.
+
+Short ones stand here; whole licences are the files of ``licenses``, named by their identifier. Others are
+given to the scan by its caller.
+"""
+
+from pathlib import Path
 
 _MIT_GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
@@ -50,3 +56,5 @@ TEMPLATES = {
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "All rights reserved": "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means, without the prior written permission of the publisher.",
 }
+
+TEMPLATES |= {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}

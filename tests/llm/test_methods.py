@@ -719,14 +719,17 @@ def full_alignment(template, text):
     return best[1]
 
 
+SHORT = {k: v for k, v in TEMPLATES.items() if len(v) < 3000}
+
+
 def test_scan_matches_full_alignment(spark):
     rnd = random.Random(4)
     rows, planted = [], {}
     for i in range(40):
         text = spoken(60, 300, rnd).split()
         if i % 2:
-            name = rnd.choice(list(TEMPLATES))
-            own = TEMPLATES[name].split()
+            name = rnd.choice(list(SHORT))
+            own = SHORT[name].split()
             for _ in range(len(own) // 25):
                 own[rnd.randrange(len(own))] = "changed"
             if len(own) > 30:
@@ -735,16 +738,16 @@ def test_scan_matches_full_alignment(spark):
             planted[i] = name
         rows.append((i, " ".join(text)))
     found = {}
-    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), SHORT).collect():
         found.setdefault(r["doc_id"], []).append(r)
     assert set(found) == set(planted)
-    index = license_scan.Index(list(TEMPLATES.values()))
+    index = license_scan.Index(list(SHORT.values()))
     for i, text in rows:
         if i not in found:
             assert max(full_alignment(t, index.terms(text)) / len(t) for t in index.words) < license_scan.COVERAGE
             continue
         best = max(found[i], key=lambda r: r["matched_words"])
-        t = list(TEMPLATES).index(best["license"])
+        t = list(SHORT).index(best["license"])
         assert best["matched_words"] == full_alignment(index.words[t], index.terms(text))
         top = max(full_alignment(x, index.terms(text)) for x in index.words if full_alignment(x, index.terms(text)) / len(x) >= license_scan.COVERAGE)
         assert best["matched_words"] == top
@@ -752,6 +755,34 @@ def test_scan_matches_full_alignment(spark):
         assert len(index.terms(span)) == best["end_word"] - best["start_word"]
 
 
+def test_whole_licenses_in_other_layouts(spark):
+    rnd = random.Random(17)
+    names = ["Apache-2.0", "GPL-2.0", "MPL-2.0", "CC0-1.0", "BSL-1.0"]
+    rows = []
+    for i, name in enumerate(names):
+        own = TEMPLATES[name].split()
+        flowed = "\n".join("// " + " ".join(own[k : k + 7]) for k in range(0, len(own), 7))  # wrapped in comments
+        part = " ".join(own[: int(len(own) * 0.9)])  # the last tenth is missing
+        paged = "\n\n".join(" ".join(own[k : k + 300]) + f" page {k // 300} of the licence file" for k in range(0, len(own), 300))
+        rows += [(10 * i + j, f"{spoken(40, 300, rnd)}\n{t}\n{spoken(40, 300, rnd)}") for j, t in enumerate((flowed, part, paged, " ".join(own[: len(own) // 2])))]
+    found = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    for i, name in enumerate(names):
+        size = len(license_scan.Index.terms(TEMPLATES[name]))
+        for j, least in enumerate((size, int(size * 0.88), size)):
+            best = max(found[10 * i + j], key=lambda r: r["matched_words"])
+            assert best["license"] == name and best["matched_words"] >= least - 1, (name, j)
+        assert all(r["license"] != name for r in found.get(10 * i + 3, []))
+
+
+def test_templates_are_held_once_by_file(spark):
+    many = {f"t{i}": " ".join(f"u{i}x{k}" for k in range(12)) for i in range(3000)}
+    docs = spark.createDataFrame([(1, f"a b {many['t7']} c {many['t2999']}"), (2, "nothing here")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["license"], r["coverage"]) for r in license_scan.scan(docs, many).collect()) == [(1, "t2999", 1.0), (1, "t7", 1.0)]
+    assert license_scan.scan(docs, {}).count() == 0
+
+
 def test_each_of_repeated_notices_gives_a_row(spark):
     short = ["MIT notice", "Apache-2.0 notice", "CC-BY-SA-4.0 notice", "CC-BY-NC-4.0 notice"]
     rows = [(i, "\n".join([TEMPLATES[name]] * 7)) for i, name in enumerate(short)]
