@@ -187,8 +187,10 @@ def _runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[dict[str,
         yield dict(zip(names, zip(*held, strict=True), strict=True))
 
 
-def _partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, those j of other components that survive with it), each pair of a run once. side 2: one block with itself, else 0 against 1."""
+def _partners(sig: np.ndarray, keys: np.ndarray, run: dict[str, list]) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, those j of other components that survive with it), each pair of a run once, and only in the first band that it shares. side 2: one block with itself, else 0 against 1."""
+    comp, side = np.array(run["comp"]), np.array(run["side"])
+    band = int((keys[0] == run["key"][0]).argmax())
     own, other = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     same = not (side != 2).any()
     for i in own.tolist():
@@ -196,6 +198,8 @@ def _partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray) -> Iterator[t
         j = j[comp[j] != comp[i]]
         if len(j):
             j = j[agree(np.broadcast_to(sig[i], (len(j), N_HASHES)), sig[j])]
+        if len(j):
+            j = j[(keys[j] == keys[i]).argmax(1) == band]
         if len(j):
             yield i, j
 
@@ -208,19 +212,17 @@ def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """The rows of each run that survive with another."""
     for run in _runs(batches, 3):
         stay = np.zeros(len(run["node"]), bool)
-        for i, j in _partners(np.frombuffer(b"".join(run["sig"]), np.uint8).reshape(-1, N_HASHES), np.array(run["comp"]), np.array(run["side"])):
+        for i, j in _partners(np.frombuffer(b"".join(run["sig"]), np.uint8).reshape(-1, N_HASHES), np.array(run["keys"], np.int64), run):
             stay[i] = stay[j] = True
         at = np.flatnonzero(stay)
         yield pa.RecordBatch.from_arrays([pa.array(np.array(run[c], np.int64)[at]) for c in CLOSE], names=CLOSE)
 
 
 def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Verified links of each run that join its components, on full sets; a pair counts in its first common band only."""
+    """Verified links of each run that join its components, on full sets."""
     for run in _runs(batches, 5):
         own = [np.frombuffer(x, np.uint64) for x in run["set"]]
-        least, node, key = minima(own), run["node"], run["key"][0]
-        keys = band_keys(least)
-        band = int((keys[0] == key).argmax())
+        least, node = minima(own), run["node"]
         root: dict[int, int] = {c: c for c in run["comp"]}
 
         def find(c: int) -> int:
@@ -229,8 +231,7 @@ def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return c
 
         links = []
-        for i, j in _partners(signature(least), np.array(run["comp"]), np.array(run["side"])):
-            j = j[(keys[j] == keys[i]).argmax(1) == band]
+        for i, j in _partners(signature(least), band_keys(least), run):
             j = np.array([x for x in j.tolist() if find(run["comp"][x]) != find(run["comp"][i])], np.int64)
             if not len(j):
                 continue
@@ -286,7 +287,7 @@ def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docum
     partners = F.sequence(F.lit(0).cast("long"), F.col("r") + F.when(F.col("in"), 0).otherwise(F.col("l")) - 1)
     rest = rest.select("key", "node", "comp", F.explode(F.transform(partners, lambda o: _pair(F.col("at"), o))).alias("p")).select("key", "p.i", "p.j", "p.side", "node", "comp")
     arranged = lambda d, *by: d.repartition(*by).sortWithinPartitions(*by, "side", "node")
-    rest = stored(rest, folder, "rest").join(classes.select("node", "sig", F.col("n_shingles").alias("n")).hint("merge"), "node").select(*CLOSE, "sig")
+    rest = stored(rest, folder, "rest").join(classes.select("node", "sig", "keys", F.col("n_shingles").alias("n")).hint("merge"), "node").select(*CLOSE, "sig", "keys")
     kinds = ", ".join(f"{c} long" for c in CLOSE)
     close = stored(arranged(rest, "key", "i", "j").mapInArrow(tidy(_with_partner), kinds), folder, "close")
     full = full_sets(close.select("node").distinct(), classes, documents, folder, "rest")
