@@ -13,7 +13,6 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import squeeze
 from folioscope.operators import gate, lists, manifest, render, requirements, template
 from folioscope.plans import semantic_ir, stages
 from folioscope.sources import docx, files
@@ -68,7 +67,7 @@ def analyze(spark: SparkSession, a: argparse.Namespace) -> int:
 def require(spark: SparkSession, a: argparse.Namespace) -> int:
     """Formatting requirements of guide texts, from files or given inline."""
     guides = files.inline(spark, a.text) if a.text else files.texts(spark, a.path)
-    emit(guides.withColumn("compact", squeeze("text")).select("doc_id", *requirements.extract(F.col("text"), F.col("compact"))), a.output, a.pretty)
+    emit(requirements.extract(guides), a.output, a.pretty)
     return 0
 
 

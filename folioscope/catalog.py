@@ -303,8 +303,7 @@ def template_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def format_requirements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = overlay.guides(documents(spark, sf_dir)).withColumn("compact", X.squeeze("text"))
-    out = own.select("doc_id", *requirements.extract(F.col("text"), F.col("compact")))
+    out = requirements.extract(overlay.guides(documents(spark, sf_dir)))
     return out.select("doc_id", *[F.array_join(c, "|").alias(c) if t.startswith("array") else F.col(c) for c, t in out.dtypes if c != "doc_id"])
 
 

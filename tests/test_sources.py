@@ -157,9 +157,10 @@ def test_decoding_and_artifacts(spark, tmp_path):
 def test_lists_and_requirements(spark):
     raw = spark.createDataFrame([("[a, b; c]",), ('["x", "y"]',), ('"z"',), ("3",), ("",), (None,)], "r string")
     assert [r[0] for r in raw.select(lists.parse_list(F.col("r"))).collect()] == [["a", "b", "c"], ["x", "y"], ["z"], ["3"], [], []]
-    guide = spark.createDataFrame([("Margins: 2 cm. myxelatex",), ("",), (None,)], "t string")
-    got = guide.select(*requirements.extract(F.col("t"), F.col("t"))).collect()
-    assert got[0]["margin"] == "2 cm" and got[0]["compiler"] is None and got[1]["warnings"] == ["page", "bibliography_style", "compiler"]
+    guide = spark.createDataFrame([(1, "Margins: 2 cm. myxelatex"), (2, ""), (3, None), (4, "Letter, A4 paper. Font:\u3000 Arial, 12 pt,\n1.5 spacing")], "doc_id long, text string")
+    got = requirements.extract(guide).orderBy("doc_id").collect()
+    assert got[0]["margin"] == "2 cm" and got[0]["compiler"] is None and got[1]["warnings"] == got[2]["warnings"] == ["page", "bibliography_style", "compiler"]
+    assert (got[3]["page_size"], got[3]["main_font"], got[3]["font_size"], got[3]["line_spacing"], got[3]["warnings"]) == ("Letter", "Arial", "12 pt", "1.5 spacing", ["bibliography_style", "compiler"])
 
 
 def test_stages_skip_what_is_fresh(spark, tmp_path):
@@ -201,3 +202,17 @@ def test_stream(spark, tmp_path):
     ingest.start(ingest.roles(ingest.documents(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("doc_id", "body_pos").collect()
     assert [r["role"] for r in got] == ["heading_candidate", "figure_caption", "body"]
+
+
+def test_windows_of_a_stream_leave_out_what_is_too_late(spark, tmp_path):
+    schema = "ts timestamp, text string"
+    first = spark.createDataFrame([(1, "1.1 A\nx"), (2, "Figure 2 b"), (3, "late by hours")], "k long, text string")
+    at = lambda df, hours: df.selectExpr(f"timestamp_seconds(3600 * {hours}) AS ts", "text")
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in (at(first.filter("k < 3"), 10), at(first.filter("k = 2"), 30), at(first.filter("k = 3"), 10), at(first.filter("k = 2"), 50)):
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        counts = ingest.role_counts(spark.readStream.schema(schema).parquet(folder), "ts")
+        ingest.start(counts.selectExpr("window.start AS start", "role", "count"), out, str(tmp_path / "check")).awaitTermination()
+    got = spark.read.parquet(out).selectExpr("unix_timestamp(start) DIV 3600 AS hour", "role", "count").collect()
+    assert sorted(tuple(r) for r in got if r["hour"] == 10) == [(10, "body", 1), (10, "figure_caption", 1), (10, "heading_candidate", 1)]
+    assert sorted(tuple(r) for r in got if r["hour"] == 30) == [(30, "figure_caption", 1)]
