@@ -42,7 +42,7 @@ from folioscope.llm.shared import file_system, new_folder, project, publish, sli
 
 WINDOW = 10
 #: Windows of the benchmark, and segments of the index, that a worker holds at once.
-BLOCK_WINDOWS, SEGMENTS = 400_000, 8
+BLOCK_WINDOWS, SEGMENTS = 400_000, 4
 
 
 def _pack(values: np.ndarray) -> bytes:
