@@ -7,8 +7,9 @@ weighted encoding gives the score. Encoder, attention and output are learnt
 together from document labels alone, by gradient descent in the driver, on a
 sample of at most ``SAMPLE`` labelled documents taken in the order of a hash of
 doc_id, and of each at most ``BAG`` passages, spread evenly over the text; so the driver
-holds ``SAMPLE * BAG`` passages of 2 KB at most. Scoring streams over all documents
-and takes all passages of each.
+holds ``SAMPLE * BAG`` passages of 2 KB at most (131 MB). They come to it compressed, and
+learning reads them ``STEP`` passages at a time, so nothing else there grows with the texts.
+Scoring streams over all documents and takes all passages of each.
 
 Only rows whose crc32(doc_id as text) mod 4 is not 2 are learnt from, and only
 the text enters a score.
@@ -24,6 +25,7 @@ other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +43,8 @@ PASSAGE, SAMPLE, BAG, THRESHOLD = 128, 4000, 16, 0.7
 N_WORDS, N_SHAPES, N_RATIOS, WIDTH, GATE = 768, 256, 4, 16, 8
 N_FEATURES = N_WORDS + N_SHAPES
 EPOCHS, RATE, DECAY = 160, 0.03, 1e-4
+#: Passages whose features the driver holds as numbers at once.
+STEP = 1024
 #: Words whose features a worker remembers.
 REMEMBERED = 250_000
 
@@ -163,7 +167,7 @@ def learnable(doc_id: Column) -> Column:
 
 
 def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, most: int = BAG) -> list:
-    """(quality, packed bag) of at most ``limit`` labelled documents, ``most`` passages of each; the driver holds these."""
+    """(quality, bag) of at most ``limit`` labelled documents, ``most`` passages of each; the driver holds these. A bag: counts of features and, as half floats, ratios, two bytes each."""
     spark = documents.sparkSession
     known = project(labels, "doc_id", "quality").filter(F.col("quality").isin(0, 1) & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.join(documents.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()
@@ -179,17 +183,16 @@ def sample(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, most: i
                 out = []
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
                     picked = np.unique(np.linspace(a, b - 1, min(b - a, most)).astype(np.int64))
-                    bag = np.zeros((len(picked), N_FEATURES + N_RATIOS), np.float16)
+                    bag = np.zeros((len(picked), N_FEATURES + N_RATIOS), np.uint16)
                     for k, i in enumerate(picked.tolist()):
-                        part = own[codes[cuts[i] : cuts[i + 1]]].ravel()
-                        bag[k, :N_FEATURES] = np.bincount(part, minlength=N_FEATURES) / max(1, len(part) // 2)
-                    bag[:, N_FEATURES:] = ratios[picked]
-                    out.append(bag.tobytes())
+                        bag[k, :N_FEATURES] = np.bincount(own[codes[cuts[i] : cuts[i + 1]]].ravel(), minlength=N_FEATURES)
+                    bag[:, N_FEATURES:] = ratios[picked].astype(np.float16).view(np.uint16)
+                    out.append(zlib.compress(bag.tobytes(), 1))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("quality").cast(pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "quality", "bag"])
 
     texts = project(documents, "doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
     rows = texts.select("doc_id", "text", "quality").mapInArrow(tidy(run), "doc_id string, quality int, bag binary").collect()
-    return sorted(rows, key=lambda r: r["doc_id"])
+    return sorted(({"doc_id": r["doc_id"], "quality": r["quality"], "bag": zlib.decompress(r["bag"])} for r in rows), key=lambda r: r["doc_id"])
 
 
 def slopes(m: Model, x: np.ndarray, ratios: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
@@ -207,15 +210,39 @@ def slopes(m: Model, x: np.ndarray, ratios: np.ndarray, first: np.ndarray, y: np
     return {"rows": x.T @ d_pre, "ratio": ratios.T @ d_pre, "shift": d_pre.sum(0), "v": h.T @ d_t, "u": h.T @ d_s, "w": (t * s).T @ d_e, "out": f["z"].T @ d_logit, "bias": d_logit.sum()}
 
 
+def passages(row: dict) -> int:
+    return len(row["bag"]) // (2 * (N_FEATURES + N_RATIOS))
+
+
+def parts(rows: list, step: int = STEP) -> list[list]:
+    """The rows in parts of at most ``step`` passages, one row at least."""
+    out, n = [], step
+    for r in rows:
+        n += passages(r)
+        if n > step:
+            out.append([])
+            n = passages(r)
+        out[-1].append(r)
+    return out
+
+
 def unpacked(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, ratios, where each bag starts, and the end) of packed bags."""
-    width = N_FEATURES + N_RATIOS
-    first = np.concatenate([[0], np.cumsum([len(r["bag"]) // (2 * width) for r in rows])])
-    x, ratios = np.empty((first[-1], N_FEATURES), np.float32), np.empty((first[-1], N_RATIOS), np.float32)
-    for r, i, j in zip(rows, first[:-1], first[1:], strict=True):
-        bag = np.frombuffer(r["bag"], np.float16).reshape(-1, width)
-        x[i:j], ratios[i:j] = bag[:, :N_FEATURES], bag[:, N_FEATURES:]
-    return x, ratios, first
+    """(features as shares of the words, ratios, where each bag starts, and the end) of a few bags."""
+    packed = np.frombuffer(b"".join(r["bag"] for r in rows), np.uint16).reshape(-1, N_FEATURES + N_RATIOS)
+    x = packed[:, :N_FEATURES].astype(np.float32)
+    x /= np.maximum(x[:, :N_WORDS].sum(1, keepdims=True), 1)
+    ratios = np.ascontiguousarray(packed[:, N_FEATURES:]).view(np.float16).astype(np.float32)
+    return x, ratios, np.concatenate([[0], np.cumsum([passages(r) for r in rows])])
+
+
+def mean_slopes(m: Model, some: list[list]) -> dict[str, np.ndarray]:
+    """``slopes`` over all rows of some parts, which are unpacked one at a time."""
+    total: dict[str, np.ndarray] = {}
+    n = sum(map(len, some))
+    for rows in some:
+        for name, g in slopes(m, *unpacked(rows), np.array([r["quality"] for r in rows], np.float64)).items():
+            total[name] = total.get(name, 0) + g * np.float32(len(rows) / n)
+    return total
 
 
 def started(seed: int, kind: type = np.float32) -> Model:
@@ -229,11 +256,11 @@ def fit(rows: list, epochs: int = EPOCHS, seed: int = 7) -> Model | float:
     y = np.array([r["quality"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5
-    x, ratios, first = unpacked(rows)
+    some = parts(rows)
     m = started(seed)
     moments = {n: (0.0, 0.0) for n in m.names()}
     for k in range(1, epochs + 1):
-        for n, g in slopes(m, x, ratios, first, y).items():
+        for n, g in mean_slopes(m, some).items():
             value = getattr(m, n)
             g = g + DECAY * value * (n != "bias")
             one, two = moments[n] = 0.9 * moments[n][0] + 0.1 * g, 0.999 * moments[n][1] + 0.001 * g * g

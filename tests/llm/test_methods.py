@@ -5,6 +5,7 @@ import io
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -136,6 +137,29 @@ def test_gradient_equals_differences():
             assert abs((both[0] - both[1]) / 2e-5 - np.atleast_1d(slope).flat[at]) < 1e-7, name
 
 
+def test_the_driver_holds_the_sample_once():
+    """Bags of BAG passages: learning needs less memory beside them than 16 MB, and the parts give the slopes of the whole."""
+    rng, width = np.random.default_rng(5), quality_model.N_FEATURES + quality_model.N_RATIOS
+    rows = []
+    for i in range(1500):
+        bag = np.zeros((quality_model.BAG, width), np.uint16)
+        bag[:, rng.integers(0, quality_model.N_WORDS, 40)] = 3
+        bag[:, quality_model.N_FEATURES :] = rng.random((quality_model.BAG, quality_model.N_RATIOS)).astype(np.float16).view(np.uint16)
+        rows.append({"doc_id": str(i), "quality": i % 2, "bag": bag.tobytes()})
+    tracemalloc.start()
+    quality_model.fit(rows, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = sum(len(r["bag"]) for r in rows)
+    assert peak < 16 << 20 < size, (peak, size)
+    m, few = quality_model.started(3), rows[:200]
+    whole = quality_model.slopes(m, *quality_model.unpacked(few), np.array([r["quality"] for r in few], np.float64))
+    parts = quality_model.parts(few)
+    assert len(parts) > 2 and [r for p in parts for r in p] == few and all(sum(map(quality_model.passages, p)) <= quality_model.STEP for p in parts)
+    for name, g in quality_model.mean_slopes(m, parts).items():
+        assert np.allclose(g, whole[name], rtol=1e-3, atol=1e-6), name
+
+
 def test_one_bad_passage_decides(spark):
     """Only one passage of many tells the label, so equal weights of the learnt model fail where its attention finds it."""
     rnd = random.Random(31)
