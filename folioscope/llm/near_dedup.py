@@ -276,11 +276,11 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, folder:
 
 def mixed_links(members: DataFrame, labels: DataFrame, classes: DataFrame, documents: DataFrame, folder: str) -> DataFrame:
     """Links between components that share a bucket (members: key, n, node)."""
-    labelled = members.join(labels.hint("merge"), "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("comp"))
+    labelled = members.filter("n > 2").join(labels.hint("merge"), "node", "left").select("key", "n", "node", F.coalesce("label", "node").alias("comp"))
     labelled = stored(labelled, folder, "labelled")
     parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
     mixed = stored(parts.select("key", F.col("most.comp").alias("large"), F.col("most.size").alias("size")), folder, "mixed")
-    rest = labelled.filter("n > 2").join(mixed.hint("merge"), "key")
+    rest = labelled.join(mixed.hint("merge"), "key")
     # blocks 0 to r - 1 hold the others, r to r + l - 1 the largest component; every pair of blocks but those of the latter
     rest = rest.withColumn("r", F.ceil((F.col("n") - F.col("size")) / BLOCK)).withColumn("l", F.ceil(F.col("size") / BLOCK)).withColumn("in", F.col("comp") == F.col("large"))
     rest = rest.withColumn("at", F.when(F.col("in"), F.col("r") + F.pmod(F.xxhash64("node"), "l")).otherwise(F.pmod(F.xxhash64("node"), "r")))
@@ -331,8 +331,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     bands = classes.select("node", F.explode("keys").alias("key"))
     buckets = stored(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), folder, "buckets")
     members = stored(bands.join(buckets.hint("merge"), "key"), folder, "members")
-    met = stored(members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("met")), folder, "met")
-    leaders = members.join(met.hint("merge"), "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("leader"))
+    met = members.withColumn("met", F.sum(F.col("n") - 1).over(Window.partitionBy("node")))  # a node has a row for each band at most
+    leaders = met.groupBy("key").agg(F.max(F.struct("met", "node")).alias("leader"))
     leaders = stored(leaders.select("key", F.col("leader.node").alias("a")), folder, "leaders")
     star = members.join(leaders.hint("merge"), "key").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
     links = verified(star, classes, documents, folder, "star")

@@ -3,6 +3,7 @@
 import gzip
 import io
 import itertools
+import os
 import random
 import re
 import tracemalloc
@@ -19,7 +20,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from folioscope.llm import decontaminate, license_scan, main_text, near_dedup, pieces, quality_model, quality_rules, queries, token_file, url_filter, warc, words
-from folioscope.llm.components import components
+from folioscope.llm.components import components, least_nodes
 from folioscope.llm.license_texts import TEMPLATES
 from folioscope.llm.shared import new_folder
 from folioscope.llm.sql import OP6, OP10
@@ -725,6 +726,42 @@ def test_components(spark, edges):
     assert sorted(map(sorted, by.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize(("few", "most"), [(1000, 2), (40, 99), (0, 99)])
+def test_few_edges_are_finished_at_once(spark, few, most):
+    """On the cluster, there down to 40 edges, and at once, which writes two tables whatever the length of the paths."""
+    rnd = random.Random(4)
+    path = rnd.sample(range(60), 60)
+    edges = [*itertools.pairwise(path), *(tuple(rnd.sample(range(100, 140), 2)) for _ in range(16)), *((200, 200 + i) for i in range(1, 9)), (9, 9), (3, 3), (path[1], path[0])]
+    root = {i: i for e in edges for i in e}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    folder = new_folder(spark, "cc")
+    by = {}
+    for r in components(spark.createDataFrame(edges, "a long, b long").repartition(3), folder, few=few).collect():
+        by.setdefault(r["label"], []).append(r["node"])
+    expected = {}
+    for i in root:
+        expected.setdefault(find(i), []).append(i)
+    assert sorted(map(sorted, by.values())) == sorted(map(sorted, expected.values()))
+    assert len(os.listdir(folder.removeprefix("file://"))) <= most
+
+
+@given(st.lists(st.tuples(st.integers(-9, 9), st.integers(-9, 9)).filter(lambda e: e[0] != e[1])))
+def test_least_nodes(edges):
+    label = {i: i for e in edges for i in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    a, b = np.array(edges, np.int64).reshape(-1, 2).T
+    assert dict(zip(*(x.tolist() for x in least_nodes(a, b)), strict=True)) == label
+
+
 # 8 licenses
 
 
